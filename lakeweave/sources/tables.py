@@ -36,6 +36,7 @@ COMMIT_SCHEMA = T.StructType([
 ])
 
 BATCH_COL = "_batch"
+FILE_COL = "_file"
 
 
 class SchemaMismatch(ValueError):
@@ -162,16 +163,31 @@ class VersionedTable:
         return version
 
     # -- reads ---------------------------------------------------------------
-    def _read_batches(self, batches: list[str], schema: T.StructType, with_batch: bool = False) -> DataFrame:
+    def _read_batches(self, batches: list[str], schema: T.StructType, with_batch: bool = False,
+                      with_file: bool = False) -> DataFrame:
         if not batches:
             out = self.spark.createDataFrame([], schema)
-            return out.withColumn(BATCH_COL, F.lit(None).cast("string")) if with_batch else out
+            if with_batch:
+                out = out.withColumn(BATCH_COL, F.lit(None).cast("string"))
+            return out.withColumn(FILE_COL, F.lit(None).cast("string")) if with_file else out
         df = self.spark.read.schema(schema).parquet(*[self.batch_path(b) for b in batches])
         cols = [F.col(c) for c in schema.fieldNames()]
         if with_batch:
             cols.append(F.regexp_extract(F.col("_metadata.file_path"), r"/data/(b[0-9]+)/", 1).alias(BATCH_COL))
+        if with_file:
+            cols.append(F.col("_metadata.file_path").alias(FILE_COL))
         return df.select(*cols)
 
+    def read_with_files(self, version: int | None = None) -> DataFrame:
+        """The table plus ``_file`` (the data file each row lives in) and ``_batch``."""
+        c = self._commit_at(version)
+        return self._read_batches(c["batches"], T.StructType.fromJson(json.loads(c["schema_json"])),
+                                  with_batch=True, with_file=True)
+
+    def commit_info(self, version: int | None = None):
+        """The commit row of a version (metadata)."""
+        return self._commit_at(version)
+
     def read(self, version: int | None = None) -> DataFrame:
         """The table (at ``version``) with that version's schema."""
         c = self._commit_at(version)
@@ -194,6 +210,11 @@ class VersionedTable:
                      max_records_per_file: int | None = None) -> tuple[str, dict]:
         batch = f"b{version:08d}"
         obs = Observation(f"w{version}")
+        if partition_by:
+            # Rebalance on the partition columns: each directory is written by
+            # few tasks (not every task into every directory), and AQE splits
+            # a hot directory's rows across tasks and merges tiny ones.
+            df = df.hint("rebalance", *partition_by)
         w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
