@@ -32,4 +32,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from lakeweave.plans import q_layout, q_medallion, q_privacy, q_tables  # noqa: F401
+    from lakeweave.plans import q_layout, q_medallion, q_privacy, q_quality, q_tables  # noqa: F401

@@ -114,7 +114,7 @@ class VersionedTable:
         return f"{self.root}/_commits"
 
     def batch_path(self, batch: str) -> str:
-        return f"{self.data_dir}/{batch}"
+        return f"{self.data_dir}/batch={batch}"
 
     # -- commit log ----------------------------------------------------------
     def _commit_frame(self) -> DataFrame:
@@ -170,10 +170,14 @@ class VersionedTable:
             if with_batch:
                 out = out.withColumn(BATCH_COL, F.lit(None).cast("string"))
             return out.withColumn(FILE_COL, F.lit(None).cast("string")) if with_file else out
-        df = self.spark.read.schema(schema).parquet(*[self.batch_path(b) for b in batches])
+        # basePath = data/: Spark discovers ``batch`` and any partition
+        # directories below it as one consistent layout across batches.
+        full = T.StructType(list(schema.fields) + [T.StructField("batch", T.StringType())])
+        df = (self.spark.read.schema(full).option("basePath", self.data_dir)
+              .parquet(*[self.batch_path(b) for b in batches]))
         cols = [F.col(c) for c in schema.fieldNames()]
         if with_batch:
-            cols.append(F.regexp_extract(F.col("_metadata.file_path"), r"/data/(b[0-9]+)/", 1).alias(BATCH_COL))
+            cols.append(F.col("batch").alias(BATCH_COL))
         if with_file:
             cols.append(F.col("_metadata.file_path").alias(FILE_COL))
         return df.select(*cols)
@@ -202,7 +206,7 @@ class VersionedTable:
             return self.spark.createDataFrame([], "batch string, file_path string, size_bytes long")
         df = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
             .option("pathGlobFilter", "*.parquet").load(*[self.batch_path(b) for b in c["batches"]])
-        return df.select(F.regexp_extract("path", r"/data/(b[0-9]+)/", 1).alias("batch"),
+        return df.select(F.regexp_extract("path", r"/batch=(b[0-9]+)/", 1).alias("batch"),
                          F.col("path").alias("file_path"), F.col("length").alias("size_bytes"))
 
     # -- writes --------------------------------------------------------------
