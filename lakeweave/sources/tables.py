@@ -205,7 +205,7 @@ class VersionedTable:
         if not c["batches"]:
             return self.spark.createDataFrame([], "batch string, file_path string, size_bytes long")
         df = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
-            .option("pathGlobFilter", "*.parquet").load(*[self.batch_path(b) for b in c["batches"]])
+            .option("pathGlobFilter", "*.parquet").load([self.batch_path(b) for b in c["batches"]])
         return df.select(F.regexp_extract("path", r"/batch=(b[0-9]+)/", 1).alias("batch"),
                          F.col("path").alias("file_path"), F.col("length").alias("size_bytes"))
 
@@ -232,7 +232,7 @@ class VersionedTable:
         if not batches:
             return {"numFiles": 0, "numBytes": 0}
         df = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
-            .option("pathGlobFilter", "*.parquet").load(*[self.batch_path(b) for b in batches])
+            .option("pathGlobFilter", "*.parquet").load([self.batch_path(b) for b in batches])
         r = df.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("b")).collect()[0]
         return {"numFiles": int(r["n"] or 0), "numBytes": int(r["b"] or 0)}
 
@@ -258,18 +258,18 @@ class VersionedTable:
                              m, dict(params or {}, mode="Overwrite"))
 
     def append(self, df: DataFrame, schema_mode: str | None = None,
-               max_records_per_file: int | None = None) -> int:
+               max_records_per_file: int | None = None, params: dict | None = None) -> int:
         """S3/V1/V2: add ``df`` as a new batch; the schema is checked first."""
         cs = self.commits()
         if not cs:
-            return self.overwrite(df, operation="WRITE", max_records_per_file=max_records_per_file)
+            return self.overwrite(df, operation="WRITE", max_records_per_file=max_records_per_file, params=params)
         cur = cs[-1]
         df, schema = conform(df, T.StructType.fromJson(json.loads(cur["schema_json"])), schema_mode)
         version = cur["version"] + 1
         batch, m = self._write_batch(df, version, list(cur["partition_by"]), max_records_per_file)
         m.update(self._batch_metrics([batch]))
         return self._publish(version, "WRITE", list(cur["batches"]) + [batch], list(cur["partition_by"]),
-                             schema, m, {"mode": "Append"})
+                             schema, m, dict(params or {}, mode="Append"))
 
     def replace_batches(self, df: DataFrame, drop_batches: list[str], operation: str,
                         partition_by: list[str] | None = None, max_records_per_file: int | None = None,
@@ -288,7 +288,9 @@ class VersionedTable:
         return self._publish(version, operation, keep + [batch], pb,
                              T.StructType.fromJson(json.loads(cur["schema_json"])), m, params)
 
-    def merge(self, source: DataFrame, on: str | list[str], schema_mode: str | None = None) -> int:
+    def merge(self, source: DataFrame, on: str | list[str], schema_mode: str | None = None,
+              scope=None, when_newer: str | None = None, when_older: str | None = None,
+              params: dict | None = None) -> int:
         """Upsert. Matched target rows are replaced by the source row,
         unmatched source rows are inserted; NULL keys never match.
 
@@ -298,6 +300,13 @@ class VersionedTable:
         outer join of those batches with the source gives the new batch.
         Untouched batches stay in place. Several source rows with one key
         are refused, as in a SQL MERGE.
+
+        ``scope`` (a predicate on target columns, e.g. the dates of the
+        incoming rows) limits which target rows can match, so a partitioned
+        target is pruned instead of scanned. ``when_newer`` names a column:
+        a matched row is replaced only when the source value is greater
+        (late, older source rows leave the target as is); ``when_older``
+        replaces only when it is smaller (keep the earliest).
         """
         keys = [on] if isinstance(on, str) else list(on)
         cur = self._commit_at(None)
@@ -311,18 +320,35 @@ class VersionedTable:
         if dup:
             raise MergeConflict(f"several source rows share the key {dup[0].asDict()}")
         target = self._read_batches(cur["batches"], schema, with_batch=True)
+        scope_col = None
+        if scope is not None:
+            scope_col = F.expr(scope) if isinstance(scope, str) else scope
+            target = target.where(scope_col)
         touched = [r[0] for r in target.join(src.where(nonnull).select(*keys), keys, "left_semi")
                    .select(BATCH_COL).distinct().collect()]
         old = self._read_batches(touched, schema)
         for c in merged_schema.fieldNames():
             if c not in old.columns:
                 old = old.withColumn(c, F.lit(None).cast(merged_schema[c].dataType))
-        t = old.withColumn("_t", F.lit(True)).alias("t")
+        t = old.withColumn("_t", F.lit(True))
+        if scope_col is not None:
+            t = t.withColumn("_in", F.coalesce(scope_col, F.lit(False)))
+        t = t.alias("t")
         s = src.withColumn("_s", F.lit(True)).alias("s")
         cond = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
+        if scope_col is not None:
+            # Rows of touched batches outside the scope are copied, never matched.
+            cond = cond + [F.col("t._in")]
         j = t.join(s, cond, "full_outer")
         matched = F.col("s._s").isNotNull() & F.col("t._t").isNotNull()
-        out = j.select(*[F.when(F.col("s._s").isNotNull(), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
+        take_src = F.col("s._s").isNotNull()
+        if when_newer:
+            take_src = take_src & (F.col("t._t").isNull() | (F.col(f"s.{when_newer}") > F.col(f"t.{when_newer}")))
+            matched = matched & take_src
+        if when_older:
+            take_src = take_src & (F.col("t._t").isNull() | (F.col(f"s.{when_older}") < F.col(f"t.{when_older}")))
+            matched = matched & take_src
+        out = j.select(*[F.when(take_src, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
                          for c in merged_schema.fieldNames()],
                        matched.alias("_m"), (F.col("t._t").isNull()).alias("_i"))
         obs = Observation(f"merge{cur['version'] + 1}")
@@ -340,7 +366,7 @@ class VersionedTable:
                   "numBatchesRewritten": len(touched)})
         keep = [b for b in cur["batches"] if b not in set(touched)]
         return self._publish(version, "MERGE", keep + [batch], list(cur["partition_by"]), merged_schema, m,
-                             {"predicate": " AND ".join(f"t.{k} = s.{k}" for k in keys)})
+                             dict(params or {}, predicate=" AND ".join(f"t.{k} = s.{k}" for k in keys)))
 
     def restore(self, version: int) -> int:
         """V7: make ``version`` current again as a *new* version; history is kept."""
