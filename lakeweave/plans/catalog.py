@@ -32,4 +32,5 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from lakeweave.plans import q_layout, q_medallion, q_privacy, q_quality, q_streaming, q_tables  # noqa: F401
+    from lakeweave.plans import (q_curation, q_layout, q_medallion, q_privacy, q_quality,  # noqa: F401
+                                 q_streaming, q_tables)
