@@ -91,6 +91,22 @@ def redact(text: Column, key: bytes = DEMO_KEY, safe: bool = False) -> Column:
     return F.struct(t2.alias("text"), F.concat(pairs_e, pairs_p).alias("found"))
 
 
+FOUND_TYPE = "array<struct<token:string,kind:string,value:string>>"
+
+
+def pass_struct(text: Column, pattern: str, kind: str, key: bytes = DEMO_KEY) -> Column:
+    """One redaction pass as ``struct(text, found)``. Texts with no match
+    (most of them) are returned as they are after a single regex scan; only
+    texts that match are split, tokenized and rebuilt. ``text`` should be a
+    column reference: it is used several times."""
+    t2, toks, vals = replace_pass(text, pattern, kind, key)
+    found = F.transform(F.arrays_zip(toks.alias("token"), vals.alias("value")),
+                        lambda r: F.struct(r["token"].alias("token"), F.lit(kind).alias("kind"),
+                                           r["value"].alias("value")))
+    return (F.when(text.rlike(pattern), F.struct(t2.alias("text"), found.alias("found")))
+            .otherwise(F.struct(text.alias("text"), F.array().cast(FOUND_TYPE).alias("found"))))
+
+
 def token_count(found: Column) -> Column:
     """T5: number of distinct tokens produced for one record."""
     return F.size(F.array_distinct(F.transform(found, lambda r: r["token"])))

@@ -96,28 +96,31 @@ def _bucket(x: Column, splits: list[float]) -> Column:
     return F.when(x.isNull(), F.lit(0)).otherwise(go(0, len(splits)))
 
 
-def z_value(df: DataFrame, cols: Sequence[str], bits: int = 8, rel_error: float = 0.001) -> Column:
-    """Interleaved-bit (Morton) value of per-column quantile buckets.
+def with_z_value(df: DataFrame, cols: Sequence[str], bits: int = 8, rel_error: float = 0.001,
+                 out: str = "_z") -> DataFrame:
+    """``df`` plus an interleaved-bit (Morton) value of per-column quantile buckets.
 
     Each column is mapped to ``2**bits`` buckets with split points from
     ``approxQuantile`` (a bounded sketch; only the split points reach the
     driver), then the bucket bits are interleaved so rows close in every
-    column get close z-values.
+    column get close z-values. Buckets are materialized as columns first so
+    the interleaving refers to them instead of repeating the bucket
+    expression per bit (which would bloat generated code).
     """
     dtypes = dict(df.dtypes)
     keyed = df.select(*[orderable_long(F.col(c), dtypes[c]).alias(f"_k{i}") for i, c in enumerate(cols)])
     probs = [i / (1 << bits) for i in range(1, 1 << bits)]
     qs = keyed.approxQuantile([f"_k{i}" for i in range(len(cols))], probs, rel_error)
-    buckets = []
+    bcols = []
     for i, c in enumerate(cols):
         splits = sorted(set(float(v) for v in qs[i] if v is not None))
-        buckets.append(_bucket(orderable_long(F.col(c), dtypes[c]), splits))
-    terms = []
+        bcols.append(_bucket(orderable_long(F.col(c), dtypes[c]), splits).alias(f"_zb{i}"))
+    staged = df.select("*", *bcols)
     n = len(cols)
-    for b in range(bits):
-        for j, bk in enumerate(buckets):
-            terms.append(F.shiftleft(F.shiftright(bk, b).bitwiseAND(F.lit(1)).cast("long"), b * n + j))
-    return reduce(lambda a, b: a.bitwiseOR(b), terms)
+    terms = [F.shiftleft(F.shiftright(F.col(f"_zb{j}"), b).bitwiseAND(F.lit(1)).cast("long"), b * n + j)
+             for b in range(bits) for j in range(n)]
+    z = reduce(lambda a, b: a.bitwiseOR(b), terms)
+    return staged.withColumn(out, z).drop(*[f"_zb{j}" for j in range(n)])
 
 
 def zorder(table: VersionedTable, cols: Sequence[str], target_bytes: int = DEFAULT_TARGET_BYTES) -> dict:
@@ -136,8 +139,7 @@ def zorder(table: VersionedTable, cols: Sequence[str], target_bytes: int = DEFAU
     if len(cols) == 1:
         out = df.repartitionByRange(n_out, F.col(cols[0])).sortWithinPartitions(cols[0])
     else:
-        z = z_value(df, cols)
-        out = (df.withColumn("_z", z).repartitionByRange(n_out, F.col("_z"))
+        out = (with_z_value(df, cols).repartitionByRange(n_out, F.col("_z"))
                .sortWithinPartitions("_z").drop("_z"))
     v = table.replace_batches(out, list(per_batch), "OPTIMIZE",
                               params={"zOrderBy": ",".join(cols), "targetBytes": target_bytes},

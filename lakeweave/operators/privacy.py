@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from lakeweave.functions.pii import DEMO_KEY, EMAIL_PATTERN, PHONE_PATTERN, leaks, matches, redact, token_count
+from lakeweave.functions.pii import (DEMO_KEY, EMAIL_PATTERN, PHONE_PATTERN, PHONE_PATTERN_SAFE, leaks, matches,
+                                     pass_struct, token_count)
 
 
 def pii_matches(df: DataFrame, col: str) -> DataFrame:
@@ -21,14 +22,18 @@ def redact_columns(df: DataFrame, cols: Sequence[str], key: bytes = DEMO_KEY, sa
     (token, kind, value) triples in ``_pii`` and count distinct tokens."""
     out = df
     found = []
+    phone = PHONE_PATTERN_SAFE if safe else PHONE_PATTERN
     for c in cols:
-        r = f"_r_{c}"
-        out = out.withColumn(r, redact(F.col(c), key, safe))
-        found.append(F.coalesce(F.col(f"{r}.found"), F.array()))
-        out = out.withColumn(c, F.col(f"{r}.text"))
+        # Each pass is its own column, so the phone pass reads the e-mail
+        # pass's result instead of re-evaluating it per use.
+        e, p = f"_e_{c}", f"_p_{c}"
+        out = out.withColumn(e, pass_struct(F.col(c), EMAIL_PATTERN, "email", key))
+        out = out.withColumn(p, pass_struct(F.col(f"{e}.text"), phone, "phone", key))
+        found.append(F.coalesce(F.concat(F.col(f"{e}.found"), F.col(f"{p}.found")), F.array()))
+        out = out.withColumn(c, F.col(f"{p}.text"))
     out = out.withColumn("_pii", F.concat(*found) if len(found) > 1 else found[0])
     out = out.withColumn("pii_token_count", token_count(F.col("_pii")))
-    out = out.drop(*[f"_r_{c}" for c in cols])
+    out = out.drop(*[f"_e_{c}" for c in cols], *[f"_p_{c}" for c in cols])
     return out if keep_found else out.drop("_pii")
 
 
