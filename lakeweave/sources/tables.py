@@ -23,7 +23,7 @@ import json
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F, types as T
 
 COMMIT_SCHEMA = T.StructType([
     T.StructField("ts", T.TimestampType()),
@@ -103,6 +103,7 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._cache: dict[int, Row] = {}
 
     # -- layout ------------------------------------------------------------
     @property
@@ -121,17 +122,48 @@ class VersionedTable:
         schema = T.StructType(list(COMMIT_SCHEMA.fields) + [T.StructField("version", T.IntegerType())])
         return self.spark.read.schema(schema).parquet(self.commits_dir)
 
-    def commits(self) -> list:
-        """All commit rows, oldest first (metadata: one row per version)."""
-        if not path_exists(self.spark, self.commits_dir):
-            return []
+    def _committed_versions(self) -> list[int] | None:
+        """Versions whose commit finished (``_SUCCESS`` present), from a
+        directory listing on the driver; None when the listing is unavailable."""
         try:
-            rows = self._commit_frame().collect()
-        except Exception as e:  # noqa: BLE001 - no commits yet
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            jvm = self.spark.sparkContext._jvm
+            conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+            p = jvm.org.apache.hadoop.fs.Path(self.commits_dir)
+            fs = p.getFileSystem(conf)
+            if not fs.exists(p):
+                return []
+            out = []
+            for st in fs.listStatus(p):
+                name = st.getPath().getName()
+                if not name.startswith("version="):
+                    continue
+                v = int(name.split("=", 1)[1])
+                if v in self._cache or fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                    out.append(v)
+            return sorted(out)
+        except Exception:  # noqa: BLE001 - no JVM access (e.g. Spark Connect)
+            return None
+
+    def commits(self) -> list:
+        """All commit rows, oldest first (metadata: one row per version).
+
+        Commit rows are cached per table object; only versions this object
+        has not seen (written by another writer) are read, in one job.
+        """
+        versions = self._committed_versions()
+        if versions is None:
+            if not path_exists(self.spark, self.commits_dir):
                 return []
-            raise
-        return sorted(rows, key=lambda r: r["version"])
+            rows = self._commit_frame().collect()
+            return sorted(rows, key=lambda r: r["version"])
+        missing = [v for v in versions if v not in self._cache]
+        if missing:
+            schema = T.StructType(list(COMMIT_SCHEMA.fields) + [T.StructField("version", T.IntegerType())])
+            rows = (self.spark.read.schema(schema).option("basePath", self.commits_dir)
+                    .parquet(*[f"{self.commits_dir}/version={v}" for v in missing]).collect())
+            for r in rows:
+                self._cache[r["version"]] = r
+        return [self._cache[v] for v in versions if v in self._cache]
 
     def exists(self) -> bool:
         return bool(self.commits())
@@ -160,6 +192,8 @@ class VersionedTable:
                {k: str(v) for k, v in (params or {}).items()})
         (self.spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1)
          .write.mode("errorifexists").parquet(f"{self.commits_dir}/version={version}"))
+        names = COMMIT_SCHEMA.fieldNames() + ["version"]
+        self._cache[version] = Row(**dict(zip(names, list(row) + [version])))
         return version
 
     # -- reads ---------------------------------------------------------------
@@ -229,12 +263,27 @@ class VersionedTable:
         return batch, {"numOutputRows": rows}
 
     def _batch_metrics(self, batches: list[str]) -> dict:
+        """Files and bytes of batches, from a file listing (no data read)."""
         if not batches:
             return {"numFiles": 0, "numBytes": 0}
-        df = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
-            .option("pathGlobFilter", "*.parquet").load([self.batch_path(b) for b in batches])
-        r = df.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("b")).collect()[0]
-        return {"numFiles": int(r["n"] or 0), "numBytes": int(r["b"] or 0)}
+        try:
+            jvm = self.spark.sparkContext._jvm
+            conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+            n = size = 0
+            for b in batches:
+                p = jvm.org.apache.hadoop.fs.Path(self.batch_path(b))
+                it = p.getFileSystem(conf).listFiles(p, True)
+                while it.hasNext():
+                    st = it.next()
+                    if st.getPath().getName().endswith(".parquet"):
+                        n += 1
+                        size += st.getLen()
+            return {"numFiles": n, "numBytes": size}
+        except Exception:  # noqa: BLE001 - no JVM access: list with a Spark job
+            df = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
+                .option("pathGlobFilter", "*.parquet").load([self.batch_path(b) for b in batches])
+            r = df.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("b")).collect()[0]
+            return {"numFiles": int(r["n"] or 0), "numBytes": int(r["b"] or 0)}
 
     def overwrite(self, df: DataFrame, schema_mode: str | None = None, partition_by: list[str] | None = None,
                   operation: str = "WRITE", max_records_per_file: int | None = None,
