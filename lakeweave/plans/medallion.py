@@ -17,6 +17,18 @@ SILVER_COLUMNS = ["request_id", "ts", "date", "model", "user_id", "prompt_tokens
                   "completion_tokens", "latency_ms", "status"]
 
 
+def land_bronze(df: DataFrame, table, batches: int = 1) -> int:
+    """M1: land raw rows ``request_id, ts, raw_json`` untouched, as an append
+    (the first landing creates the table)."""
+    raw = df.select("request_id", "ts", "raw_json")
+    return table.append(raw) if table.exists() else table.overwrite(raw)
+
+
+def peek(df: DataFrame, n: int = 5) -> DataFrame:
+    """The first ``n`` rows, for a look at raw data."""
+    return df.limit(n)
+
+
 def classify(bronze: DataFrame, schema=PAYLOAD_SCHEMA) -> DataFrame:
     """Bronze plus the parsed payload ``_p`` and a ``reason`` (NULL = valid)."""
     return (bronze.withColumn("_p", parse_payload("raw_json", schema))

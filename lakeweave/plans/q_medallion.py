@@ -193,3 +193,23 @@ GROUP BY s.date, s.user_id""")
 def q_tenant_daily_cost(spark, sf):
     """M7: tenant daily cost."""
     return M.tenant_daily_cost(M.build_silver(_bronze(spark, sf)), price_table(spark))
+
+
+@register("bronze_peek")
+def q_bronze_peek(spark, sf):
+    """A five-row peek at Bronze (a limit is the feature: rows-only check)."""
+    return M.peek(_bronze(spark, sf), 5)
+
+
+@register("bronze_landing", f"""WITH {SQL_BRONZE.strip()}
+SELECT request_id, ts, raw_json IS NULL AS no_payload FROM bronze""")
+def q_bronze_landing(spark, sf):
+    """M1/S3: Bronze landed untouched in three appends (one per ten-day span)."""
+    from lakeweave.session import shared_dir
+    from lakeweave.sources.tables import VersionedTable
+    b = _bronze(spark, sf)
+    t = VersionedTable(spark, shared_dir(spark, "bronze"))
+    day = F.dayofmonth("ts")
+    for cond in (day <= 10, (day > 10) & (day <= 20), day > 20):
+        M.land_bronze(b.where(cond), t)
+    return t.read().select("request_id", "ts", F.col("raw_json").isNull().alias("no_payload"))

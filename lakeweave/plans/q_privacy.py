@@ -92,3 +92,17 @@ def q_conv_redact(spark, sf):
     r = P.redact_columns(table(spark, sf, "conversations").select("conv_id", "turn", "text"), ["text"],
                          keep_found=False)
     return r.select("conv_id", "turn", "text")
+
+
+@register("pii_tokenized_landing", f"""WITH {_duck_redact('conversations', 'conv_id, turn, role', 'text').strip()}
+SELECT conv_id, turn, role, redacted AS text FROM red""")
+def q_tokenized_landing(spark, sf):
+    """Conversation turns land already tokenized (reference-exact mode);
+    the vault goes to a separate table."""
+    from lakeweave.session import shared_dir
+    from lakeweave.sources.tables import VersionedTable
+    land = VersionedTable(spark, shared_dir(spark, "conv_bronze"))
+    vault = VersionedTable(spark, shared_dir(spark, "conv_vault"))
+    P.land_bronze(table(spark, sf, "conversations").select("conv_id", "turn", "role", "text"), land,
+                  redact_cols=["text"], safe=False, vault=vault)
+    return land.read().select("conv_id", "turn", "role", "text")

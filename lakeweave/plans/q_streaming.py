@@ -82,7 +82,7 @@ def q_stream_window(spark, sf):
            .parquet(_landing(spark, sf, "silver")).select(*SILVER_COLUMNS))
     out = VersionedTable(spark, shared_dir(spark, "stream_windows"))
     q = (S.window_metrics(src, "5 minutes", DELAY).writeStream.outputMode("update")
-         .foreachBatch(S.upsert_sink(out, ["window_start", "model"]))
+         .foreachBatch(S.upsert_sink(out, ["window_start", "model"], keys_unique=True))
          .option("checkpointLocation", shared_dir(spark, "ckpt_windows"))
          .trigger(availableNow=True).start())
     S.run_to_end(q)

@@ -233,6 +233,10 @@ class VersionedTable:
 
     as_of = read
 
+    def create_view(self, name: str, version: int | None = None) -> None:
+        """Expose a version as a temp view for ``spark.sql``."""
+        self.read(version).createOrReplaceTempView(name)
+
     def files(self, version: int | None = None) -> DataFrame:
         """Data files of a version with their sizes: ``(batch, file_path, size_bytes)``."""
         c = self._commit_at(version)
@@ -339,7 +343,7 @@ class VersionedTable:
 
     def merge(self, source: DataFrame, on: str | list[str], schema_mode: str | None = None,
               scope=None, when_newer: str | None = None, when_older: str | None = None,
-              params: dict | None = None) -> int:
+              params: dict | None = None, check_unique: bool = True) -> int:
         """Upsert. Matched target rows are replaced by the source row,
         unmatched source rows are inserted; NULL keys never match.
 
@@ -365,7 +369,8 @@ class VersionedTable:
         src = src.select(*src.columns, *[F.lit(None).cast(merged_schema[c].dataType).alias(c) for c in missing])
         nonnull = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys])
         # NULL keys never match, so only non-NULL keys can conflict.
-        dup = src.where(nonnull).groupBy(*keys).count().where("count > 1").limit(1).collect()
+        dup = (src.where(nonnull).groupBy(*keys).count().where("count > 1").limit(1).collect()
+               if check_unique else [])
         if dup:
             raise MergeConflict(f"several source rows share the key {dup[0].asDict()}")
         target = self._read_batches(cur["batches"], schema, with_batch=True)

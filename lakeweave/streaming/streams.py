@@ -32,8 +32,12 @@ def write_time_ordered_files(df: DataFrame, path: str, n_chunks: int, ts: str =
     oldest first (the file source orders files by modification time), like a
     landing zone filled over time. Chunk bounds come from ``approxQuantile``;
     read it back with ``maxFilesPerTrigger = files_per_chunk``."""
+    from lakeweave.session import checkpoint_root
+    checkpoint_root(df.sparkSession)
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    keyed = df.withColumn("_us", micros)
+    # Computed once and cut from its lineage (reliable checkpoint in the
+    # shared folder): the quantile pass and every chunk read it back.
+    keyed = df.withColumn("_us", micros).checkpoint()
     bounds = keyed.approxQuantile("_us", [i / n_chunks for i in range(1, n_chunks)], 0.0)
     edges = [None] + sorted(set(bounds)) + [None]
     for lo, hi in zip(edges[:-1], edges[1:]):
@@ -69,7 +73,15 @@ def idempotent(table: VersionedTable, write: Callable[[DataFrame, int], None]):
     def run(batch: DataFrame, batch_id: int) -> None:
         if batch_id <= last_batch_id(table):
             return
-        write(batch, batch_id)
+        # The sink reads the micro-batch more than once (checks, joins, write):
+        # keep it for the duration of this call instead of re-running the
+        # micro-batch plan (and its state reads) each time.
+        batch = batch.persist()
+        try:
+            if not batch.isEmpty():
+                write(batch, batch_id)
+        finally:
+            batch.unpersist()
     return run
 
 
@@ -128,15 +140,18 @@ def stream_dedup(stream: DataFrame, key: str | list[str], delay: str = "10 minut
     return _event_time(stream).withWatermark("_et", delay).dropDuplicatesWithinWatermark(keys).drop("_et")
 
 
-def upsert_sink(table: VersionedTable, key: list[str], partition_by: list[str] | None = None):
+def upsert_sink(table: VersionedTable, key: list[str], partition_by: list[str] | None = None,
+                keys_unique: bool = False):
     """ST4: ``foreachBatch`` sink that upserts each micro-batch on ``key``;
-    replays of a committed micro-batch are skipped."""
+    replays of a committed micro-batch are skipped. ``keys_unique=True``
+    (e.g. the output of a streaming aggregation on ``key``) skips the
+    duplicate-key check."""
     def write(batch: DataFrame, batch_id: int) -> None:
         params = {"streamBatchId": batch_id}
         if not table.exists():
             table.overwrite(batch, partition_by=partition_by or [], params=params)
         else:
-            table.merge(batch, key, params=params)
+            table.merge(batch, key, params=params, check_unique=not keys_unique)
     return idempotent(table, write)
 
 
