@@ -64,7 +64,7 @@ def components(edges: DataFrame, max_iter: int = 50) -> DataFrame:
 
 
 def near_dups(df: DataFrame, id_col: str, text_col: str, bands: int = 20, rows: int = 5,
-              ngram: int = 5) -> DataFrame:
+              ngram: int = 5, threshold: float = 0.8) -> DataFrame:
     """MinHash-LSH near-duplicate groups over whole texts.
 
     Signature of ``bands * rows`` minhashes; each band hashes to a bucket.
@@ -76,13 +76,25 @@ def near_dups(df: DataFrame, id_col: str, text_col: str, bands: int = 20, rows:
     skewed join that AQE splits.
     """
     w = df.select(F.col(id_col), words(F.col(text_col)).alias("_w"))
-    sig = minhash_signatures(w, id_col, shingle_hashes(F.col("_w"), ngram), bands * rows)
+    checkpoint_root(df.sparkSession)
+    # Signatures feed the band buckets and both sides of the verification:
+    # computed once, written to the checkpoint folder (lineage cut).
+    sig = minhash_signatures(w, id_col, shingle_hashes(F.col("_w"), ngram), bands * rows).checkpoint()
     band_rows = sig.select("id", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(bands - 1)),
         lambda b: F.xxhash64(F.slice(F.col("sig"), b * rows + 1, rows)))).alias("band", "bucket"))
     heads = band_rows.groupBy("band", "bucket").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n"))
-    edges = (band_rows.join(heads.where(F.col("n") > 1), ["band", "bucket"])
-             .where(F.col("id") != F.col("head")).select(F.col("id").alias("src"), F.col("head").alias("dst")))
+    cand = (band_rows.join(heads.where(F.col("n") > 1), ["band", "bucket"])
+            .where(F.col("id") != F.col("head")).select(F.col("id").alias("src"), F.col("head").alias("dst"))
+            .distinct())
+    # Verify each link: share of equal signature positions >= threshold.
+    k = bands * rows
+    s1 = sig.select(F.col("id").alias("src"), F.col("sig").alias("s1"))
+    s2 = sig.select(F.col("id").alias("dst"), F.col("sig").alias("s2"))
+    agree = F.size(F.filter(F.arrays_zip(F.col("s1").alias("a"), F.col("s2").alias("b")),
+                            lambda x: x["a"] == x["b"])) / F.lit(float(k))
+    edges = (cand.join(s1, "src").join(s2, "dst").where(agree >= F.lit(threshold))
+             .select("src", "dst"))
     comp = components(edges)
     return comp.select(F.col("node").alias(id_col), "component",
                        (F.col("node") != F.col("component")).alias("is_duplicate"))
