@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakeweave.sources.tables import BATCH_COL, FILE_COL, VersionedTable
+from lakeweave.sources.tables import VersionedTable
 
 DEFAULT_TARGET_BYTES = 256 * 1024  # the target size the reference's clustering run uses
 
@@ -144,24 +144,34 @@ def zorder(table: VersionedTable, cols: Sequence[str], target_bytes: int = DEFAU
     v = table.replace_batches(out, list(per_batch), "OPTIMIZE",
                               params={"zOrderBy": ",".join(cols), "targetBytes": target_bytes},
                               extra_metrics={"numFilesRemoved": files_before,
-                                             "totalConsideredFiles": files_before})
+                                             "totalConsideredFiles": files_before},
+                              stats_cols=cols)
     added = int(table.commit_info(v)["metrics"]["numFiles"])
     return {"numFilesRemoved": files_before, "numFilesAdded": added,
             "totalConsideredFiles": files_before, "version": v}
 
 
 def file_stats(table: VersionedTable, cols: Sequence[str], version: int | None = None) -> DataFrame:
-    """L4: per data file: rows, min and max of ``cols`` (one aggregate job).
+    """L4: per data file: rows, min, max and NULL count of ``cols``.
 
-    Only the named columns are read (column pruning), grouped by the file
-    each row came from.
+    Batches written with statistics for these columns (z-order and
+    compaction store them for their clustering columns) are answered from
+    the stored rows, one per file; only the other batches are scanned, by a
+    column-pruned aggregate.
     """
-    df = table.read_with_files(version).select(FILE_COL, BATCH_COL, *cols)
-    aggs = [F.count(F.lit(1)).alias("num_records")]
-    for c in cols:
-        aggs += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}"),
-                 F.count(F.when(F.col(c).isNull(), 1)).alias(f"nulls_{c}")]
-    return df.groupBy(F.col(FILE_COL).alias("file_path"), F.col(BATCH_COL).alias("batch")).agg(*aggs)
+    cols = list(cols)
+    c = table.commit_info(version)
+    schema = table.schema(c["version"])
+    stored = [b for b in c["batches"] if set(cols) <= set(table.stats_columns(b))]
+    missing = [b for b in c["batches"] if b not in stored]
+    want = ["file_path", "batch", "num_records"] + [f"{k}_{x}" for x in cols for k in ("min", "max", "nulls")]
+    parts = []
+    if stored:
+        parts.append(table.spark.read.option("basePath", f"{table.root}/_stats")
+                     .parquet(*[table.stats_path(b) for b in stored]).select(*want))
+    if missing or not parts:
+        parts.append(table.scan_file_stats(missing, cols, schema).select(*want))
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def covering(stats: DataFrame, equals: dict) -> DataFrame:

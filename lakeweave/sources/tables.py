@@ -247,6 +247,35 @@ class VersionedTable:
         return df.select(F.regexp_extract("path", r"/batch=(b[0-9]+)/", 1).alias("batch"),
                          F.col("path").alias("file_path"), F.col("length").alias("size_bytes"))
 
+    # -- per-file statistics ----------------------------------------------------
+    def stats_path(self, batch: str) -> str:
+        return f"{self.root}/_stats/batch={batch}"
+
+    def scan_file_stats(self, batches: list[str], cols: list[str], schema: T.StructType | None = None) -> DataFrame:
+        """Per data file: rows, min, max and NULL count of ``cols``, by one
+        column-pruned aggregate over the given batches."""
+        schema = schema or self.schema()
+        df = self._read_batches(batches, schema, with_batch=True, with_file=True).select(FILE_COL, BATCH_COL, *cols)
+        aggs = [F.count(F.lit(1)).alias("num_records")]
+        for c in cols:
+            aggs += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}"),
+                     F.count(F.when(F.col(c).isNull(), 1)).alias(f"nulls_{c}")]
+        return df.groupBy(F.col(FILE_COL).alias("file_path"), F.col(BATCH_COL).alias("batch")).agg(*aggs)
+
+    def _write_stats(self, batch: str, cols: list[str], schema: T.StructType) -> None:
+        """Store file statistics of a just-written batch (reads only that batch)."""
+        (self.scan_file_stats([batch], cols, schema).coalesce(1)
+         .write.mode("overwrite").parquet(self.stats_path(batch)))
+
+    def stats_columns(self, batch: str) -> list[str]:
+        """Columns with stored statistics for ``batch`` (from the commit that wrote it)."""
+        try:
+            c = self._commit_at(int(batch[1:]))
+        except ValueError:
+            return []
+        cols = (c["metrics"] or {}).get("statsColumns")
+        return cols.split(",") if cols else []
+
     # -- writes --------------------------------------------------------------
     def _write_batch(self, df: DataFrame, version: int, partition_by: list[str],
                      max_records_per_file: int | None = None) -> tuple[str, dict]:
@@ -311,7 +340,8 @@ class VersionedTable:
                              m, dict(params or {}, mode="Overwrite"))
 
     def append(self, df: DataFrame, schema_mode: str | None = None,
-               max_records_per_file: int | None = None, params: dict | None = None) -> int:
+               max_records_per_file: int | None = None, params: dict | None = None,
+               stats_cols: list[str] | None = None) -> int:
         """S3/V1/V2: add ``df`` as a new batch; the schema is checked first."""
         cs = self.commits()
         if not cs:
@@ -320,13 +350,17 @@ class VersionedTable:
         df, schema = conform(df, T.StructType.fromJson(json.loads(cur["schema_json"])), schema_mode)
         version = cur["version"] + 1
         batch, m = self._write_batch(df, version, list(cur["partition_by"]), max_records_per_file)
+        if stats_cols:
+            self._write_stats(batch, list(stats_cols), schema)
+            m["statsColumns"] = ",".join(stats_cols)
         m.update(self._batch_metrics([batch]))
         return self._publish(version, "WRITE", list(cur["batches"]) + [batch], list(cur["partition_by"]),
                              schema, m, dict(params or {}, mode="Append"))
 
     def replace_batches(self, df: DataFrame, drop_batches: list[str], operation: str,
                         partition_by: list[str] | None = None, max_records_per_file: int | None = None,
-                        params: dict | None = None, extra_metrics: dict | None = None) -> int:
+                        params: dict | None = None, extra_metrics: dict | None = None,
+                        stats_cols: list[str] | None = None) -> int:
         """Write ``df`` as one new batch that takes the place of ``drop_batches``."""
         cur = self._commit_at(None)
         version = cur["version"] + 1
@@ -335,11 +369,14 @@ class VersionedTable:
         if pb != list(cur["partition_by"]) and keep:
             raise ValueError("a layout change must rewrite every batch")
         batch, m = self._write_batch(df, version, pb, max_records_per_file)
+        schema = T.StructType.fromJson(json.loads(cur["schema_json"]))
+        if stats_cols:
+            self._write_stats(batch, list(stats_cols), schema)
+            m["statsColumns"] = ",".join(stats_cols)
         m.update(self._batch_metrics([batch]))
         m["numBatchesRemoved"] = len(drop_batches)
         m.update(extra_metrics or {})
-        return self._publish(version, operation, keep + [batch], pb,
-                             T.StructType.fromJson(json.loads(cur["schema_json"])), m, params)
+        return self._publish(version, operation, keep + [batch], pb, schema, m, params)
 
     def merge(self, source: DataFrame, on: str | list[str], schema_mode: str | None = None,
               scope=None, when_newer: str | None = None, when_older: str | None = None,
