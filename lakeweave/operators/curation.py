@@ -159,7 +159,7 @@ def revert_shard(table: VersionedTable, bad_ids: DataFrame, key: str) -> int:
     touched = [r[0] for r in rows.join(bad, key, "left_semi").select("_batch").distinct().collect()]
     if not touched:
         return table.latest_version()
-    kept = table._read_batches(touched, schema).join(bad, key, "left_anti")
+    kept = table._read_batches(table.live(touched), schema).join(bad, key, "left_anti")
     return table.replace_batches(kept, touched, "REVERT")
 
 

@@ -50,7 +50,7 @@ def compact(table: VersionedTable, target_bytes: int = DEFAULT_TARGET_BYTES,
     size = sum(per_batch[b][1] for b in small)
     n_out = max(1, math.ceil(size / target_bytes))
     schema = table.schema()
-    df = table._read_batches(small, schema)
+    df = table._read_batches(table.live(small), schema)
     pcols = list(table.commit_info()["partition_by"])
     rows = df.count() if pcols else None
     if pcols:
@@ -162,7 +162,7 @@ def file_stats(table: VersionedTable, cols: Sequence[str], version: int | None =
     cols = list(cols)
     c = table.commit_info(version)
     schema = table.schema(c["version"])
-    stored = [b for b in c["batches"] if set(cols) <= set(table.stats_columns(b))]
+    stored = [b for b in c["batches"] if "/" not in b and set(cols) <= set(table.stats_columns(b))]
     missing = [b for b in c["batches"] if b not in stored]
     want = ["file_path", "batch", "num_records"] + [f"{k}_{x}" for x in cols for k in ("min", "max", "nulls")]
     parts = []

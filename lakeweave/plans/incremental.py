@@ -32,7 +32,7 @@ def rebuild_gold(gold: VersionedTable, silver: VersionedTable, start: int, end:
     fresh = build_gold(silver.read(end).where(F.col("date").isin(*lit_dates)), prices, exact=exact)
     g = gold.read_with_files()
     touched = [r[0] for r in g.where(F.col("date").isin(*lit_dates)).select("_batch").distinct().collect()]
-    kept = (gold._read_batches(touched, gold.schema()).where(~F.col("date").isin(*lit_dates))
+    kept = (gold._read_batches(gold.live(touched), gold.schema()).where(~F.col("date").isin(*lit_dates))
             if touched else None)
     out = fresh if kept is None else kept.unionByName(fresh)
     return gold.replace_batches(out, touched, "REBUILD", params={"dates": len(dates)})

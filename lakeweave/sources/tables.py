@@ -97,8 +97,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         return True
 
 
+def entry_batch(entry: str) -> str:
+    """Batch id of a live entry: ``b<version>`` or ``b<version>/<file path>``."""
+    return entry.split("/", 1)[0]
+
+
 class VersionedTable:
-    """A versioned table at ``root`` (any Hadoop-compatible URL)."""
+    """A versioned table at ``root`` (any Hadoop-compatible URL).
+
+    A version's live list holds whole batches (``b<version>``) or, after a
+    file-level rewrite, single files of a batch (``b<version>/<relative
+    path>``); both resolve under ``data/batch=``.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -267,8 +277,28 @@ class VersionedTable:
         (self.scan_file_stats([batch], cols, schema).coalesce(1)
          .write.mode("overwrite").parquet(self.stats_path(batch)))
 
+    def live(self, batch_ids, version: int | None = None) -> list[str]:
+        """Live entries of a version that belong to the given batch ids."""
+        ids = set(batch_ids)
+        return [e for e in self._commit_at(version)["batches"] if entry_batch(e) in ids]
+
+    def batch_files(self, batch: str) -> list[str]:
+        """Data files of a batch as entries ``b<version>/<relative path>`` (driver listing)."""
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        p = jvm.org.apache.hadoop.fs.Path(self.batch_path(batch))
+        it = p.getFileSystem(conf).listFiles(p, True)
+        out = []
+        while it.hasNext():
+            path = it.next().getPath().toString()
+            if path.endswith(".parquet"):
+                out.append(batch + "/" + path.split(f"/batch={batch}/", 1)[1])
+        return out
+
     def stats_columns(self, batch: str) -> list[str]:
         """Columns with stored statistics for ``batch`` (from the commit that wrote it)."""
+        if "/" in batch:
+            return []          # a single live file of a batch: stored rows cover dead files too
         try:
             c = self._commit_at(int(batch[1:]))
         except ValueError:
@@ -365,7 +395,7 @@ class VersionedTable:
         cur = self._commit_at(None)
         version = cur["version"] + 1
         pb = list(cur["partition_by"]) if partition_by is None else partition_by
-        keep = [b for b in cur["batches"] if b not in set(drop_batches)]
+        keep = [b for b in cur["batches"] if entry_batch(b) not in set(drop_batches)]
         if pb != list(cur["partition_by"]) and keep:
             raise ValueError("a layout change must rewrite every batch")
         batch, m = self._write_batch(df, version, pb, max_records_per_file)
@@ -410,13 +440,28 @@ class VersionedTable:
                if check_unique else [])
         if dup:
             raise MergeConflict(f"several source rows share the key {dup[0].asDict()}")
-        target = self._read_batches(cur["batches"], schema, with_batch=True)
+        target = self._read_batches(cur["batches"], schema, with_file=True)
         scope_col = None
         if scope is not None:
             scope_col = F.expr(scope) if isinstance(scope, str) else scope
             target = target.where(scope_col)
-        touched = [r[0] for r in target.join(src.where(nonnull).select(*keys), keys, "left_semi")
-                   .select(BATCH_COL).distinct().collect()]
+        # Files holding a matched key: at most one row per file reaches the driver.
+        rel = F.regexp_extract(F.col(FILE_COL), r"/data/batch=(.*)$", 1)
+        touched_files = {r[0] for r in target.join(src.where(nonnull).select(*keys), keys, "left_semi")
+                         .select(rel).distinct().collect()}
+        keep, touched = [], []
+        by_batch: dict[str, set] = {}
+        for f in touched_files:
+            by_batch.setdefault(entry_batch(f), set()).add(f)
+        for e in cur["batches"]:
+            hit = by_batch.get(entry_batch(e))
+            if not hit:
+                keep.append(e)
+            elif "/" in e:
+                (touched if e in hit else keep).append(e)
+            else:   # a whole batch with some touched files: keep its other files
+                for f in self.batch_files(e):
+                    (touched if f in hit else keep).append(f)
         old = self._read_batches(touched, schema)
         for c in merged_schema.fieldNames():
             if c not in old.columns:
@@ -454,8 +499,7 @@ class VersionedTable:
         m.update({"numTargetRowsUpdated": res.get("updated") or 0,
                   "numTargetRowsInserted": res.get("inserted") or 0,
                   "numTargetRowsCopied": res.get("copied") or 0,
-                  "numBatchesRewritten": len(touched)})
-        keep = [b for b in cur["batches"] if b not in set(touched)]
+                  "numTargetFilesRewritten": len(touched)})
         return self._publish(version, "MERGE", keep + [batch], list(cur["partition_by"]), merged_schema, m,
                              dict(params or {}, predicate=" AND ".join(f"t.{k} = s.{k}" for k in keys)))
 
@@ -474,7 +518,7 @@ class VersionedTable:
         cond = F.expr(condition) if isinstance(condition, str) else condition
         tgt = self._read_batches(cur["batches"], schema, with_batch=True)
         touched = [r[0] for r in tgt.where(cond).select(BATCH_COL).distinct().collect()]
-        kept = self._read_batches(touched, schema).where(~F.coalesce(cond, F.lit(False)))
+        kept = self._read_batches(self.live(touched), schema).where(~F.coalesce(cond, F.lit(False)))
         return self.replace_batches(kept, touched, operation, params={"predicate": str(condition)})
 
     # -- metadata views -----------------------------------------------------
