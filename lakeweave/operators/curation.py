@@ -151,16 +151,16 @@ def provenance(df: DataFrame, text_col: str, source_col: str = "source",
 
 def revert_shard(table: VersionedTable, bad_ids: DataFrame, key: str) -> int:
     """Remove rows whose ``key`` is in ``bad_ids`` as a new version; only
-    batches holding such rows are rewritten (anti join)."""
+    files holding such rows are rewritten (anti join)."""
     bad = bad_ids.select(key).distinct()
     cur = table.commit_info()
     schema = table.schema()
-    rows = table._read_batches(cur["batches"], schema, with_batch=True)
-    touched = [r[0] for r in rows.join(bad, key, "left_semi").select("_batch").distinct().collect()]
+    rows = table._read_batches(cur["batches"], schema, with_file=True)
+    keep, touched = table.split_live(cur["batches"], table.files_where(rows.join(bad, key, "left_semi")))
     if not touched:
         return table.latest_version()
-    kept = table._read_batches(table.live(touched), schema).join(bad, key, "left_anti")
-    return table.replace_batches(kept, touched, "REVERT")
+    kept = table._read_batches(touched, schema).join(bad, key, "left_anti")
+    return table.replace_entries(kept, keep, "REVERT", extra_metrics={"numFilesRewritten": len(touched)})
 
 
 # ---------------------------------------------------------------- N4 ---------

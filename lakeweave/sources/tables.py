@@ -282,6 +282,41 @@ class VersionedTable:
         ids = set(batch_ids)
         return [e for e in self._commit_at(version)["batches"] if entry_batch(e) in ids]
 
+    def split_live(self, entries: list[str], files: set[str]) -> tuple[list[str], list[str]]:
+        """Split live entries into (kept, touched) given touched file entries:
+        a whole batch with some touched files is opened up into its files."""
+        by_batch: dict[str, set] = {}
+        for f in files:
+            by_batch.setdefault(entry_batch(f), set()).add(f)
+        keep, touched = [], []
+        for e in entries:
+            hit = by_batch.get(entry_batch(e))
+            if not hit:
+                keep.append(e)
+            elif "/" in e:
+                (touched if e in hit else keep).append(e)
+            else:
+                for f in self.batch_files(e):
+                    (touched if f in hit else keep).append(f)
+        return keep, touched
+
+    def files_where(self, df: DataFrame) -> set[str]:
+        """Distinct live file entries of the rows of ``df`` (read with ``with_file``)."""
+        rel = F.regexp_extract(F.col(FILE_COL), r"/data/batch=(.*)$", 1)
+        return {r[0] for r in df.select(rel).distinct().collect()}
+
+    def replace_entries(self, df: DataFrame, keep: list[str], operation: str, params: dict | None = None,
+                        extra_metrics: dict | None = None) -> int:
+        """Publish ``keep`` plus ``df`` written as one new batch."""
+        cur = self._commit_at(None)
+        version = cur["version"] + 1
+        pb = list(cur["partition_by"])
+        batch, m = self._write_batch(df, version, pb)
+        m.update(self._batch_metrics([batch]))
+        m.update(extra_metrics or {})
+        return self._publish(version, operation, keep + [batch], pb,
+                             T.StructType.fromJson(json.loads(cur["schema_json"])), m, params)
+
     def batch_files(self, batch: str) -> list[str]:
         """Data files of a batch as entries ``b<version>/<relative path>`` (driver listing)."""
         jvm = self.spark.sparkContext._jvm
@@ -446,22 +481,8 @@ class VersionedTable:
             scope_col = F.expr(scope) if isinstance(scope, str) else scope
             target = target.where(scope_col)
         # Files holding a matched key: at most one row per file reaches the driver.
-        rel = F.regexp_extract(F.col(FILE_COL), r"/data/batch=(.*)$", 1)
-        touched_files = {r[0] for r in target.join(src.where(nonnull).select(*keys), keys, "left_semi")
-                         .select(rel).distinct().collect()}
-        keep, touched = [], []
-        by_batch: dict[str, set] = {}
-        for f in touched_files:
-            by_batch.setdefault(entry_batch(f), set()).add(f)
-        for e in cur["batches"]:
-            hit = by_batch.get(entry_batch(e))
-            if not hit:
-                keep.append(e)
-            elif "/" in e:
-                (touched if e in hit else keep).append(e)
-            else:   # a whole batch with some touched files: keep its other files
-                for f in self.batch_files(e):
-                    (touched if f in hit else keep).append(f)
+        touched_files = self.files_where(target.join(src.where(nonnull).select(*keys), keys, "left_semi"))
+        keep, touched = self.split_live(cur["batches"], touched_files)
         old = self._read_batches(touched, schema)
         for c in merged_schema.fieldNames():
             if c not in old.columns:
@@ -512,14 +533,17 @@ class VersionedTable:
                              {"restoredVersion": version}, {"version": version})
 
     def delete_where(self, condition, operation: str = "DELETE") -> int:
-        """Remove rows matching ``condition``: only batches holding such rows are rewritten."""
+        """Remove rows matching ``condition``: only files holding such rows are rewritten."""
         cur = self._commit_at(None)
         schema = T.StructType.fromJson(json.loads(cur["schema_json"]))
         cond = F.expr(condition) if isinstance(condition, str) else condition
-        tgt = self._read_batches(cur["batches"], schema, with_batch=True)
-        touched = [r[0] for r in tgt.where(cond).select(BATCH_COL).distinct().collect()]
-        kept = self._read_batches(self.live(touched), schema).where(~F.coalesce(cond, F.lit(False)))
-        return self.replace_batches(kept, touched, operation, params={"predicate": str(condition)})
+        tgt = self._read_batches(cur["batches"], schema, with_file=True)
+        keep, touched = self.split_live(cur["batches"], self.files_where(tgt.where(cond)))
+        if not touched:
+            return cur["version"]
+        kept = self._read_batches(touched, schema).where(~F.coalesce(cond, F.lit(False)))
+        return self.replace_entries(kept, keep, operation, params={"predicate": str(condition)},
+                                    extra_metrics={"numFilesRewritten": len(touched)})
 
     # -- metadata views -----------------------------------------------------
     def history(self) -> DataFrame:
