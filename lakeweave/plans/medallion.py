@@ -160,7 +160,7 @@ def tenant_daily_cost(silver: DataFrame, prices: DataFrame, digits: int = 6) ->
 
 
 def model_error_rates(silver: DataFrame, digits: int = 6) -> DataFrame:
-    """M7: error rate per (date, model, status) share, as a further Gold table."""
+    """M7: calls, errors and error rate per model, as a further Gold table."""
     return (silver.groupBy("model").agg(
         F.count(F.lit(1)).alias("calls"),
         F.sum(F.when(F.col("status") != "ok", 1).otherwise(0)).alias("errors"))

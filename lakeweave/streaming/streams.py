@@ -56,6 +56,17 @@ def bronze_stream(spark: SparkSession, path: str, files_per_trigger: int = 1,
             .parquet(path))
 
 
+def kafka_bronze_stream(spark: SparkSession, servers: str, topic: str, **options) -> DataFrame:
+    """Bronze rows from a Kafka topic keyed by request_id (message key =
+    request_id, value = raw JSON, Kafka timestamp = ``ts``). Needs the Kafka
+    connector on the classpath; no broker is available in the tests."""
+    r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+         .option("subscribe", topic).options(**options).load())
+    return r.select(F.col("key").cast("string").alias("request_id"),
+                    F.col("timestamp").cast("timestamp_ntz").alias("ts"),
+                    F.col("value").cast("string").alias("raw_json"))
+
+
 def _event_time(df: DataFrame, ts: str = "ts") -> DataFrame:
     """Watermarks need TIMESTAMP; the NTZ column stays for output."""
     return df.withColumn("_et", F.col(ts).cast("timestamp"))
