@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from lakeweave.functions.pricing import cost_usd, price_maps
 from lakeweave.operators.layout import compact
@@ -67,9 +67,23 @@ def kafka_bronze_stream(spark: SparkSession, servers: str, topic: str, **options
                     F.col("value").cast("string").alias("raw_json"))
 
 
+def _epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def ntz_to_instant(c: Column) -> Column:
+    """TIMESTAMP_NTZ wall time read as UTC -> TIMESTAMP, whatever the session zone."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_ntz(), c))
+
+
+def instant_to_ntz(c: Column) -> Column:
+    """TIMESTAMP -> its UTC wall time as TIMESTAMP_NTZ, whatever the session zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c), _epoch_ntz())
+
+
 def _event_time(df: DataFrame, ts: str = "ts") -> DataFrame:
     """Watermarks need TIMESTAMP; the NTZ column stays for output."""
-    return df.withColumn("_et", F.col(ts).cast("timestamp"))
+    return df.withColumn("_et", ntz_to_instant(F.col(ts)))
 
 
 def last_batch_id(table: VersionedTable) -> int:
@@ -136,7 +150,7 @@ def window_metrics(stream: DataFrame, duration: str = "5 minutes", delay: str =
         F.sum("completion_tokens").alias("completion_tokens"),
         F.percentile("latency_ms", F.array(F.lit(0.5), F.lit(0.95))).alias("_q"))
     return agg.select(
-        F.col("w.start").cast("timestamp_ntz").alias("window_start"), "model", "calls", "errors",
+        instant_to_ntz(F.col("w.start")).alias("window_start"), "model", "calls", "errors",
         "prompt_tokens", "completion_tokens",
         F.round(F.col("_q")[0], digits).alias("p50_latency_ms"),
         F.round(F.col("_q")[1], digits).alias("p95_latency_ms"),

@@ -75,3 +75,16 @@ def test_age_tier(spark):
     got = [r["tier"] for r in C.age_tier(df, "d", "2024-01-31").collect()]
     assert got == ["hot", "warm", "archive"]
     assert F is not None
+
+
+def test_event_time_ignores_session_zone(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 15, 2, 30),)], "ts timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Australia/Sydney")
+        r = df.select(S.instant_to_ntz(S.ntz_to_instant(F.col("ts"))).alias("x"),
+                      F.unix_micros(S.ntz_to_instant(F.col("ts"))).alias("us")).collect()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r["x"] == dt.datetime(2024, 1, 15, 2, 30)
+    assert r["us"] == int(dt.datetime(2024, 1, 15, 2, 30, tzinfo=dt.timezone.utc).timestamp() * 1_000_000)
