@@ -43,22 +43,27 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+_LOCAL_FALLBACK: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Only when it is unset (local tests) do we pick a fresh local folder and
-    register it, so ``DataFrame.checkpoint()`` and written tables agree.
+    register it with ``SparkContext.setCheckpointDir`` (the config itself
+    cannot change at runtime), so ``DataFrame.checkpoint()`` and written
+    tables agree.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="lakeweave-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+        app = sc.applicationId
+        if app not in _LOCAL_FALLBACK:
+            existing = sc.getCheckpointDir()
+            _LOCAL_FALLBACK[app] = existing or tempfile.mkdtemp(prefix="lakeweave-ckpt-")
+        d = _LOCAL_FALLBACK[app]
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 
