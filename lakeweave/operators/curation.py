@@ -63,11 +63,13 @@ def components(edges: DataFrame, max_iter: int = 50) -> DataFrame:
     return labels.select("node", F.col("label").alias("component"))
 
 
-def near_dups(df: DataFrame, id_col: str, text_col: str, bands: int = 20, rows: int = 5,
+def near_dups(df: DataFrame, id_col: str, text_col: str, bands: int = 16, rows: int = 6,
               ngram: int = 5, threshold: float = 0.8) -> DataFrame:
     """MinHash-LSH near-duplicate groups over whole texts.
 
-    Signature of ``bands * rows`` minhashes; each band hashes to a bucket.
+    Signature of ``bands * rows`` minhashes (96 by default: with the id that
+    keeps the signature aggregate within whole-stage codegen's default field
+    limit of 100); each band hashes to a bucket.
     Documents sharing a bucket are linked to the bucket's least id (a star,
     never all pairs), and linked documents form components. Returns
     ``(id, component, is_duplicate)`` for documents in a group of two or
