@@ -54,7 +54,8 @@ def q_stream_replay(spark, sf):
     silver = _silver_via_stream(spark, sf)
     before = silver.latest_version()
     sink = S.silver_sink(silver)
-    replay = S.bronze_stream  # noqa: F841 - the replayed input is the batch Bronze
+    # Replay micro-batches 0 and 1 (here fed the whole Bronze: any content
+    # must be ignored for an already-committed batch id).
     sink(_bronze(spark, sf), 0)
     sink(_bronze(spark, sf), 1)
     if silver.latest_version() != before:
@@ -76,10 +77,9 @@ FROM silver s LEFT JOIN prices p USING (model)
 GROUP BY 1, 2, p.c_in, p.c_out""")
 def q_stream_window(spark, sf):
     """ST2: 5-minute tumbling windows with a watermark, update mode, upserted per trigger."""
-    from lakeweave.plans.medallion import SILVER_COLUMNS
     schema = M.build_silver(_bronze(spark, sf)).schema
     src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-           .parquet(_landing(spark, sf, "silver")).select(*SILVER_COLUMNS))
+           .parquet(_landing(spark, sf, "silver")).select(*M.SILVER_COLUMNS))
     out = VersionedTable(spark, shared_dir(spark, "stream_windows"))
     q = (S.window_metrics(src, "5 minutes", DELAY).writeStream.outputMode("update")
          .foreachBatch(S.upsert_sink(out, ["window_start", "model"], keys_unique=True))
