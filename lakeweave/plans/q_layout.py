@@ -124,3 +124,37 @@ def q_partition_pruned(spark, sf):
     """Partition pruning: a date filter touches only matching directories."""
     return (events_partitioned(spark, sf).read().where(F.col("event_date") >= F.lit("2024-01-15").cast("date"))
             .groupBy("event_date", "event_type").agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+_EVENTS_CLUSTER: dict = {}
+
+
+def events_clustered(spark, sf):
+    """The reference's point-lookup scenario on ``events``: 200 small files,
+    clustered by ``user_id`` alone into 64 KiB files."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _EVENTS_CLUSTER:
+        ev = table(spark, sf, "events")
+        t = VersionedTable(spark, shared_dir(spark, "events_cluster"))
+        L.small_file_append(t, ev, SMALL_FILES)
+        L.zorder(t, ["user_id"], TARGET_BYTES)
+        point = ev.agg(F.max("user_id")).collect()[0][0] // 2
+        _EVENTS_CLUSTER[key] = (t, {"user_id": point, "event_type": "purchase"})
+    return _EVENTS_CLUSTER[key]
+
+
+@register("layout_user_point_read", """SELECT * FROM events
+WHERE user_id = (SELECT max(user_id) // 2 FROM events) AND event_type = 'purchase'""")
+def q_user_point_read(spark, sf):
+    """user_id point lookup after single-column clustering; same rows as the filter."""
+    t, point = events_clustered(spark, sf)
+    return L.pruned_read(t, point)
+
+
+@register("layout_user_pruning_report")
+def q_user_pruning_report(spark, sf):
+    """Files covering the user before (200 small files) and after clustering."""
+    t, point = events_clustered(spark, sf)
+    p = {"user_id": point["user_id"]}
+    return (L.pruning_report(t, p, version=0).withColumn("version", F.lit(0))
+            .unionByName(L.pruning_report(t, p).withColumn("version", F.lit(1))))
