@@ -282,6 +282,27 @@ class VersionedTable:
         ids = set(batch_ids)
         return [e for e in self._commit_at(version)["batches"] if entry_batch(e) in ids]
 
+    def _key_range_candidates(self, entries: list[str], src: DataFrame, keys: list[str]) -> list[str]:
+        """Entries that may hold a source key: for batches with stored
+        statistics on a single key column, only files whose [min, max]
+        overlaps the source's key range (one aggregate over the source, one
+        read of the stored per-file rows); other entries are all candidates."""
+        if len(keys) != 1:
+            return list(entries)
+        k = keys[0]
+        stored = [e for e in entries if "/" not in e and k in self.stats_columns(e)]
+        if not stored:
+            return list(entries)
+        lo, hi = src.agg(F.min(k), F.max(k)).collect()[0]
+        rest = [e for e in entries if e not in stored]
+        if lo is None:
+            return rest
+        st = (self.spark.read.option("basePath", f"{self.root}/_stats")
+              .parquet(*[self.stats_path(b) for b in stored])
+              .where((F.col(f"max_{k}") >= F.lit(lo)) & (F.col(f"min_{k}") <= F.lit(hi))))
+        rel = F.regexp_extract(F.col("file_path"), r"/data/batch=(.*)$", 1)
+        return rest + sorted(r[0] for r in st.select(rel).collect())
+
     def split_live(self, entries: list[str], files: set[str]) -> tuple[list[str], list[str]]:
         """Split live entries into (kept, touched) given touched file entries:
         a whole batch with some touched files is opened up into its files."""
@@ -475,7 +496,8 @@ class VersionedTable:
                if check_unique else [])
         if dup:
             raise MergeConflict(f"several source rows share the key {dup[0].asDict()}")
-        target = self._read_batches(cur["batches"], schema, with_file=True)
+        candidates = self._key_range_candidates(cur["batches"], src.where(nonnull), keys)
+        target = self._read_batches(candidates, schema, with_file=True)
         scope_col = None
         if scope is not None:
             scope_col = F.expr(scope) if isinstance(scope, str) else scope
@@ -520,7 +542,8 @@ class VersionedTable:
         m.update({"numTargetRowsUpdated": res.get("updated") or 0,
                   "numTargetRowsInserted": res.get("inserted") or 0,
                   "numTargetRowsCopied": res.get("copied") or 0,
-                  "numTargetFilesRewritten": len(touched)})
+                  "numTargetFilesRewritten": len(touched),
+                  "numTargetEntriesScanned": len(candidates)})
         return self._publish(version, "MERGE", keep + [batch], list(cur["partition_by"]), merged_schema, m,
                              dict(params or {}, predicate=" AND ".join(f"t.{k} = s.{k}" for k in keys)))
 
