@@ -600,16 +600,27 @@ class VersionedTable:
         a, b = self._commit_at(start), self._commit_at(end)
         sa, sb = (T.StructType.fromJson(json.loads(x["schema_json"])) for x in (a, b))
         cols = sb.fieldNames() + [c for c in sa.fieldNames() if c not in sb.fieldNames()]
-        shared = set(a["batches"]) & set(b["batches"])
 
-        def side(c, s):
-            df = self._read_batches([x for x in c["batches"] if x not in shared], s)
+        def expand(entries, other):
+            # A batch kept whole on one side and split into files on the other
+            # is compared file by file, so its untouched files cancel too.
+            split = {entry_batch(e) for e in other if "/" in e}
+            out = []
+            for e in entries:
+                out.extend(self.batch_files(e) if "/" not in e and e in split else [e])
+            return out
+
+        ea, eb = expand(a["batches"], b["batches"]), expand(b["batches"], a["batches"])
+        shared = set(ea) & set(eb)
+
+        def side(entries, s):
+            df = self._read_batches([x for x in entries if x not in shared], s)
             for name in cols:
                 if name not in df.columns:
                     df = df.withColumn(name, F.lit(None).cast((sb if name in sb.fieldNames() else sa)[name].dataType))
             return df.select(*cols)
 
-        old, new = side(a, sa), side(b, sb)
+        old, new = side(ea, sa), side(eb, sb)
         removed, added = old.exceptAll(new), new.exceptAll(old)
         if key is None:
             return (removed.withColumn("_change_type", F.lit("delete"))
