@@ -48,3 +48,18 @@ def test_layout_columns_bucket_bounds(spark):
     b = {r["bucket"] for r in out.select("bucket").distinct().collect()}
     assert b <= {0, 1, 2, 3}
     assert out.where(F.col("hour") != F.hour("ts")).count() == 0
+
+
+def test_compact_partitioned_table(spark, fresh):
+    ev = spark.read.parquet(f"{SF}/events.parquet").withColumn("d", F.to_date("ts"))
+    t = fresh("part")
+    t.overwrite(ev.limit(0), partition_by=["d"])
+    for i in range(3):                              # each append adds a file per date directory
+        t.append(ev.where(F.col("event_id") % 3 == i))
+    before = t.detail().collect()[0]["numFiles"]
+    res = L.compact(t, 64 * 1024)
+    after = t.detail().collect()[0]["numFiles"]
+    assert res["numFilesRemoved"] > 0 and after < before
+    assert _bag(t.read()) == _bag(ev)
+    assert t.read().where(F.col("d") == F.lit("2024-01-02").cast("date")).count() == \
+        ev.where(F.col("d") == F.lit("2024-01-02").cast("date")).count()
