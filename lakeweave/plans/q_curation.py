@@ -75,7 +75,7 @@ FROM (SELECT date_diff('day', CAST(o_orderdate AS DATE), (SELECT CAST(max(o_orde
 def q_age_tier(spark, sf):
     """Orders per storage tier, ages relative to the newest order."""
     o = table(spark, sf, "orders")
-    as_of = o.agg(F.max("o_orderdate")).collect()[0][0]
+    as_of = o.agg(F.max("o_orderdate")).collect()[0][0].date().isoformat()   # zone-free literal
     return C.age_tier(o, "o_orderdate", as_of).groupBy("tier").agg(F.count(F.lit(1)).alias("n_rows"))
 
 

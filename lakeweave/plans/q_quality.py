@@ -87,7 +87,8 @@ def q_retention_payload(spark, sf):
     holds = ev.where(F.col("event_type") == "purchase").select(
         F.concat(F.lit("req-"), F.col("event_id").cast("string")).alias("request_id"))
     as_of = ev.agg(F.max("ts")).collect()[0][0]
-    out = R.expire_payload(b, "ts", F.lit(as_of), 7, ["raw_json"], holds, "request_id")
+    # An NTZ literal from its ISO text: no process or session time zone involved.
+    out = R.expire_payload(b, "ts", as_of.isoformat(sep=" "), 7, ["raw_json"], holds, "request_id")
     # JSON text is formatted differently by each engine: compare presence and
     # a field of the original payload instead of the text.
     return out.join(b.select("request_id", "ts", F.get_json_object("raw_json", "$.status").alias("status")),
@@ -103,7 +104,7 @@ def q_retention_rows(spark, sf):
     t = VersionedTable(spark, shared_dir(spark, "events_retention"))
     t.overwrite(ev)
     as_of = ev.agg(F.max("ts")).collect()[0][0]
-    R.expire_rows(t, "ts", F.lit(as_of), 7)
+    R.expire_rows(t, "ts", as_of.isoformat(sep=" "), 7)
     return t.read()
 
 
