@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("decontaminate",)
+MODULES = ("decontaminate", "token_counts")
 
 
 def load() -> tuple[dict, dict]:
