@@ -8,11 +8,15 @@ MODULES = ("decontaminate", "token_counts", "topk", "links", "mixing", "quality"
 
 
 def load() -> tuple[dict, dict]:
-    """(queries, oracle SQL): each module's QUERIES and ORACLE."""
+    """(queries, oracle SQL): each module's QUERIES and ORACLE, and the pipeline."""
     queries: dict = {}
     oracle: dict = {}
     for name in MODULES:
         m = import_module(f"lakeweave.llm.{name}")
         queries.update(m.QUERIES)
         oracle.update(m.ORACLE)
+    pipeline = import_module("corpus_pipeline")
+    queries["pipeline"] = pipeline.run
+    if pipeline.ORACLE_SQL is not None:
+        oracle["pipeline"] = pipeline.ORACLE_SQL
     return queries, oracle
