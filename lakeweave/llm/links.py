@@ -5,7 +5,7 @@ starts with the rule's; the longest rule wins. A url that no rule fits gets
 its host's verdict: trust starts at the hosts of allowed pages and runs along
 host edges, distrust starts at the hosts of blocked pages and runs against
 them, both as personalised PageRank; a host is blocked where its distrust is
-above its trust and above the mean over all hosts.
+above its trust and above half the mean distrust of all hosts.
 
 Host edges are the absolute hyperlinks found in the pages, plus an edge each
 way between a host and its nearest parent domain that also occurs. Ranks are
@@ -126,8 +126,9 @@ def verdicts(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, da
     seeds = part.select("host", F.expr(f"a * ({MASS}L div {max(1, all_a or 0)}L)").alias("t0"),
                         F.expr(f"b * ({MASS}L div {max(1, all_b or 0)}L)").alias("d0"))
     rank = propagate(host_edges(pages, per.select("host")), seeds, damping)
+    all_d = rank.agg(F.sum("d")).first()[0] or 0
     own = rank.select("host", F.col("t").alias("trust"), F.col("d").alias("distrust"),
-                      F.when((F.col("d") > F.col("t")) & (F.col("d") * F.lit(hosts) > F.lit(MASS)) & (F.col("host") != ""), "block")
+                      F.when((F.col("d") > F.col("t")) & (F.col("d").cast("decimal(38,0)") * (2 * hosts) > F.lit(all_d)) & (F.col("host") != ""), "block")
                       .otherwise("allow").alias("own"))
     return (known.join(small(own, 200_000), "host", "left")
             .select("page_id", "host", "path", "rule", F.coalesce("verdict", "own").alias("verdict"), "trust", "distrust"))

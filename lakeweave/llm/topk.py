@@ -16,7 +16,8 @@ Defined cases: a vector that is NULL, or holds NULL or non-finite components,
 or has a NULL id, takes no part; vectors of fewer dimensions count as padded
 with zeros; fewer than k candidates give fewer rows; rows that repeat a vec_id
 are the same vector to themselves (no query finds its own id), and the best
-score of an id counts; further columns are ignored.
+score of an id counts; scores beyond bigint saturate; further columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -98,6 +99,8 @@ class ImpactIndex:
         for i in range(len(q)):
             member = np.flatnonzero(alive[i] & (self.ids != qids[i]))
             exact = self.x[member] @ q[i]
+            if exact.dtype == object:
+                exact = np.clip(exact, -(1 << 63) + 1, (1 << 63) - 1).astype(np.int64)
             best = np.lexsort((self.ids[member], -exact))[:keep]
             rows.append(np.full(len(best), i))
             ids.append(self.ids[member[best]])
