@@ -2,11 +2,11 @@
 
 ``components`` alternates large-star and small-star until the edges stay the
 same. ``linked`` finds the components of "shares a bucket and is confirmed"
-without listing a bucket's pairs: members are first compared with the least of
-their bucket (a star). Where that leaves one bucket's members in more than one
-component, only members of different components are compared, in cells of
-bounded size that are dealt over tasks, so every pair that shares a bucket is
-either compared or already connected.
+without listing a bucket's pairs. Members are dealt into cells of bounded size;
+the edges of each cell's maximum spanning forest by closeness are confirmed.
+Where that leaves one bucket's members in more than one component, only members
+of different components are compared, again in cells, so every pair that shares
+a bucket is either compared or already connected.
 """
 
 from __future__ import annotations
@@ -22,7 +22,8 @@ from lakeweave.llm.common import Runs, cut
 #: Members of one side of a cell, about.
 CELL = 512
 
-Near = Callable[[np.ndarray, np.ndarray], np.ndarray]
+#: Closeness of the rows of two payload matrices; negative: they can't be linked.
+Close = Callable[[np.ndarray, np.ndarray], np.ndarray]
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -55,28 +56,49 @@ def payloads(column) -> np.ndarray:
     return np.frombuffer(a.buffers()[2], np.uint8)[offs[0]:offs[-1]].reshape(len(a), -1) if len(a) else np.zeros((0, 1), np.uint8)
 
 
-def compared(pairs: DataFrame, nodes: DataFrame, near: Near) -> DataFrame:
-    """The ``pairs`` (a, b) whose payloads are near."""
-    p = nodes.select("node", "payload")
-
-    def keep(batches):
-        for b in batches:
-            ok = near(payloads(b.column(2)), payloads(b.column(3)))
-            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(ok)), b.column(1).filter(pa.array(ok))], names=["a", "b"])
+def spanning(cells: DataFrame, close: Close) -> DataFrame:
+    """The edges of a maximum spanning forest over each cell's members (cell,
+    node, payload), weighted by closeness: at most one edge a member."""
+    def run(batches):
+        for t in Runs(batches, "cell"):
+            cell, node, data = t.column("cell").to_numpy(), t.column("node").combine_chunks(), payloads(t.column("payload"))
+            first = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
+            size = np.diff(np.concatenate((first, [len(cell)])))
+            two = first[size == 2]
+            two = two[close(data[two], data[two + 1]) >= 0]
+            a, b = [two], [two + 1]
+            for at, n in zip(first[size > 2].tolist(), size[size > 2].tolist()):
+                mine = data[at:at + n]
+                best, parent, out = np.full(n, -1), np.zeros(n, np.int64), np.ones(n, bool)
+                v, edges = 0, []
+                for _ in range(n - 1):
+                    out[v], best[v] = False, -2
+                    w = close(np.broadcast_to(mine[v], mine.shape), mine)
+                    nearer = out & (w > best)
+                    best[nearer], parent[nearer] = w[nearer], v
+                    v = int(best.argmax())
+                    if best[v] >= 0:
+                        edges.append((int(parent[v]), v))
+                if edges:
+                    x, y = np.array(edges).T
+                    a.append(x + at)
+                    b.append(y + at)
+            yield pa.RecordBatch.from_arrays([node.take(pa.array(np.concatenate(k))) for k in (a, b)], names=["a", "b"])
 
-    both = (pairs.join(p.select(F.col("node").alias("b"), F.col("payload").alias("pb")), "b")
-            .join(p.select(F.col("node").alias("a"), F.col("payload").alias("pa")), "a").select("a", "b", "pa", "pb"))
-    kind = pairs.schema["a"].dataType.simpleString()
-    return both.mapInArrow(keep, f"a {kind}, b {kind}")
+    kind = cells.schema["node"].dataType.simpleString()
+    return cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def across(cells: DataFrame, near: Near) -> DataFrame:
-    """Near pairs of different components within each cell of ``cells``
-    (cell, node, component, main, payload); two ``main`` rows are not compared."""
+def across(cells: DataFrame, close: Close) -> DataFrame:
+    """Near pairs of different components within each cell of ``cells`` (cell,
+    bucket, node, component, main, homes, payload). Two ``main`` rows are not
+    compared, and of the buckets (``homes``) that a pair shares only the least
+    gives it."""
     def run(batches):
         for t in Runs(batches, "cell"):
             cell, comp, main = (t.column(c).to_numpy() for c in ("cell", "component", "main"))
             node, data = t.column("node").combine_chunks(), payloads(t.column("payload"))
+            bucket, homes = t.column("bucket").to_numpy(), [frozenset(x) for x in t.column("homes").to_pylist()]
             left, lag = np.arange(len(cell)), 1
             while True:
                 left = left[left < len(cell) - lag]
@@ -84,7 +106,8 @@ def across(cells: DataFrame, near: Near) -> DataFrame:
                 if not len(left):
                     break
                 i = left[(comp[left] != comp[left + lag]) & ~(main[left] & main[left + lag])]
-                i = i[near(data[i], data[i + lag])]
+                i = i[close(data[i], data[i + lag]) >= 0]
+                i = i[[min(homes[k] & homes[k + lag]) == bucket[k] for k in i.tolist()]] if len(i) else i
                 if len(i):
                     yield pa.RecordBatch.from_arrays([node.take(pa.array(i)), node.take(pa.array(i + lag))], names=["a", "b"])
                 lag += 1
@@ -93,31 +116,38 @@ def across(cells: DataFrame, near: Near) -> DataFrame:
     return cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def linked(nodes: DataFrame, members: DataFrame, near: Near, confirm: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def linked(nodes: DataFrame, members: DataFrame, close: Close, confirm: Callable[[DataFrame], DataFrame],
+           refine: Callable[[DataFrame], DataFrame] | None = None, closer: Close | None = None) -> DataFrame:
     """(node, component) of all nodes linked to another. ``nodes``: (node,
-    payload), one row each; ``members``: (bucket, node); ``near``: whether rows
-    of two payload matrices may be linked; ``confirm``: the pairs (a, b) that are."""
-    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("hub")).where("n > 1")
-    m = cut(members.join(shared, "bucket").where((F.col("node") != F.col("hub")) | (F.col("n") > 2)).select("bucket", "node", "hub", "n"), "members")
-    star = m.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    first = cut(confirm(compared(star, nodes, near)).select(F.col("b").alias("src"), F.col("a").alias("dst")), "links")
-    comp = cut(components(first), "components")
-
-    # buckets whose members are not in one component; each pair with the hub has been compared
-    lab = (m.where("n > 2").join(comp, "node", "left").select("bucket", "node", "hub", F.coalesce("component", "node").alias("component")))
+    payload), one row each; ``members``: (bucket, node); ``confirm``: those of
+    the pairs (a, b) that are linked. ``refine`` may give the nodes of the
+    second comparison a longer payload, which ``closer`` compares."""
+    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    m = cut(members.join(shared, "bucket").select("bucket", "node", "n"), "members")
+    ordered = lambda pairs: pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    part = F.pmod(F.xxhash64("node", "bucket"), F.ceil(F.col("n") / CELL))
+    cells = m.select(F.xxhash64("bucket", part).alias("cell"), "node").join(nodes.select("node", "payload"), "node")
+    tried = cut(ordered(spanning(cells.select("cell", "node", "payload"), close)), "pairs")
+    comp = cut(components(confirm(tried).select(F.col("b").alias("src"), F.col("a").alias("dst"))), "components")
+
+    # buckets whose members are not in one component (a pair alone has been compared)
+    lab = m.where("n > 2").join(comp, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
     per = lab.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("k"))
     split = (per.groupBy("bucket").agg(F.sum("k").alias("n"), F.max(F.struct("k", "component")).alias("most"), F.count(F.lit(1)).alias("parts"))
              .where("parts > 1").select("bucket", F.col("most.component").alias("most"), F.ceil((F.col("n") - F.col("most.k")) / CELL).cast("int").alias("few"),
                                         F.ceil(F.col("most.k") / CELL).cast("int").alias("many")))
-    rows = (lab.join(split, "bucket").where(F.col("node") != F.col("hub"))
-            .select("bucket", "node", "component", (F.col("component") == F.col("most")).alias("main"), "few", "many"))
+    rows = lab.join(split, "bucket").select("bucket", "node", "component", (F.col("component") == F.col("most")).alias("main"), "few", "many")
     rows = rows.withColumn("at", F.pmod(F.xxhash64("node", "bucket"), F.when(F.col("main"), F.col("many")).otherwise(F.col("few"))).cast("int"))
     upto = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
     with_main = lambda i, j: F.xxhash64("bucket", F.lit(0), i, j)
     with_few = lambda i, j: F.xxhash64("bucket", F.lit(1), F.least(i, j), F.greatest(i, j))
     cells = F.when(F.col("main"), F.transform(upto("few"), lambda i: with_main(i, F.col("at")))).otherwise(
         F.array_distinct(F.concat(F.transform(upto("many"), lambda j: with_main(F.col("at"), j)), F.transform(upto("few"), lambda j: with_few(F.col("at"), j)))))
-    cells = rows.select(F.explode(cells).alias("cell"), "node", "component", "main").join(nodes.select("node", "payload"), "node")
-    pairs = across(cells, near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    second = confirm(pairs).select(F.col("b").alias("src"), F.col("a").alias("dst"))
+    rows = cut(rows.select(cells.alias("cells"), "bucket", "node", "component", "main"), "contested")
+    homes = rows.groupBy("node").agg(F.collect_set("bucket").alias("homes"))
+    longer = nodes if refine is None else refine(rows.select("node").distinct())
+    cells = (rows.select(F.explode("cells").alias("cell"), "bucket", "node", "component", "main")
+             .join(homes.join(longer.select("node", "payload"), "node"), "node"))
+    rest = ordered(across(cells, closer or close)).join(tried, ["a", "b"], "left_anti")
+    second = confirm(rest).select(F.col("b").alias("src"), F.col("a").alias("dst"))
     return components(comp.select(F.col("node").alias("src"), F.col("component").alias("dst")).unionByName(second))

@@ -95,7 +95,7 @@ def test_residual_cells_compare_across_components(spark, monkeypatch):
     rng = random.Random(8)
     values = [rng.randrange(256) for _ in range(60)]
     nodes = spark.createDataFrame([(i, bytes([v])) for i, v in enumerate(values)], "node bigint, payload binary")
-    near = lambda a, b: np.abs(a[:, 0].astype(int) - b[:, 0].astype(int)) <= 3
+    near = lambda a, b: 3 - np.abs(a[:, 0].astype(int) - b[:, 0].astype(int))
     got = {r.node: r.component for r in linking.linked(nodes, nodes.select(F.lit(1).alias("bucket"), "node"), near, lambda p: p).collect()}
     top = found((i, j) for i in range(60) for j in range(i) if abs(values[i] - values[j]) <= 3)
     assert {i: got.get(i, i) for i in range(60)} == {i: top(i) for i in range(60)}
