@@ -48,7 +48,7 @@ def hmac_sha256_hex(message: Column, key: bytes) -> Column:
     return F.sha2(F.concat(F.unhex(F.lit(opad)), F.unhex(inner)), 256)
 
 
-def token(kind: str, value: Column, key: bytes = DEMO_KEY) -> Column:
+def token(kind: str, value: Column, key: bytes) -> Column:
     """``tok_<kind>_<24 hex>`` of the normalized value."""
     return F.concat(F.lit(f"tok_{kind}_"),
                     F.substring(hmac_sha256_hex(normalize(value), key), 1, TOKEN_HEX_CHARS))
@@ -59,7 +59,7 @@ def matches(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), 0)
 
 
-def replace_pass(text: Column, pattern: str, kind: str, key: bytes = DEMO_KEY) -> tuple[Column, Column, Column]:
+def replace_pass(text: Column, pattern: str, kind: str, key: bytes) -> tuple[Column, Column, Column]:
     """every match of ``pattern`` replaced by its token.
 
     Returns (new text, tokens, matched values). ``split(..., -1)`` yields one
@@ -73,7 +73,7 @@ def replace_pass(text: Column, pattern: str, kind: str, key: bytes = DEMO_KEY) -
     return joined, toks, found
 
 
-def redact(text: Column, key: bytes = DEMO_KEY, safe: bool = False) -> Column:
+def redact(text: Column, key: bytes, safe: bool = False) -> Column:
     """E-mail pass, then phone pass over its output.
 
     Returns ``struct(text, found array<struct<token, kind, value>>)``. With
@@ -94,7 +94,7 @@ def redact(text: Column, key: bytes = DEMO_KEY, safe: bool = False) -> Column:
 FOUND_TYPE = "array<struct<token:string,kind:string,value:string>>"
 
 
-def pass_struct(text: Column, pattern: str, kind: str, key: bytes = DEMO_KEY) -> Column:
+def pass_struct(text: Column, pattern: str, kind: str, key: bytes) -> Column:
     """One redaction pass as ``struct(text, found)``. Texts with no match
     (most of them) are returned as they are after a single regex scan; only
     texts that match are split, tokenized and rebuilt. ``text`` should be a
@@ -112,6 +112,11 @@ def token_count(found: Column) -> Column:
     return F.size(F.array_distinct(F.transform(found, lambda r: r["token"])))
 
 
+TOKEN_PATTERN = r"tok_(?:email|phone)_[0-9a-f]{1,24}"
+
+
 def leaks(text: Column) -> Column:
-    """Whether a text still holds something that looks like an e-mail or phone."""
-    return text.rlike(EMAIL_PATTERN) | text.rlike(PHONE_PATTERN_SAFE)
+    """Whether a text holds an e-mail or phone outside its tokens, by the
+    full patterns, whichever pattern the redaction went by."""
+    rest = F.regexp_replace(text, TOKEN_PATTERN, "#")
+    return rest.rlike(EMAIL_PATTERN) | rest.rlike(PHONE_PATTERN)

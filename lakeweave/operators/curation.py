@@ -41,26 +41,32 @@ def minhash_signatures(df: DataFrame, id_col: str, hashes: Column, num_perm: int
     return ex.groupBy("id").agg(*mins).select("id", F.array(*[F.col(f"m{i}") for i in range(num_perm)]).alias("sig"))
 
 
-def components(edges: DataFrame, max_iter: int = 50) -> DataFrame:
-    """Connected components by min-label propagation on an edge list
-    ``(src, dst)``; returns ``(node, component)`` with the least node id as
-    the label. Each round is a join + aggregate; lineage is cut with
-    ``checkpoint()`` (into ``spark.checkpoint.dir``) every round."""
+def components(edges: DataFrame) -> DataFrame:
+    """Connected components of an edge list ``(src, dst)``; returns ``(node,
+    component)`` with the least node id as the label.
+
+    Each round takes the least label among a node's neighbours, then follows
+    labels to the labels of those nodes (pointer jumping), so the number of
+    rounds grows with the logarithm of a path's length. It ends when no label
+    changes. Lineage is cut with ``checkpoint()`` every round."""
     spark = edges.sparkSession
     checkpoint_root(spark)
     und = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     und = und.where(F.col("src") != F.col("dst")).distinct().checkpoint()
-    labels = (und.select(F.col("src").alias("node")).distinct()
-              .withColumn("label", F.col("node")).checkpoint())
-    for _ in range(max_iter):
-        prop = (und.join(labels, und.src == labels.node).select(F.col("dst").alias("node"), "label")
-                .unionByName(labels).groupBy("node").agg(F.min("label").alias("label")))
-        new = prop.checkpoint()
+    labels = und.groupBy(F.col("src").alias("node")).agg(F.least(F.first("src"), F.min("dst")).alias("label")).checkpoint()
+    while True:
+        # a node, and the node its label names, learn the least label around it
+        near = und.join(labels.withColumnRenamed("node", "src"), "src").groupBy(F.col("dst").alias("node")).agg(F.min("label").alias("m"))
+        low = labels.join(near, "node").select("node", "label", F.least("label", "m").alias("m"))
+        hooked = (low.select("node", "m").unionByName(low.select(F.col("label").alias("node"), "m"))
+                  .groupBy("node").agg(F.min("m").alias("label")))
+        hooked = labels.select("node").join(hooked, "node")
+        to = hooked.select(F.col("node").alias("label"), F.col("label").alias("next"))
+        new = hooked.join(to, "label").select("node", F.least("label", "next").alias("label")).checkpoint()
         changed = new.alias("n").join(labels.alias("o"), "node").where(F.col("n.label") != F.col("o.label")).limit(1)
         labels = new
         if not changed.collect():
-            break
-    return labels.select("node", F.col("label").alias("component"))
+            return labels.select("node", F.col("label").alias("component"))
 
 
 def near_dups(df: DataFrame, id_col: str, text_col: str, bands: int = 16, rows: int = 6,
@@ -71,7 +77,8 @@ def near_dups(df: DataFrame, id_col: str, text_col: str, bands: int = 16, rows:
     keeps the signature aggregate within whole-stage codegen's default field
     limit of 100); each band hashes to a bucket.
     Documents sharing a bucket are linked to the bucket's least id (a star,
-    never all pairs), and linked documents form components. Returns
+    never all pairs); those that turn out unlike it are linked again by the
+    buckets of two bands. Linked documents form components. Returns
     ``(id, component, is_duplicate)`` for documents in a group of two or
     more; the component's least id is the one kept. A bucket holding a third
     of all documents is aggregated map-side; its member/least-id join is a
@@ -85,19 +92,29 @@ def near_dups(df: DataFrame, id_col: str, text_col: str, bands: int = 16, rows:
     band_rows = sig.select("id", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(bands - 1)),
         lambda b: F.xxhash64(F.slice(F.col("sig"), b * rows + 1, rows)))).alias("band", "bucket"))
-    heads = band_rows.groupBy("band", "bucket").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n"))
-    cand = (band_rows.join(heads.where(F.col("n") > 1), ["band", "bucket"])
-            .where(F.col("id") != F.col("head")).select(F.col("id").alias("src"), F.col("head").alias("dst"))
-            .distinct())
     # Verify each link: share of equal signature positions >= threshold.
     k = bands * rows
     s1 = sig.select(F.col("id").alias("src"), F.col("sig").alias("s1"))
     s2 = sig.select(F.col("id").alias("dst"), F.col("sig").alias("s2"))
     agree = F.size(F.filter(F.arrays_zip(F.col("s1").alias("a"), F.col("s2").alias("b")),
                             lambda x: x["a"] == x["b"])) / F.lit(float(k))
-    edges = (cand.join(s1, "src").join(s2, "dst").where(agree >= F.lit(threshold))
-             .select("src", "dst"))
-    comp = components(edges)
+
+    def star(members: DataFrame) -> DataFrame:
+        heads = members.groupBy("bucket").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n"))
+        cand = (members.join(heads.where(F.col("n") > 1), "bucket").where(F.col("id") != F.col("head"))
+                .select(F.col("id").alias("src"), F.col("head").alias("dst")).distinct())
+        return cand.join(s1, "src").join(s2, "dst").select("src", "dst", (agree >= F.lit(threshold)).alias("ok")).checkpoint()
+
+    first = star(band_rows.select(F.xxhash64("band", "bucket").alias("bucket"), "id"))
+    # Where a bucket's least id is not like a member, other members may be:
+    # these documents are linked again by the buckets of each two bands, which
+    # documents below the threshold rarely share.
+    again = first.where(~F.col("ok"))
+    again = again.select(F.col("src").alias("id")).unionByName(again.select(F.col("dst").alias("id"))).distinct()
+    per = band_rows.join(again, "id").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("band", "bucket"))).alias("b"))
+    two = F.flatten(F.transform(F.col("b"), lambda x: F.transform(F.filter(F.col("b"), lambda y: y["band"] > x["band"]), lambda y: F.xxhash64(x, y))))
+    second = star(per.select("id", F.explode(two).alias("bucket")))
+    comp = components(first.unionByName(second).where("ok").select("src", "dst"))
     return comp.select(F.col("node").alias(id_col), "component",
                        (F.col("node") != F.col("component")).alias("is_duplicate"))
 
@@ -175,18 +192,23 @@ def scd2(changes: DataFrame, key: str, ts: str, tiebreak: str, bucket: str = "mo
     ``lead`` runs per (key, time bucket), so a key with a third of all rows is
     still spread over many tasks; the last row of a bucket takes the first
     time of the key's next bucket, found by a second ``lead`` over one row per
-    (key, bucket).
+    (key, bucket). Rows without a key or a time have no place in a history:
+    they are kept, never current and without an end.
     """
+    placed = F.col(key).isNotNull() & F.col(ts).isNotNull()
     b = F.date_trunc(bucket, F.col(ts))
-    c = changes.withColumn("_b", b)
+    c = changes.where(placed).withColumn("_b", b)
     w_in = Window.partitionBy(key, "_b").orderBy(ts, tiebreak)
     c = c.withColumn("_next", F.lead(ts).over(w_in))
     firsts = c.groupBy(key, "_b").agg(F.min(ts).alias("_first"))
     w_b = Window.partitionBy(key).orderBy("_b")
     firsts = firsts.withColumn("_next_bucket", F.lead("_first").over(w_b)).drop("_first")
     out = c.join(firsts, [key, "_b"]).withColumn("valid_to", F.coalesce("_next", "_next_bucket"))
-    return out.select(*changes.columns, F.col(ts).alias("valid_from"), "valid_to",
-                      F.col("valid_to").isNull().alias("is_current"))
+    out = out.select(*changes.columns, F.col(ts).alias("valid_from"), "valid_to",
+                     F.col("valid_to").isNull().alias("is_current"))
+    loose = changes.where(~placed)
+    return out.unionByName(loose.select(*changes.columns, F.col(ts).alias("valid_from"), F.lit(None).cast(changes.schema[ts].dataType).alias("valid_to"),
+                                        F.lit(False).alias("is_current")))
 
 
 # ---------------------------------------------------------------- N5 ---------

@@ -15,7 +15,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lakeweave.sources.tables import VersionedTable
 
-DEFAULT_TARGET_BYTES = 256 * 1024  # the target size the reference's clustering run uses
+DEFAULT_TARGET_BYTES = 128 << 20
+#: Distinct values drawn to find the split points of a string column.
+STRING_SAMPLE = 20_000
 
 
 def small_file_append(table: VersionedTable, df: DataFrame, n_files: int = 200) -> int:
@@ -32,52 +34,42 @@ def _files(table: VersionedTable, version: int | None = None):
 
 def compact(table: VersionedTable, target_bytes: int = DEFAULT_TARGET_BYTES,
             min_file_ratio: float = 0.5) -> dict:
-    """Rewrite batches of small files into files of about ``target_bytes``.
-
-    Only batches whose average file is below ``min_file_ratio * target`` are
-    rewritten. The rewrite uses ``coalesce(n)``: each output task reads a run
-    of input files and writes one file, so compaction needs no shuffle. For a
-    partitioned table files are cut per partition value and capped by
-    ``maxRecordsPerFile``.
+    """Rewrite small files into files of about ``target_bytes``.
+
+    Every live file below ``min_file_ratio * target`` is taken, whichever
+    batch it is in; large files stay where they are. An unpartitioned rewrite
+    uses ``coalesce(n)``: each output task reads a run of input files and
+    writes one file, so compaction needs no shuffle. For a partitioned table
+    the writer's rebalance is the one shuffle, and ``maxRecordsPerFile`` caps
+    the files.
     """
-    per_batch = _files(table)
-    small = [b for b, (n, size) in per_batch.items() if n > 1 and size / n < target_bytes * min_file_ratio]
-    files_before = sum(n for n, _ in per_batch.values())
-    if not small:
-        return {"numFilesRemoved": 0, "numFilesAdded": 0, "totalConsideredFiles": files_before,
-                "version": table.latest_version()}
-    n_small = sum(per_batch[b][0] for b in small)
-    size = sum(per_batch[b][1] for b in small)
-    n_out = max(1, math.ceil(size / target_bytes))
-    schema = table.schema()
-    df = table._read_batches(table.live(small), schema)
-    pcols = list(table.commit_info()["partition_by"])
-    rows = df.count() if pcols else None
-    if pcols:
-        df = df.repartition(n_out, *pcols)
-        per_file = max(1, math.ceil(rows / n_out))
+    entry = F.regexp_extract("file_path", r"/data/batch=(.*)$", 1)
+    files = table.files().select(entry.alias("entry"), "size_bytes").cache()
+    total = files.count()
+    small = files.where(F.col("size_bytes") < target_bytes * min_file_ratio)
+    rows = small.collect()          # metadata: one row per small file
+    files.unpersist()
+    n_out = max(1, math.ceil(sum(r["size_bytes"] for r in rows) / target_bytes))
+    if len(rows) <= n_out:
+        return {"numFilesRemoved": 0, "numFilesAdded": 0, "totalConsideredFiles": total, "version": table.latest_version()}
+    keep, touched = table.split_live(table.commit_info()["batches"], {r["entry"] for r in rows})
+    df = table._read_batches(touched, table.schema())
+    per_file = None
+    if table.commit_info()["partition_by"]:
+        per_file = max(1, math.ceil(df.count() / n_out))
     else:
-        # Fewer, larger read splits than wanted files: only then shuffle.
-        df = df.coalesce(n_out) if df.rdd.getNumPartitions() >= n_out else df.repartition(n_out)
-        per_file = None
-    v = table.replace_batches(df, small, "OPTIMIZE", max_records_per_file=per_file,
-                              params={"targetBytes": target_bytes},
-                              extra_metrics={"numFilesRemoved": n_small, "totalConsideredFiles": files_before})
+        df = df.coalesce(n_out)
+    v = table.replace_entries(df, keep, "OPTIMIZE", max_records_per_file=per_file, params={"targetBytes": target_bytes},
+                              extra_metrics={"numFilesRemoved": len(rows), "totalConsideredFiles": total})
     added = table.commit_info(v)["metrics"]["numFiles"]
-    return {"numFilesRemoved": n_small, "numFilesAdded": int(added), "totalConsideredFiles": files_before,
-            "version": v}
-
+    return {"numFilesRemoved": len(rows), "numFilesAdded": int(added), "totalConsideredFiles": total, "version": v}
 
-def orderable_long(c: Column, dtype: str) -> Column:
-    """An order-preserving 64-bit key for clustering a column.
 
-    Numbers and dates map to themselves; strings map to their first seven
-    UTF-8 bytes read as a big-endian number (strings sharing that prefix tie).
-    """
-    if dtype in ("string",):
-        hx = F.hex(F.encode(c, "UTF-8"))
-        return F.conv(F.rpad(F.substring(hx, 1, 14), 14, "0"), 16, 10).cast("long")
-    if dtype in ("date",):
+def orderable(c: Column, dtype: str) -> Column:
+    """The column as a number in the same order; strings stay as they are."""
+    if dtype == "string":
+        return c
+    if dtype == "date":
         return F.unix_date(c).cast("long")
     if dtype.startswith("timestamp"):
         return F.unix_micros(c.cast("timestamp")).cast("long")
@@ -86,7 +78,30 @@ def orderable_long(c: Column, dtype: str) -> Column:
     return c.cast("long")
 
 
-def _bucket(x: Column, splits: list[float]) -> Column:
+def split_points(df: DataFrame, cols: Sequence[str], buckets: int, rel_error: float) -> list[list]:
+    """Up to ``buckets - 1`` split points of each column. Numbers take them
+    from ``approxQuantile`` (a bounded sketch). Whole strings take them from a
+    uniform draw of about ``STRING_SAMPLE`` rows; a draw only places the
+    points, every row is then put between them."""
+    dtypes = dict(df.dtypes)
+    probs = [i / buckets for i in range(1, buckets)]
+    numbers = [c for c in cols if dtypes[c] != "string"]
+    found = {}
+    if numbers:
+        keyed = df.select(*[orderable(F.col(c), dtypes[c]).alias(f"_k{i}") for i, c in enumerate(numbers)])
+        got = keyed.approxQuantile([f"_k{i}" for i in range(len(numbers))], probs, rel_error)
+        found = {c: sorted({float(v) for v in q}) for c, q in zip(numbers, got)}
+    texts = [c for c in cols if dtypes[c] == "string"]
+    if texts:
+        share = min(1.0, 2 * STRING_SAMPLE / max(1, df.count()))
+        drawn = df.select(*texts).sample(share, seed=1).limit(4 * STRING_SAMPLE).collect()
+        for c in texts:
+            values = sorted(r[c] for r in drawn if r[c] is not None)
+            found[c] = sorted({values[int(p * len(values))] for p in probs}) if values else []
+    return [found[c] for c in cols]
+
+
+def _bucket(x: Column, splits: list) -> Column:
     """Index of ``x`` among sorted split points, as a balanced CASE tree."""
     def go(lo: int, hi: int) -> Column:
         if lo >= hi:
@@ -100,21 +115,16 @@ def with_z_value(df: DataFrame, cols: Sequence[str], bits: int = 8, rel_error: f
                  out: str = "_z") -> DataFrame:
     """``df`` plus an interleaved-bit (Morton) value of per-column quantile buckets.
 
-    Each column is mapped to ``2**bits`` buckets with split points from
-    ``approxQuantile`` (a bounded sketch; only the split points reach the
-    driver), then the bucket bits are interleaved so rows close in every
-    column get close z-values. Buckets are materialized as columns first so
-    the interleaving refers to them instead of repeating the bucket
-    expression per bit (which would bloat generated code).
+    Each column is mapped to ``2**bits`` buckets (see :func:`split_points`;
+    only the split points reach the driver), then the bucket bits are
+    interleaved so rows close in every column get close z-values. Buckets are
+    materialized as columns first so the interleaving refers to them instead
+    of repeating the bucket expression per bit (which would bloat generated
+    code).
     """
     dtypes = dict(df.dtypes)
-    keyed = df.select(*[orderable_long(F.col(c), dtypes[c]).alias(f"_k{i}") for i, c in enumerate(cols)])
-    probs = [i / (1 << bits) for i in range(1, 1 << bits)]
-    qs = keyed.approxQuantile([f"_k{i}" for i in range(len(cols))], probs, rel_error)
-    bcols = []
-    for i, c in enumerate(cols):
-        splits = sorted(set(float(v) for v in qs[i] if v is not None))
-        bcols.append(_bucket(orderable_long(F.col(c), dtypes[c]), splits).alias(f"_zb{i}"))
+    splits = split_points(df, cols, 1 << bits, rel_error)
+    bcols = [_bucket(orderable(F.col(c), dtypes[c]), points).alias(f"_zb{i}") for i, (c, points) in enumerate(zip(cols, splits))]
     staged = df.select("*", *bcols)
     n = len(cols)
     terms = [F.shiftleft(F.shiftright(F.col(f"_zb{j}"), b).bitwiseAND(F.lit(1)).cast("long"), b * n + j)
@@ -127,25 +137,29 @@ def zorder(table: VersionedTable, cols: Sequence[str], target_bytes: int = DEFAU
     """Cluster the table by ``cols`` into files of about ``target_bytes``.
 
     One column: range-partition on it and sort within partitions. Several
-    columns: range-partition and sort on the z-value. The range partitioner
-    samples the key, so file counts are close to, not exactly, the target.
+    columns: range-partition and sort on the z-value. The partition columns
+    of the table come first, so a directory's files don't overlap in the
+    clustering key either. The range partitioner samples the key, so file
+    counts are close to, not exactly, the target.
     """
     cols = list(cols)
     per_batch = _files(table)
     size = sum(b for _, b in per_batch.values())
     files_before = sum(n for n, _ in per_batch.values())
     n_out = max(1, math.ceil(size / target_bytes))
+    pcols = list(table.commit_info()["partition_by"])
     df = table.read()
-    if len(cols) == 1:
-        out = df.repartitionByRange(n_out, F.col(cols[0])).sortWithinPartitions(cols[0])
-    else:
-        out = (with_z_value(df, cols).repartitionByRange(n_out, F.col("_z"))
-               .sortWithinPartitions("_z").drop("_z"))
+    if len(cols) > 1:
+        # a few buckets a file in each column, so the files have edges to choose from
+        bits = min(10, max(4, math.ceil(math.log2(n_out + 1) / len(cols)) + 3))
+        df = with_z_value(df, cols, bits)
+    by = [*pcols, cols[0] if len(cols) == 1 else "_z"]
+    out = df.repartitionByRange(n_out, *by).sortWithinPartitions(*by).drop("_z")
     v = table.replace_batches(out, list(per_batch), "OPTIMIZE",
                               params={"zOrderBy": ",".join(cols), "targetBytes": target_bytes},
                               extra_metrics={"numFilesRemoved": files_before,
                                              "totalConsideredFiles": files_before},
-                              stats_cols=cols)
+                              stats_cols=cols, laid_out=True)
     added = int(table.commit_info(v)["metrics"]["numFiles"])
     return {"numFilesRemoved": files_before, "numFilesAdded": added,
             "totalConsideredFiles": files_before, "version": v}
@@ -182,25 +196,28 @@ def covering(stats: DataFrame, equals: dict) -> DataFrame:
     return stats.where(cond)
 
 
-def pruned_read(table: VersionedTable, equals: dict, stats: DataFrame | None = None,
-                version: int | None = None) -> DataFrame:
-    """Read only files whose statistics can match, then apply the predicate.
+def pruned_read(table: VersionedTable, equals: dict, version: int | None = None) -> DataFrame:
+    """Read only files whose stored statistics can match, then apply the
+    predicate.
 
-    The covering file list is metadata (at most one row per file). Files are
-    grouped by batch so each batch keeps its partition directories.
+    Whatever statistics a batch has for the predicate's columns are used; a
+    batch without any is read with the predicate pushed down to its row
+    groups. No data is scanned to find the files: their list is metadata (at
+    most one row per file).
     """
-    stats = file_stats(table, list(equals), version) if stats is None else stats
-    hits = covering(stats, equals).select("batch", "file_path").collect()
-    schema = table.schema(version)
-    pred = reduce(lambda a, b: a & b, [F.col(c) == F.lit(v) for c, v in equals.items()])
-    if not hits:
-        return table.spark.createDataFrame([], schema)
-    by_batch: dict[str, list[str]] = {}
-    for r in hits:
-        by_batch.setdefault(r["batch"], []).append(r["file_path"])
-    parts = [table.spark.read.schema(schema).option("basePath", table.batch_path(b)).parquet(*fs)
-             .select(*schema.fieldNames()).where(pred) for b, fs in sorted(by_batch.items())]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    c = table.commit_info(version)
+    schema = table.schema(c["version"])
+    pred = reduce(lambda a, b: a & b, [F.col(k) == F.lit(v) for k, v in equals.items()])
+    groups: dict[tuple, list[str]] = {}
+    for e in c["batches"]:
+        groups.setdefault(tuple(k for k in equals if k in table.stats_columns(e)), []).append(e)
+    entries = groups.pop((), [])
+    for known, batches in groups.items():
+        stats = (table.spark.read.option("basePath", f"{table.root}/_stats")
+                 .parquet(*[table.stats_path(b) for b in batches]))
+        entries += [r[0] for r in covering(stats, {k: equals[k] for k in known})
+                    .select(F.regexp_extract("file_path", r"/data/batch=(.*)$", 1)).collect()]
+    return table._read_batches(sorted(entries), schema).where(pred)
 
 
 def pruning_report(table: VersionedTable, equals: dict, stats: DataFrame | None = None,

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from lakeweave.functions.pii import (DEMO_KEY, EMAIL_PATTERN, PHONE_PATTERN, PHONE_PATTERN_SAFE, leaks, matches,
+from lakeweave.functions.pii import (EMAIL_PATTERN, PHONE_PATTERN, PHONE_PATTERN_SAFE, leaks, matches,
                                      pass_struct, token_count)
 
 
@@ -16,7 +16,7 @@ def pii_matches(df: DataFrame, col: str) -> DataFrame:
              .withColumn("phones", matches(F.col(col), PHONE_PATTERN))
 
 
-def redact_columns(df: DataFrame, cols: Sequence[str], key: bytes = DEMO_KEY, safe: bool = False,
+def redact_columns(df: DataFrame, cols: Sequence[str], key: bytes, safe: bool = False,
                    keep_found: bool = True) -> DataFrame:
     """Replace each named text column by its redacted form; collect the
     (token, kind, value) triples in ``_pii`` and count distinct tokens."""
@@ -40,12 +40,12 @@ def redact_columns(df: DataFrame, cols: Sequence[str], key: bytes = DEMO_KEY, sa
 def vault_rows(redacted: DataFrame) -> DataFrame:
     """T4: token -> plaintext rows, one per token; kept in a separate table.
 
-    ``dropDuplicates`` on the token aggregates map-side, so a value repeated
-    across a third of all records is reduced before the shuffle.
+    Several spellings of a value share a token; the least one is kept. The
+    aggregate combines map-side, so a value repeated across a third of all
+    records is reduced before the shuffle.
     """
-    return (redacted.select(F.explode("_pii").alias("p"))
-            .select(F.col("p.token").alias("token"), F.col("p.kind").alias("kind"), F.col("p.value").alias("value"))
-            .dropDuplicates(["token"]))
+    return (redacted.select(F.explode("_pii").alias("p")).groupBy(F.col("p.token").alias("token"))
+            .agg(F.min("p.kind").alias("kind"), F.min("p.value").alias("value")))
 
 
 def leak_check(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -58,14 +58,18 @@ def leak_check(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                   F.count(F.when(cond, 1)).alias("rows_leaking"))
 
 
-def land_bronze(df: DataFrame, table, redact_cols: Sequence[str] = (), key: bytes = DEMO_KEY,
-                safe: bool = True, vault=None) -> int:
+def land_bronze(df: DataFrame, table, redact_cols: Sequence[str] = (), key: bytes | None = None,
+                safe: bool = False, vault=None) -> int:
     """Land rows in Bronze with the named text columns tokenized, so no
-    readable table holds the plaintext; the vault rows go to ``vault`` (a
-    separate table) when given."""
+    readable table holds the plaintext; the vault rows are merged on their
+    token into ``vault`` (a separate table) when given. ``safe=True`` leaves
+    digits inside words and numbers alone, which :func:`leak_check` reports."""
     if redact_cols:
+        if key is None:
+            raise ValueError("tokenizing columns needs a key")
         red = redact_columns(df, list(redact_cols), key, safe)
         if vault is not None:
-            vault.append(vault_rows(red)) if vault.exists() else vault.overwrite(vault_rows(red))
+            rows = vault_rows(red)
+            vault.merge(rows, "token", when_older="value") if vault.exists() else vault.overwrite(rows)
         df = red.drop("_pii")
     return table.append(df) if table.exists() else table.overwrite(df)

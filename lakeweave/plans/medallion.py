@@ -16,6 +16,9 @@ from lakeweave.operators.dedup import first_per_key
 SILVER_COLUMNS = ["request_id", "ts", "date", "model", "user_id", "prompt_tokens",
                   "completion_tokens", "latency_ms", "status"]
 
+# Which of several rows of a request Silver keeps: the least in this order.
+SILVER_ORDER = ["ts", "model", "user_id", "prompt_tokens", "completion_tokens", "latency_ms", "status"]
+
 
 def land_bronze(df: DataFrame, table, batches: int = 1) -> int:
     """M1: land raw rows ``request_id, ts, raw_json`` untouched, as an append
@@ -44,13 +47,14 @@ def quarantine(bronze: DataFrame, schema=PAYLOAD_SCHEMA) -> DataFrame:
 def build_silver(bronze: DataFrame, schema=PAYLOAD_SCHEMA) -> DataFrame:
     """M2: valid rows only (filter first), then the earliest row per request_id.
 
-    Ties on ``ts`` are broken by ``raw_json`` so the choice is deterministic.
+    Ties on ``ts`` are broken by the typed columns, so the choice is
+    deterministic and the raw text (most of a row) stays out of the shuffle.
     Dates come from the timestamp as stored (no session-zone shift for
     TIMESTAMP_NTZ input).
     """
     valid = classify(bronze, schema).where(F.col("reason").isNull())
     typed = valid.select(
-        "request_id", "ts", "raw_json",
+        "request_id", "ts",
         F.col("_p.model").alias("model"),
         F.col("_p.user_id").alias("user_id"),
         F.col("_p.usage.input").alias("prompt_tokens"),
@@ -58,7 +62,7 @@ def build_silver(bronze: DataFrame, schema=PAYLOAD_SCHEMA) -> DataFrame:
         F.col("_p.latency_ms").alias("latency_ms"),
         F.col("_p.status").alias("status"),
     )
-    first = first_per_key(typed, "request_id", ["ts", "raw_json"])
+    first = first_per_key(typed, "request_id", SILVER_ORDER)
     return first.select(*[F.to_date("ts").alias("date") if c == "date" else F.col(c)
                           for c in SILVER_COLUMNS])
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakeweave.operators import layout as L
-from lakeweave.plans.catalog import register, table
+from lakeweave.plans import q_medallion  # noqa: F401 - registers the Gold query used below
+from lakeweave.plans.catalog import ORACLE, QUERIES, register, table
 from lakeweave.session import shared_dir
 from lakeweave.sources.tables import VersionedTable
 
@@ -158,3 +159,28 @@ def q_user_pruning_report(spark, sf):
     p = {"user_id": point["user_id"]}
     return (L.pruning_report(t, p, version=0).withColumn("version", F.lit(0))
             .unionByName(L.pruning_report(t, p).withColumn("version", F.lit(1))))
+
+
+APPENDS = 60
+
+
+@register("layout_many_appends", "SELECT * FROM customer")
+def q_many_appends(spark, sf):
+    """L1/L2: many appends of one file each, compacted across batches."""
+    c = table(spark, sf, "customer")
+    t = VersionedTable(spark, shared_dir(spark, "many_appends"))
+    for i in range(APPENDS):
+        t.append(c.where(F.col("c_custkey") % APPENDS == i).coalesce(1))
+    res = L.compact(t)
+    if res["numFilesRemoved"] != APPENDS or res["numFilesAdded"] != 1:
+        raise AssertionError(f"not compacted: {res}")
+    return t.read()
+
+
+@register("gold_partitioned_clustered", ORACLE["gold_daily_metrics"])
+def q_gold_clustered(spark, sf):
+    """M3: Gold in directories by date, clustered by model inside each."""
+    t = VersionedTable(spark, shared_dir(spark, "gold_clustered"))
+    t.overwrite(QUERIES["gold_daily_metrics"](spark, sf), partition_by=["date"])
+    L.zorder(t, ["model"], TARGET_BYTES)
+    return t.read()

@@ -56,7 +56,7 @@ SELECT r.doc_id, r.redacted AS text, coalesce(t.n, 0) AS pii_token_count
 FROM red r LEFT JOIN (SELECT doc_id, count(DISTINCT token) AS n FROM tok GROUP BY doc_id) t USING (doc_id)""")
 def q_redact(spark, sf):
     """Every document redacted (whole texts) with its distinct-token count."""
-    r = P.redact_columns(table(spark, sf, "documents").select("doc_id", "text"), ["text"], keep_found=False)
+    r = P.redact_columns(table(spark, sf, "documents").select("doc_id", "text"), ["text"], DEMO_KEY, keep_found=False)
     return r.select("doc_id", "text", F.col("pii_token_count").cast("long").alias("pii_token_count"))
 
 
@@ -69,27 +69,42 @@ def q_vault(spark, sf):
     Several spellings of one value share a token; the vault keeps the least
     spelling so the table is deterministic.
     """
-    r = P.redact_columns(table(spark, sf, "documents").select("doc_id", "text"), ["text"])
-    return (r.select(F.explode("_pii").alias("p"))
-            .groupBy(F.col("p.token").alias("token"))
-            .agg(F.min("p.kind").alias("kind"), F.min("p.value").alias("value")))
+    r = P.redact_columns(table(spark, sf, "documents").select("doc_id", "text"), ["text"], DEMO_KEY)
+    return P.vault_rows(r)
 
 
-@register("pii_leak_check", f"""WITH {_duck_redact('documents', 'doc_id', 'text').strip()}
-SELECT count(*) AS rows_checked, 0 AS rows_leaking FROM red""")
+@register("pii_leak_check", f"""WITH {_duck_redact('documents', 'doc_id', 'text').strip()},
+both_forms AS (SELECT redacted AS t FROM red UNION ALL SELECT text FROM documents),
+rest AS (SELECT regexp_replace(t, 'tok_(email|phone)_[0-9a-f]{{1,24}}', '#', 'g') AS t FROM both_forms)
+SELECT count(*) AS rows_checked,
+       count(*) FILTER (regexp_matches(t, '{EMAIL_PATTERN}') OR regexp_matches(t, '{PHONE_PATTERN}')) AS rows_leaking FROM rest""")
 def q_leak(spark, sf):
-    """No e-mail or phone left in redacted documents (safe mode)."""
-    r = P.redact_columns(table(spark, sf, "documents").select("doc_id", "text"), ["text"], safe=True,
-                         keep_found=False)
-    return P.leak_check(r, ["text"]).select(F.col("rows_checked").cast("long"),
-                                            F.col("rows_leaking").cast("int"))
+    """The redacted documents and, as known leaks, the same documents as they were."""
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    r = P.redact_columns(d, ["text"], DEMO_KEY, keep_found=False)
+    return P.leak_check(r.select("text").unionAll(d.select("text")), ["text"])
+
+
+@register("pii_vault_landed_twice", f"""WITH {_duck_redact('documents', 'doc_id', 'text').strip()},
+{_duck_tokens_sql().strip()}
+SELECT token, min(value) AS value FROM tok GROUP BY token""")
+def q_vault_twice(spark, sf):
+    """T4: documents landed twice leave one vault row a token."""
+    from lakeweave.session import shared_dir
+    from lakeweave.sources.tables import VersionedTable
+    land = VersionedTable(spark, shared_dir(spark, "docs_bronze"))
+    vault = VersionedTable(spark, shared_dir(spark, "docs_vault"))
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    P.land_bronze(d, land, ["text"], DEMO_KEY, vault=vault)
+    P.land_bronze(d, land, ["text"], DEMO_KEY, vault=vault)
+    return vault.read().select("token", "value")
 
 
 @register("pii_conversations_redact", f"""WITH {_duck_redact('conversations', 'conv_id, turn', 'text').strip()}
 SELECT conv_id, turn, redacted AS text FROM red""")
 def q_conv_redact(spark, sf):
     """Conversation turns (prompts and responses) tokenized before landing."""
-    r = P.redact_columns(table(spark, sf, "conversations").select("conv_id", "turn", "text"), ["text"],
+    r = P.redact_columns(table(spark, sf, "conversations").select("conv_id", "turn", "text"), ["text"], DEMO_KEY,
                          keep_found=False)
     return r.select("conv_id", "turn", "text")
 
@@ -104,5 +119,5 @@ def q_tokenized_landing(spark, sf):
     land = VersionedTable(spark, shared_dir(spark, "conv_bronze"))
     vault = VersionedTable(spark, shared_dir(spark, "conv_vault"))
     P.land_bronze(table(spark, sf, "conversations").select("conv_id", "turn", "role", "text"), land,
-                  redact_cols=["text"], safe=False, vault=vault)
+                  redact_cols=["text"], key=DEMO_KEY, vault=vault)
     return land.read().select("conv_id", "turn", "role", "text")

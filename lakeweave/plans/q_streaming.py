@@ -54,10 +54,11 @@ def q_stream_replay(spark, sf):
     silver = _silver_via_stream(spark, sf)
     before = silver.latest_version()
     sink = S.silver_sink(silver)
-    # Replay micro-batches 0 and 1 (here fed the whole Bronze: any content
-    # must be ignored for an already-committed batch id).
-    sink(_bronze(spark, sf), 0)
-    sink(_bronze(spark, sf), 1)
+    # Replay micro-batches 0 and 1 of the same query (here fed the whole
+    # Bronze: any content must be ignored for a micro-batch it committed).
+    query_id = silver.commit_info(0)["params"]["streamQueryId"]
+    sink(_bronze(spark, sf), 0, query_id)
+    sink(_bronze(spark, sf), 1, query_id)
     if silver.latest_version() != before:
         raise AssertionError("a replayed micro-batch was committed twice")
     return silver.read().select(*M.SILVER_COLUMNS)
@@ -81,12 +82,35 @@ def q_stream_window(spark, sf):
     src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
            .parquet(_landing(spark, sf, "silver")).select(*M.SILVER_COLUMNS))
     out = VersionedTable(spark, shared_dir(spark, "stream_windows"))
-    q = (S.window_metrics(src, "5 minutes", DELAY).writeStream.outputMode("update")
-         .foreachBatch(S.upsert_sink(out, ["window_start", "model"], keys_unique=True))
+    windows = S.window_metrics(src, "5 minutes", DELAY).withColumn("window_date", F.to_date("window_start"))
+    q = (windows.writeStream.outputMode("update")
+         .foreachBatch(S.upsert_sink(out, ["window_date", "window_start", "model"], ["window_date"], keys_unique=True))
          .option("checkpointLocation", shared_dir(spark, "ckpt_windows"))
          .trigger(availableNow=True).start())
     S.run_to_end(q)
-    return out.read()
+    return out.read().drop("window_date")
+
+
+@register("silver_quarantine_sink", f"WITH {SQL_BRONZE.strip()}\nSELECT request_id, ts, reason FROM classified WHERE reason IS NOT NULL")
+def q_quarantine_sink(spark, sf):
+    """Rejected rows of the Bronze stream, landed in directories by reason."""
+    out = VersionedTable(spark, shared_dir(spark, "stream_rejects"))
+    q = (S.bronze_stream(spark, _landing(spark, sf, "bronze")).writeStream.foreachBatch(S.quarantine_sink(out))
+         .option("checkpointLocation", shared_dir(spark, "ckpt_rejects")).trigger(availableNow=True).start())
+    S.run_to_end(q)
+    return out.read().select("request_id", "ts", "reason")
+
+
+@register("stream_two_checkpoints", f"WITH {SQL_BRONZE.strip()}\nSELECT request_id, ts FROM bronze UNION ALL SELECT request_id, ts FROM bronze")
+def q_two_checkpoints(spark, sf):
+    """ST4: a second query with a checkpoint of its own appends all its rows:
+    its micro-batch ids start at 0 again."""
+    out = VersionedTable(spark, shared_dir(spark, "stream_twice"))
+    for n in range(2):
+        q = (S.bronze_stream(spark, _landing(spark, sf, "bronze")).writeStream.foreachBatch(S.append_sink(out))
+             .option("checkpointLocation", shared_dir(spark, f"ckpt_twice{n}")).trigger(availableNow=True).start())
+        S.run_to_end(q)
+    return out.read().select("request_id", "ts")
 
 
 @register("stream_dedup", f"WITH {SQL_BRONZE.strip()}\nSELECT DISTINCT request_id FROM bronze")
@@ -108,6 +132,9 @@ def q_stream_compacted(spark, sf):
     q = (src.writeStream.foreachBatch(S.append_sink(out, compact_every=3))
          .option("checkpointLocation", shared_dir(spark, "ckpt_raw")).trigger(availableNow=True).start())
     S.run_to_end(q)
+    done = [c for c in out.commits() if c["operation"] == "OPTIMIZE"]
+    if not done or any(int(c["metrics"]["numFiles"]) >= int(c["metrics"]["numFilesRemoved"]) for c in done):
+        raise AssertionError("the sink was not compacted into fewer files")
     return out.read().select("request_id", "ts", F.col("raw_json").isNull().alias("no_payload"))
 
 

@@ -57,6 +57,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         app = sc.applicationId
         if app not in _LOCAL_FALLBACK:
             existing = sc.getCheckpointDir()

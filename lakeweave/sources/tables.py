@@ -2,8 +2,9 @@
 
 A table at ``root`` is
 
-* ``root/data/b<version>/``: one immutable batch of Parquet files per write,
-  written by the ordinary Parquet writer (optionally ``partitionBy``);
+* ``root/data/batch=b<version>_<attempt>/``: one immutable batch of Parquet
+  files per write, written by the ordinary Parquet writer (optionally
+  ``partitionBy``), under a name no other attempt uses;
 * ``root/_commits/version=<n>/``: one row per version with the commit time,
   operation, the list of live batches, the schema, partition columns and
   metrics.
@@ -12,18 +13,21 @@ A version is the list of batches its commit names, so time travel, restore
 and history are metadata operations; only merge, overwrite and layout
 rewrites write data. Reads hand the batch directories and the commit's schema
 to ``spark.read.parquet``, so column pruning, filter and partition pushdown
-stay Spark's own. Versions are published with ``errorifexists``: a second
-writer racing for the same version fails instead of overwriting. One writer
-at a time; this is not a transaction log with conflict resolution.
+stay Spark's own. A finished version is never overwritten: a second writer
+racing for it fails. What a dead writer leaves (a batch without a commit, a
+commit folder without ``_SUCCESS``) is in nobody's way. One writer at a time; this is not a transaction log with conflict resolution.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F, types as T
+
+from lakeweave.session import checkpoint_root
 
 COMMIT_SCHEMA = T.StructType([
     T.StructField("ts", T.TimestampType()),
@@ -89,25 +93,27 @@ def conform(df: DataFrame, schema: T.StructType, schema_mode: str | None) -> tup
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists, asked of the path's Hadoop file system."""
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
-    except Exception:  # noqa: BLE001 - e.g. no JVM access: let the reader decide
-        return True
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
+def decoded(path: Column) -> Column:
+    """A file path as listings give it: ``_metadata.file_path`` is URL-encoded
+    (a plus sign stands for itself there)."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
 def entry_batch(entry: str) -> str:
-    """Batch id of a live entry: ``b<version>`` or ``b<version>/<file path>``."""
+    """Batch id of a live entry: ``b<version>_<attempt>``, or that and ``/<file path>``."""
     return entry.split("/", 1)[0]
 
 
 class VersionedTable:
     """A versioned table at ``root`` (any Hadoop-compatible URL).
 
-    A version's live list holds whole batches (``b<version>``) or, after a
-    file-level rewrite, single files of a batch (``b<version>/<relative
-    path>``); both resolve under ``data/batch=``.
+    A version's live list holds whole batches (``b<version>_<attempt>``) or,
+    after a file-level rewrite, single files of a batch (``b<version>_<attempt>/
+    <relative path>``, decoded); both resolve under ``data/batch=``.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -128,31 +134,28 @@ class VersionedTable:
         return f"{self.data_dir}/batch={batch}"
 
     # -- commit log ----------------------------------------------------------
-    def _commit_frame(self) -> DataFrame:
-        schema = T.StructType(list(COMMIT_SCHEMA.fields) + [T.StructField("version", T.IntegerType())])
-        return self.spark.read.schema(schema).parquet(self.commits_dir)
-
-    def _committed_versions(self) -> list[int] | None:
+    def _committed_versions(self) -> list[int]:
         """Versions whose commit finished (``_SUCCESS`` present), from a
-        directory listing on the driver; None when the listing is unavailable."""
-        try:
-            jvm = self.spark.sparkContext._jvm
-            conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-            p = jvm.org.apache.hadoop.fs.Path(self.commits_dir)
-            fs = p.getFileSystem(conf)
-            if not fs.exists(p):
-                return []
-            out = []
-            for st in fs.listStatus(p):
-                name = st.getPath().getName()
-                if not name.startswith("version="):
-                    continue
-                v = int(name.split("=", 1)[1])
-                if v in self._cache or fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                    out.append(v)
-            return sorted(out)
-        except Exception:  # noqa: BLE001 - no JVM access (e.g. Spark Connect)
-            return None
+        directory listing on the driver."""
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(self.commits_dir)
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(p):
+            return []
+        out = []
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if not name.startswith("version="):
+                continue
+            v = int(name.split("=", 1)[1])
+            if v in self._cache or fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                out.append(v)
+        return sorted(out)
+
+    def _commit_frame(self, versions: list[int]) -> DataFrame:
+        schema = T.StructType(list(COMMIT_SCHEMA.fields) + [T.StructField("version", T.IntegerType())])
+        return (self.spark.read.schema(schema).option("basePath", self.commits_dir)
+                .parquet(*[f"{self.commits_dir}/version={v}" for v in versions]))
 
     def commits(self) -> list:
         """All commit rows, oldest first (metadata: one row per version).
@@ -161,17 +164,9 @@ class VersionedTable:
         has not seen (written by another writer) are read, in one job.
         """
         versions = self._committed_versions()
-        if versions is None:
-            if not path_exists(self.spark, self.commits_dir):
-                return []
-            rows = self._commit_frame().collect()
-            return sorted(rows, key=lambda r: r["version"])
         missing = [v for v in versions if v not in self._cache]
         if missing:
-            schema = T.StructType(list(COMMIT_SCHEMA.fields) + [T.StructField("version", T.IntegerType())])
-            rows = (self.spark.read.schema(schema).option("basePath", self.commits_dir)
-                    .parquet(*[f"{self.commits_dir}/version={v}" for v in missing]).collect())
-            for r in rows:
+            for r in self._commit_frame(missing).collect():
                 self._cache[r["version"]] = r
         return [self._cache[v] for v in versions if v in self._cache]
 
@@ -200,8 +195,11 @@ class VersionedTable:
         row = (datetime.now(timezone.utc).replace(tzinfo=None), operation, list(batches), list(partition_by),
                schema.json(), {k: str(v) for k, v in (metrics or {}).items()},
                {k: str(v) for k, v in (params or {}).items()})
+        path = f"{self.commits_dir}/version={version}"
+        # A folder without _SUCCESS is what a writer that died left: replace it.
+        dead = path_exists(self.spark, path) and not path_exists(self.spark, f"{path}/_SUCCESS")
         (self.spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1)
-         .write.mode("errorifexists").parquet(f"{self.commits_dir}/version={version}"))
+         .write.mode("overwrite" if dead else "errorifexists").parquet(path))
         names = COMMIT_SCHEMA.fieldNames() + ["version"]
         self._cache[version] = Row(**dict(zip(names, list(row) + [version])))
         return version
@@ -223,7 +221,7 @@ class VersionedTable:
         if with_batch:
             cols.append(F.col("batch").alias(BATCH_COL))
         if with_file:
-            cols.append(F.col("_metadata.file_path").alias(FILE_COL))
+            cols.append(decoded(F.col("_metadata.file_path")).alias(FILE_COL))
         return df.select(*cols)
 
     def read_with_files(self, version: int | None = None) -> DataFrame:
@@ -254,7 +252,7 @@ class VersionedTable:
             return self.spark.createDataFrame([], "batch string, file_path string, size_bytes long")
         df = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
             .option("pathGlobFilter", "*.parquet").load([self.batch_path(b) for b in c["batches"]])
-        return df.select(F.regexp_extract("path", r"/batch=(b[0-9]+)/", 1).alias("batch"),
+        return df.select(F.regexp_extract("path", r"/batch=(b[0-9]+_[0-9a-f]+)/", 1).alias("batch"),
                          F.col("path").alias("file_path"), F.col("length").alias("size_bytes"))
 
     # -- per-file statistics ----------------------------------------------------
@@ -309,7 +307,8 @@ class VersionedTable:
         by_batch: dict[str, set] = {}
         for f in files:
             by_batch.setdefault(entry_batch(f), set()).add(f)
-        keep, touched = [], []
+        keep: list[str] = []
+        touched: list[str] = []
         for e in entries:
             hit = by_batch.get(entry_batch(e))
             if not hit:
@@ -319,6 +318,9 @@ class VersionedTable:
             else:
                 for f in self.batch_files(e):
                     (touched if f in hit else keep).append(f)
+        lost = files - set(touched)
+        if lost:
+            raise RuntimeError(f"files with matched rows are not live: {sorted(lost)[:3]}")
         return keep, touched
 
     def files_where(self, df: DataFrame) -> set[str]:
@@ -327,12 +329,12 @@ class VersionedTable:
         return {r[0] for r in df.select(rel).distinct().collect()}
 
     def replace_entries(self, df: DataFrame, keep: list[str], operation: str, params: dict | None = None,
-                        extra_metrics: dict | None = None) -> int:
+                        extra_metrics: dict | None = None, max_records_per_file: int | None = None) -> int:
         """Publish ``keep`` plus ``df`` written as one new batch."""
         cur = self._commit_at(None)
         version = cur["version"] + 1
         pb = list(cur["partition_by"])
-        batch, m = self._write_batch(df, version, pb)
+        batch, m = self._write_batch(df, version, pb, max_records_per_file)
         m.update(self._batch_metrics([batch]))
         m.update(extra_metrics or {})
         return self._publish(version, operation, keep + [batch], pb,
@@ -356,7 +358,7 @@ class VersionedTable:
         if "/" in batch:
             return []          # a single live file of a batch: stored rows cover dead files too
         try:
-            c = self._commit_at(int(batch[1:]))
+            c = self._commit_at(int(batch[1:].split("_")[0]))
         except ValueError:
             return []
         cols = (c["metrics"] or {}).get("statsColumns")
@@ -364,10 +366,12 @@ class VersionedTable:
 
     # -- writes --------------------------------------------------------------
     def _write_batch(self, df: DataFrame, version: int, partition_by: list[str],
-                     max_records_per_file: int | None = None) -> tuple[str, dict]:
-        batch = f"b{version:08d}"
+                     max_records_per_file: int | None = None, laid_out: bool = False) -> tuple[str, dict]:
+        # A name of its own for every attempt: what a dead writer left behind
+        # is never in the way of the next one.
+        batch = f"b{version:08d}_{uuid.uuid4().hex[:12]}"
         obs = Observation(f"w{version}")
-        if partition_by:
+        if partition_by and not laid_out:
             # Rebalance on the partition columns: each directory is written by
             # few tasks (not every task into every directory), and AQE splits
             # a hot directory's rows across tasks and merges tiny ones.
@@ -385,24 +389,18 @@ class VersionedTable:
         """Files and bytes of batches, from a file listing (no data read)."""
         if not batches:
             return {"numFiles": 0, "numBytes": 0}
-        try:
-            jvm = self.spark.sparkContext._jvm
-            conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-            n = size = 0
-            for b in batches:
-                p = jvm.org.apache.hadoop.fs.Path(self.batch_path(b))
-                it = p.getFileSystem(conf).listFiles(p, True)
-                while it.hasNext():
-                    st = it.next()
-                    if st.getPath().getName().endswith(".parquet"):
-                        n += 1
-                        size += st.getLen()
-            return {"numFiles": n, "numBytes": size}
-        except Exception:  # noqa: BLE001 - no JVM access: list with a Spark job
-            df = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
-                .option("pathGlobFilter", "*.parquet").load([self.batch_path(b) for b in batches])
-            r = df.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("b")).collect()[0]
-            return {"numFiles": int(r["n"] or 0), "numBytes": int(r["b"] or 0)}
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        n = size = 0
+        for b in batches:
+            p = jvm.org.apache.hadoop.fs.Path(self.batch_path(b))
+            it = p.getFileSystem(conf).listFiles(p, True)
+            while it.hasNext():
+                st = it.next()
+                if st.getPath().getName().endswith(".parquet"):
+                    n += 1
+                    size += st.getLen()
+        return {"numFiles": n, "numBytes": size}
 
     def overwrite(self, df: DataFrame, schema_mode: str | None = None, partition_by: list[str] | None = None,
                   operation: str = "WRITE", max_records_per_file: int | None = None,
@@ -446,15 +444,16 @@ class VersionedTable:
     def replace_batches(self, df: DataFrame, drop_batches: list[str], operation: str,
                         partition_by: list[str] | None = None, max_records_per_file: int | None = None,
                         params: dict | None = None, extra_metrics: dict | None = None,
-                        stats_cols: list[str] | None = None) -> int:
-        """Write ``df`` as one new batch that takes the place of ``drop_batches``."""
+                        stats_cols: list[str] | None = None, laid_out: bool = False) -> int:
+        """Write ``df`` as one new batch that takes the place of ``drop_batches``
+        (``laid_out``: in the partitions the caller gave it)."""
         cur = self._commit_at(None)
         version = cur["version"] + 1
         pb = list(cur["partition_by"]) if partition_by is None else partition_by
         keep = [b for b in cur["batches"] if entry_batch(b) not in set(drop_batches)]
         if pb != list(cur["partition_by"]) and keep:
             raise ValueError("a layout change must rewrite every batch")
-        batch, m = self._write_batch(df, version, pb, max_records_per_file)
+        batch, m = self._write_batch(df, version, pb, max_records_per_file, laid_out)
         schema = T.StructType.fromJson(json.loads(cur["schema_json"]))
         if stats_cols:
             self._write_stats(batch, list(stats_cols), schema)
@@ -465,24 +464,23 @@ class VersionedTable:
         return self._publish(version, operation, keep + [batch], pb, schema, m, params)
 
     def merge(self, source: DataFrame, on: str | list[str], schema_mode: str | None = None,
-              scope=None, when_newer: str | None = None, when_older: str | None = None,
+              scope=None, when_newer: str | list[str] | None = None, when_older: str | list[str] | None = None,
               params: dict | None = None, check_unique: bool = True) -> int:
         """Upsert. Matched target rows are replaced by the source row,
         unmatched source rows are inserted; NULL keys never match.
 
         Only batches that contain a matched key are rewritten: a semi-join of
         the target's key columns with the source keys yields the touched
-        batch ids (at most one per batch, so bounded metadata), and a full
-        outer join of those batches with the source gives the new batch.
-        Untouched batches stay in place. Several source rows with one key
+        files, which are joined with the source into a new batch. Untouched
+        files stay in place. Several source rows with one key
         are refused, as in a SQL MERGE.
 
         ``scope`` (a predicate on target columns, e.g. the dates of the
         incoming rows) limits which target rows can match, so a partitioned
-        target is pruned instead of scanned. ``when_newer`` names a column:
-        a matched row is replaced only when the source value is greater
-        (late, older source rows leave the target as is); ``when_older``
-        replaces only when it is smaller (keep the earliest).
+        target is pruned instead of scanned. ``when_newer`` names columns: a
+        matched row is replaced only when the source's are greater, compared
+        in that order (late, older source rows leave the target as is);
+        ``when_older`` replaces only when they are smaller (keep the earliest).
         """
         keys = [on] if isinstance(on, str) else list(on)
         cur = self._commit_at(None)
@@ -490,6 +488,10 @@ class VersionedTable:
         src, merged_schema = conform(source, schema, schema_mode)
         missing = [c for c in merged_schema.fieldNames() if c not in src.columns]
         src = src.select(*src.columns, *[F.lit(None).cast(merged_schema[c].dataType).alias(c) for c in missing])
+        # Read several times below, so evaluated once: what picks the files is
+        # what is merged, also if the source isn't deterministic.
+        checkpoint_root(self.spark)
+        src = src.checkpoint()
         nonnull = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys])
         # NULL keys never match, so only non-NULL keys can conflict.
         dup = (src.where(nonnull).groupBy(*keys).count().where("count > 1").limit(1).collect()
@@ -509,27 +511,25 @@ class VersionedTable:
         for c in merged_schema.fieldNames():
             if c not in old.columns:
                 old = old.withColumn(c, F.lit(None).cast(merged_schema[c].dataType))
-        t = old.withColumn("_t", F.lit(True))
-        if scope_col is not None:
-            t = t.withColumn("_in", F.coalesce(scope_col, F.lit(False)))
-        t = t.alias("t")
-        s = src.withColumn("_s", F.lit(True)).alias("s")
-        cond = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
-        if scope_col is not None:
-            # Rows of touched batches outside the scope are copied, never matched.
-            cond = cond + [F.col("t._in")]
-        j = t.join(s, cond, "full_outer")
-        matched = F.col("s._s").isNotNull() & F.col("t._t").isNotNull()
+        # Rows that can't match (a NULL key, outside the scope) are copied past
+        # the join. The source's keys are unique, so a left outer join keeps
+        # the others as they are and AQE can split a hot key or broadcast a
+        # small source; a full outer join would allow neither.
+        fits = nonnull if scope_col is None else nonnull & F.coalesce(scope_col, F.lit(False))
+        s = src.where(nonnull).withColumn("_s", F.lit(True)).alias("s")
+        j = old.where(fits).alias("t").join(s, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys], "left")
         take_src = F.col("s._s").isNotNull()
+        order = lambda side, cols: F.struct(*[F.col(f"{side}.{c}") for c in ([cols] if isinstance(cols, str) else cols)])
         if when_newer:
-            take_src = take_src & (F.col("t._t").isNull() | (F.col(f"s.{when_newer}") > F.col(f"t.{when_newer}")))
-            matched = matched & take_src
+            take_src = take_src & (order("s", when_newer) > order("t", when_newer))
         if when_older:
-            take_src = take_src & (F.col("t._t").isNull() | (F.col(f"s.{when_older}") < F.col(f"t.{when_older}")))
-            matched = matched & take_src
-        out = j.select(*[F.when(take_src, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
-                         for c in merged_schema.fieldNames()],
-                       matched.alias("_m"), (F.col("t._t").isNull()).alias("_i"))
+            take_src = take_src & (order("s", when_older) < order("t", when_older))
+        names = merged_schema.fieldNames()
+        flags = lambda m, i: (F.lit(m).alias("_m"), F.lit(i).alias("_i"))
+        out = j.select(*[F.when(take_src, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in names],
+                       F.coalesce(take_src, F.lit(False)).alias("_m"), F.lit(False).alias("_i"))
+        out = out.unionByName(old.where(~fits).select(*names, *flags(False, False)))
+        out = out.unionByName(src.join(old.where(fits).select(*keys), keys, "left_anti").select(*names, *flags(False, True)))
         obs = Observation(f"merge{cur['version'] + 1}")
         out = out.observe(obs, F.sum(F.col("_m").cast("long")).alias("updated"),
                           F.sum(F.col("_i").cast("long")).alias("inserted"),
@@ -571,7 +571,7 @@ class VersionedTable:
     # -- metadata views -----------------------------------------------------
     def history(self) -> DataFrame:
         """V4: version, timestamp, operation, metrics, parameters; newest first."""
-        return (self._commit_frame()
+        return (self._commit_frame([c["version"] for c in self.commits()])
                 .select("version", F.col("ts").alias("timestamp"), "operation",
                         F.col("metrics").alias("operationMetrics"),
                         F.col("params").alias("operationParameters"))
@@ -592,10 +592,10 @@ class VersionedTable:
 
         Batches live in both versions hold the same rows in both, so they
         cancel: only batches unique to either side are read. Without a key,
-        rows are ``delete`` / ``insert`` (bag difference, ``exceptAll``).
+        rows are ``delete`` / ``insert`` (bag difference).
         With a key, a removed row whose key also gained a row is an
         ``update_preimage`` and the gained row an ``update_postimage``;
-        this is decided per key with semi/anti joins, never by pairing rows.
+        this is decided per key from counts, never by pairing rows.
         """
         a, b = self._commit_at(start), self._commit_at(end)
         sa, sb = (T.StructType.fromJson(json.loads(x["schema_json"])) for x in (a, b))
@@ -620,17 +620,17 @@ class VersionedTable:
                     df = df.withColumn(name, F.lit(None).cast((sb if name in sb.fieldNames() else sa)[name].dataType))
             return df.select(*cols)
 
-        old, new = side(ea, sa), side(eb, sb)
-        removed, added = old.exceptAll(new), new.exceptAll(old)
-        if key is None:
-            return (removed.withColumn("_change_type", F.lit("delete"))
-                    .unionByName(added.withColumn("_change_type", F.lit("insert"))))
-        keys = [key] if isinstance(key, str) else list(key)
-        rk, ak = removed.select(*keys).distinct(), added.select(*keys).distinct()
-        return (removed.join(ak, keys, "left_semi").withColumn("_change_type", F.lit("update_preimage"))
-                .unionByName(removed.join(ak, keys, "left_anti").withColumn("_change_type", F.lit("delete")))
-                .unionByName(added.join(rk, keys, "left_semi").withColumn("_change_type", F.lit("update_postimage")))
-                .unionByName(added.join(rk, keys, "left_anti").withColumn("_change_type", F.lit("insert"))))
+        # One pass: +1 for a row gained, -1 for a row lost, summed over equal rows.
+        both = side(eb, sb).withColumn("_n", F.lit(1)).unionByName(side(ea, sa).withColumn("_n", F.lit(-1)))
+        net = both.groupBy(*cols).agg(F.sum("_n").alias("_n")).where("_n <> 0")
+        kind = F.when(F.col("_n") > 0, "insert").otherwise("delete")
+        if key is not None:
+            keys = [key] if isinstance(key, str) else list(key)
+            per = net.groupBy(*keys).agg((F.max("_n") > 0).alias("_up"), (F.min("_n") < 0).alias("_down"))
+            # NULL keys find no partner, so their rows stay plain inserts and deletes
+            net = net.join(per.where("_up AND _down").select(*keys, F.lit(True).alias("_both")), keys, "left")
+            kind = F.when(F.col("_both"), F.when(F.col("_n") > 0, "update_postimage").otherwise("update_preimage")).otherwise(kind)
+        return net.select(*cols, kind.alias("_change_type"), F.explode(F.array_repeat(F.lit(0), F.abs("_n").cast("int"))).alias("_k")).drop("_k")
 
 
 def table_path(root: str, layer: str, name: str) -> str:

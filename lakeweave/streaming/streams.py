@@ -2,21 +2,23 @@
 
 Sources are ``readStream`` (a file source here; a Kafka source is the same
 code with ``format("kafka")``). Sinks go through ``foreachBatch`` into
-versioned tables; each commit records the micro-batch id, so a replayed
-micro-batch (after a driver restart) is recognised and skipped: the sink is
-idempotent and the query is exactly-once end to end. Streaming state lives in
+versioned tables; each commit records the query's id and the micro-batch id,
+so a replayed micro-batch (after a driver restart) is recognised and skipped:
+the sink is idempotent and the query is exactly-once end to end. A query with
+a checkpoint of its own counts its micro-batches apart. Streaming state lives in
 the checkpoint under the shared folder, so a lost executor or driver resumes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from lakeweave.functions.pricing import cost_usd, price_maps
 from lakeweave.operators.layout import compact
-from lakeweave.plans.medallion import build_silver
+from lakeweave.plans.medallion import SILVER_ORDER, build_silver, quarantine as build_quarantine
 from lakeweave.sources.tables import VersionedTable
 
 BRONZE_SCHEMA = T.StructType([
@@ -38,7 +40,8 @@ def write_time_ordered_files(df: DataFrame, path: str, n_chunks: int, ts: str =
     # Computed once and cut from its lineage (reliable checkpoint in the
     # shared folder): the quantile pass and every chunk read it back.
     keyed = df.withColumn("_us", micros).checkpoint()
-    bounds = keyed.approxQuantile("_us", [i / n_chunks for i in range(1, n_chunks)], 0.0)
+    # A relative error keeps the quantile summary bounded; chunks are about even.
+    bounds = keyed.approxQuantile("_us", [i / n_chunks for i in range(1, n_chunks)], 0.001)
     edges = [None] + sorted(set(bounds)) + [None]
     for lo, hi in zip(edges[:-1], edges[1:]):
         cond = F.lit(True)
@@ -86,17 +89,28 @@ def _event_time(df: DataFrame, ts: str = "ts") -> DataFrame:
     return df.withColumn("_et", ntz_to_instant(F.col(ts)))
 
 
-def last_batch_id(table: VersionedTable) -> int:
-    """Highest micro-batch id already committed to ``table`` (-1 if none)."""
+def running_query(batch: DataFrame) -> str:
+    """Id of the streaming query whose ``foreachBatch`` this runs in (it is
+    kept in the checkpoint, so a restart has the same id); else empty."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+
+
+def last_batch_id(table: VersionedTable, query_id: str) -> int:
+    """Highest micro-batch id that query committed to ``table`` (-1 if none)."""
     ids = [int(c["params"]["streamBatchId"]) for c in table.commits()
-           if c["params"] and "streamBatchId" in c["params"]]
+           if c["params"] and "streamBatchId" in c["params"] and c["params"].get("streamQueryId", "") == query_id]
     return max(ids) if ids else -1
 
 
-def idempotent(table: VersionedTable, write: Callable[[DataFrame, int], None]):
-    """ST4: a ``foreachBatch`` function that skips micro-batches already committed."""
-    def run(batch: DataFrame, batch_id: int) -> None:
-        if batch_id <= last_batch_id(table):
+def idempotent(table: VersionedTable, write: Callable[[DataFrame, dict], None]):
+    """ST4: a ``foreachBatch`` function that skips micro-batches its query
+    already committed. Batch ids count from 0 in every checkpoint, so they
+    tell micro-batches apart only together with the query's id; ``write``
+    gets both as commit parameters. ``query_id`` is for replays outside a
+    running query."""
+    def run(batch: DataFrame, batch_id: int, query_id: str | None = None) -> None:
+        query_id = running_query(batch) if query_id is None else query_id
+        if batch_id <= last_batch_id(table, query_id):
             return
         # The sink reads the micro-batch more than once (checks, joins, write):
         # keep it for the duration of this call instead of re-running the
@@ -104,31 +118,45 @@ def idempotent(table: VersionedTable, write: Callable[[DataFrame, int], None]):
         batch = batch.persist()
         try:
             if not batch.isEmpty():
-                write(batch, batch_id)
+                write(batch, {"streamBatchId": batch_id, "streamQueryId": query_id})
         finally:
             batch.unpersist()
     return run
 
 
-def silver_sink(silver: VersionedTable, scope_days: int = 1):
+def silver_sink(silver: VersionedTable, late_days: int | None = None):
     """ST1 sink: each micro-batch is parsed, validated and deduplicated, then
-    merged into Silver keeping the earliest row per request_id. The merge is
-    scoped to the batch's dates +/- ``scope_days`` (retries arrive within
-    seconds), so only those Silver date partitions are read."""
-    def write(batch: DataFrame, batch_id: int) -> None:
+    merged into Silver keeping per request_id the row that the batch build
+    would keep (earliest ``ts``, ties by the other columns). A repeat may come
+    at any distance, so all of Silver is searched (its request_id column).
+    Where the source bounds how far apart repeats are, ``late_days`` limits
+    the search to the dates around the batch's."""
+    def write(batch: DataFrame, params: dict) -> None:
         s = build_silver(batch)
-        params = {"streamBatchId": batch_id}
         if not silver.exists():
             silver.overwrite(s, partition_by=["date"], params=params)
             return
-        lo, hi = s.agg(F.min("date"), F.max("date")).collect()[0]
-        if lo is None:
-            return
-        scope = f"date BETWEEN date_sub(DATE'{lo}', {scope_days}) AND date_add(DATE'{hi}', {scope_days})"
-        silver.merge(s, "request_id", scope=scope, when_older="ts", params=params)
+        scope = None
+        if late_days is not None:
+            lo, hi = s.agg(F.min("date"), F.max("date")).collect()[0]
+            if lo is not None:
+                scope = f"date BETWEEN date_sub(DATE'{lo}', {late_days}) AND date_add(DATE'{hi}', {late_days})"
+        silver.merge(s, "request_id", scope=scope, when_older=SILVER_ORDER, params=params)
     return idempotent(silver, write)
 
 
+def quarantine_sink(rejects: VersionedTable):
+    """S15 sink: each micro-batch's rejected rows, appended in directories by
+    reason."""
+    def write(batch: DataFrame, params: dict) -> None:
+        q = build_quarantine(batch)
+        if rejects.exists():
+            rejects.append(q, params=params)
+        else:
+            rejects.overwrite(q, partition_by=["reason"], params=params)
+    return idempotent(rejects, write)
+
+
 def stream_silver(bronze: DataFrame, silver: VersionedTable, checkpoint: str, trigger: dict | None = None):
     """ST1: start the Bronze stream -> Silver table query."""
     w = bronze.writeStream.foreachBatch(silver_sink(silver)).option("checkpointLocation", checkpoint)
@@ -171,19 +199,25 @@ def upsert_sink(table: VersionedTable, key: list[str], partition_by: list[str] |
     replays of a committed micro-batch are skipped. ``keys_unique=True``
     (e.g. the output of a streaming aggregation on ``key``) skips the
     duplicate-key check."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        params = {"streamBatchId": batch_id}
+    def write(batch: DataFrame, params: dict) -> None:
         if not table.exists():
             table.overwrite(batch, partition_by=partition_by or [], params=params)
-        else:
-            table.merge(batch, key, params=params, check_unique=not keys_unique)
+            return
+        scope = None
+        # Partition columns that are part of the key: rows can only match in
+        # the directories of the batch's own values.
+        if partition_by and set(partition_by) <= set(key):
+            lo_hi = batch.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in partition_by for f in (F.min, F.max)]).collect()[0]
+            if all(v is not None for v in lo_hi):
+                scope = reduce(lambda a, b: a & b, [F.col(c).between(F.lit(lo_hi[f"min_{c}"]), F.lit(lo_hi[f"max_{c}"])) for c in partition_by])
+        table.merge(batch, key, scope=scope, params=params, check_unique=not keys_unique)
     return idempotent(table, write)
 
 
 def append_sink(table: VersionedTable, compact_every: int | None = None, target_bytes: int | None = None):
     """ST4/ST5: append each micro-batch once; compact every ``compact_every`` batches."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        params = {"streamBatchId": batch_id}
+    def write(batch: DataFrame, params: dict) -> None:
+        batch_id = params["streamBatchId"]
         if not table.exists():
             table.overwrite(batch, params=params)
         else:

@@ -63,3 +63,41 @@ def test_compact_partitioned_table(spark, fresh):
     assert _bag(t.read()) == _bag(ev)
     assert t.read().where(F.col("d") == F.lit("2024-01-02").cast("date")).count() == \
         ev.where(F.col("d") == F.lit("2024-01-02").cast("date")).count()
+
+
+def test_compact_takes_small_files_of_all_batches(spark, fresh):
+    t = fresh("many")
+    t.overwrite(spark.range(200_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("h")).coalesce(1))  # one large file
+    for i in range(12):
+        t.append(spark.range(i * 10, i * 10 + 10).select("id", F.lit("x").alias("h")).coalesce(1))
+    res = L.compact(t, 1 << 20)
+    assert (res["numFilesRemoved"], res["numFilesAdded"], res["totalConsideredFiles"]) == (12, 1, 13)
+    assert t.read().count() == 200_120 and t.detail().collect()[0]["numFiles"] == 2
+    assert L.compact(t, 1 << 20)["numFilesRemoved"] == 0          # one small file is not rewritten over and over
+
+
+def test_zorder_by_long_prefixed_strings(spark, fresh):
+    t = fresh("strings")
+    t.overwrite(spark.range(8000).select(F.format_string("customer-%07d", F.col("id") * 7919 % 8000).alias("name"), (F.col("id") % 90).alias("n")).repartition(8))
+    L.zorder(t, ["name", "n"], 4 * 1024)
+    r = L.pruning_report(t, {"name": "customer-0004321"}).collect()[0]
+    assert r["files"] >= 8 and r["hits"] <= 0.7 * r["files"]      # all of them by a prefix
+
+
+def test_zorder_inside_partitions(spark, fresh):
+    t = fresh("parts")
+    t.overwrite(spark.range(6000).select((F.col("id") % 3).alias("d"), (F.col("id") * 7919 % 6000).alias("x")), partition_by=["d"])
+    L.zorder(t, ["x"], 2 * 1024)
+    s = t.read_with_files().groupBy("d", "_file").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).orderBy("d", "lo").collect()
+    assert len(s) > 6 and all(a["hi"] < b["lo"] for a, b in zip(s, s[1:]) if a["d"] == b["d"])
+
+
+def test_pruned_read_scans_no_data_for_its_file_list(spark, fresh):
+    t = fresh("probe")
+    t.overwrite(spark.range(4000).select(F.col("id").alias("a"), (F.col("id") % 7).alias("b")).repartition(4))
+    L.zorder(t, ["a"], 4 * 1024)
+    t.append(spark.createDataFrame([(17, 3)], "a long, b long").coalesce(1))   # no statistics
+    df = L.pruned_read(t, {"a": 17, "b": 3})
+    assert sorted(map(tuple, df.collect())) == [(17, 3), (17, 3)]
+    assert len(df.inputFiles()) == 2 and "Aggregate" not in df._jdf.queryExecution().executedPlan().toString()
+    assert L.pruned_read(t, {"a": -1}).count() == 0

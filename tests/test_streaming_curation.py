@@ -19,10 +19,66 @@ def test_stream_silver_equals_batch_and_replay_is_noop(spark, fresh):
     batch = M.build_silver(b)
     assert sorted(silver.read().select(*M.SILVER_COLUMNS).collect()) == sorted(batch.collect())
     v = silver.latest_version()
-    S.silver_sink(silver)(b, 0)                      # replay of micro-batch 0
+    query_id = silver.commit_info(0)["params"]["streamQueryId"]
+    assert query_id
+    S.silver_sink(silver)(b, 0, query_id)            # replay of micro-batch 0
     assert silver.latest_version() == v
 
 
+def test_a_second_checkpoint_loses_no_row(spark, fresh):
+    land, out = shared_dir(spark, "land2"), fresh("twice")
+    b = bronze_from_events(spark.read.parquet(f"{SF}/events.parquet"))
+    S.write_time_ordered_files(b, land, 3)
+    for n in range(2):
+        S.run_to_end(S.bronze_stream(spark, land).writeStream.foreachBatch(S.append_sink(out))
+                     .option("checkpointLocation", shared_dir(spark, "ck2")).trigger(availableNow=True).start())
+        assert out.read().count() == (n + 1) * b.count()
+
+
+def _bronze(spark, rows):
+    body = '{"model": "m1", "user_id": "u", "usage": {"input": 1, "output": 1}, "latency_ms": %d, "status": "ok"}'
+    return spark.createDataFrame([(r, ts, body % n) for r, ts, n in rows], "request_id string, ts timestamp_ntz, raw_json string")
+
+
+def test_late_retries_and_tied_times_equal_batch(spark, fresh):
+    """A repeat ten days on, an earlier row that comes late, and tied times."""
+    at = lambda d: dt.datetime(2024, 1, d)
+    parts = [[("a", at(11), 5), ("b", at(11), 9), ("c", at(11), 1)], [("a", at(1), 7), ("b", at(11), 1), ("c", at(11), 4), ("a", at(21), 2)]]
+    silver = fresh("late")
+    for i, rows in enumerate(parts):
+        S.silver_sink(silver)(_bronze(spark, rows), i, "q")
+    want = M.build_silver(_bronze(spark, parts[0] + parts[1])).collect()
+    assert sorted(silver.read().select(*M.SILVER_COLUMNS).collect()) == sorted(want) and len(want) == 3
+    rejects = fresh("rejects")
+    bad = spark.createDataFrame([("x", at(1), "{"), ("y", at(1), None)], "request_id string, ts timestamp_ntz, raw_json string")
+    S.quarantine_sink(rejects)(bad.unionByName(_bronze(spark, parts[0])), 0, "q")
+    assert rejects.read().count() == 2 and rejects.commit_info()["partition_by"] == ["reason"]
+
+
+def test_components_of_a_long_path(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(900, 901)], "src long, dst long")
+    got = {r["node"]: r["component"] for r in C.components(edges).collect()}
+    assert {got[i] for i in range(201)} == {0} and got[901] == 900
+
+
+def test_scd2_keeps_rows_without_key_or_time(spark):
+    rows = spark.createDataFrame([(1, dt.datetime(2024, 1, 1), 1), (None, dt.datetime(2024, 1, 1), 2), (1, None, 3)], "k long, ts timestamp, n long")
+    got = {r["n"]: (r["valid_to"], r["is_current"]) for r in C.scd2(rows, "k", "ts", "n").collect()}
+    assert got == {1: (None, True), 2: (None, False), 3: (None, False)}
+
+
+def test_a_like_pair_beside_many_unlike_documents(spark):
+    """Lower ids that share a bucket but are less alike don't hide a pair."""
+    import random
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join(base[:70] + [f"x{i}_{j}" for j in range(50)])) for i in range(200)]
+    rows += [(900, " ".join(base)), (901, " ".join(base[:-3] + ["y1", "y2", "y3"]))]
+    rng.shuffle(rows)
+    got = {r["id"]: r["component"] for r in C.near_dups(spark.createDataFrame(rows, "id long, text string"), "id", "text").collect()}
+    assert got.get(901) == got.get(900) == 900
+
+
 def test_merge_latest_ignores_older_rows(spark, fresh):
     t = fresh()
     d = dt.date
