@@ -131,7 +131,7 @@ def test_line_dedup_equals_brute_force(spark):
     places = []
     for d, t, *_ in rows:
         data = np.frombuffer(t.encode(), np.uint8)
-        lines = line_dedup.Lines(data, np.array([0, len(data)]))
+        lines = line_dedup.Lines(data, np.array([0, len(data)]), sims=True)
         for i, line in enumerate(t.split("\n")):
             norm = lines.normalised(i)
             assert norm.split() == "".join(c if c.isalnum() else " " for c in line.lower()).translate(str.maketrans("123456789", "0" * 9)).split()
@@ -168,6 +168,16 @@ def test_line_dedup_edges(spark):
     assert line_dedup.report(docs(spark).limit(0)).collect() == []
 
 
+def test_simhash_of_runs_of_any_length():
+    rng = np.random.default_rng(1)
+    words = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
+    first = np.array([0, 1, 255, 600, 610, 2999])
+    got = line_dedup.simhashes(words, first).view(np.uint64)
+    for i, (a, b) in enumerate(zip(first, [*first[1:], 3000])):
+        bits = np.unpackbits(words[a:b].view(np.uint8).reshape(-1, 8), axis=1)
+        assert np.packbits(bits.sum(0) * 2 > b - a).view(np.uint64)[0] == got[i]
+
+
 def test_sims_within_three_bits_share_a_bucket(spark):
     rng = random.Random(2)
     rows = []
