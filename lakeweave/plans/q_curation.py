@@ -79,8 +79,8 @@ def q_age_tier(spark, sf):
     return C.age_tier(o, "o_orderdate", as_of).groupBy("tier").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-@register("curation_audited_read", """WITH v0 AS (SELECT c_custkey AS customer_id, 'active' AS status,
-  CAST(c_custkey % 1000 AS INTEGER) AS score FROM customer)
+@register("curation_audited_read", """WITH v0 AS (SELECT c_custkey AS customer_id, 'opened' AS status,
+  CAST(c_custkey % 997 AS INTEGER) AS score FROM customer)
 SELECT * FROM v0""")
 def q_audited_read(spark, sf):
     """A read of version 0 that leaves a row in the audit table."""

@@ -151,9 +151,7 @@ def q_gold_priced_inner(spark, sf):
     return M.build_gold(M.build_silver(_bronze(spark, sf)), price_table(spark, PARTIAL_PRICES), how="inner")
 
 
-@register("gold_contract", f"""WITH {SQL_BRONZE.strip()},
-{_prices_sql(DEFAULT_PRICES)},
-gold AS ({_gold_sql(DEFAULT_PRICES).split('prices(model, c_in, c_out) AS', 1)[1].split(chr(10), 1)[1]})
+@register("gold_contract", f"""WITH gold AS ({_gold_sql(DEFAULT_PRICES)})
 SELECT count(DISTINCT date) AS dates, count(DISTINCT model) AS models, count(*) AS rows,
        count(DISTINCT (date, model)) AS pairs, min(cost_usd) AS min_cost_usd,
        max(error_rate) AS max_error_rate,
