@@ -33,17 +33,6 @@ def parse_payload(raw: Column | str, schema: T.StructType = PAYLOAD_SCHEMA) -> C
                                                    "mode": "PERMISSIVE"})
 
 
-def json_string(raw: Column | str, path: str) -> Column:
-    """JSON path -> string (F1)."""
-    raw = F.col(raw) if isinstance(raw, str) else raw
-    return F.get_json_object(raw, path)
-
-
-def json_int(raw: Column | str, path: str) -> Column:
-    """JSON path -> int, NULL when the value is not an integer (F2)."""
-    return json_string(raw, path).try_cast("int")
-
-
 def reject_reason(raw: Column | str, parsed: Column | str) -> Column:
     """Why a Bronze row cannot enter Silver, or NULL when it can (Q2, Q6).
 

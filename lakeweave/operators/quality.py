@@ -10,8 +10,6 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lakeweave.plans.medallion import quarantine as _quarantine
-
 Check = tuple[Column, Callable[[Column], Column]]
 
 # Key names that look like personal data. A new payload key
@@ -34,29 +32,28 @@ def expect(df: DataFrame, checks: dict[str, Check]) -> DataFrame:
     return row.select(F.inline(F.array(*pairs)))
 
 
-def split_malformed(bronze: DataFrame, schema=None) -> tuple[DataFrame, DataFrame]:
-    """Q2/Q6: (parsable rows, quarantined rows with a reason)."""
-    from lakeweave.plans.medallion import classify
-    c = classify(bronze) if schema is None else classify(bronze, schema)
-    return (c.where(F.col("reason").isNull()).drop("_p", "reason"),
-            _quarantine(bronze) if schema is None else _quarantine(bronze, schema))
-
-
 def new_keys(df: DataFrame, col: str, known: Sequence[str]) -> DataFrame:
     """Q3: top-level JSON keys not in ``known``, with row counts and a
     ``pii_suspect`` flag; a suspect key should fail the load.
 
-    ``known`` is a declared key list (bounded by the schema), so it is
-    broadcast for the anti join.
+    ``known`` is a declared key list, filtered by value.
     """
-    spark = df.sparkSession
     keys = (df.select(F.explode(F.json_object_keys(F.col(col))).alias("key"))
             .groupBy("key").agg(F.count(F.lit(1)).alias("n_rows")))
-    known_df = spark.createDataFrame([(k,) for k in known], "key string")
-    return (keys.join(F.broadcast(known_df), "key", "left_anti")
+    return (keys.where(~F.col("key").isin(*known))
             .withColumn("pii_suspect", F.col("key").rlike(PII_KEY_PATTERN)))
 
 
+def gated_landing(df: DataFrame, col: str, known: Sequence[str], table, held) -> bool:
+    """Q3: land a load, unless its JSON holds a new key that looks personal:
+    then the whole load goes to ``held`` with the reason and ``table`` gets
+    nothing. Returns whether it landed."""
+    suspects = [r["key"] for r in new_keys(df, col, known).where("pii_suspect").select("key").limit(20).collect()]
+    to, rows = (table, df) if not suspects else (held, df.withColumn("reason", F.lit("new keys: " + ", ".join(sorted(suspects)))))
+    to.append(rows) if to.exists() else to.overwrite(rows)
+    return not suspects
+
+
 def duplicate_rate(df: DataFrame, key: str | Sequence[str], digits: int = 6) -> DataFrame:
     """Q4: rows, distinct keys and 1 - distinct/rows."""
     keys = [key] if isinstance(key, str) else list(key)

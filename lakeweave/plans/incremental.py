@@ -30,9 +30,9 @@ def rebuild_gold(gold: VersionedTable, silver: VersionedTable, start: int, end:
         return None
     lit_dates = [F.lit(d) for d in dates]
     fresh = build_gold(silver.read(end).where(F.col("date").isin(*lit_dates)), prices, exact=exact)
-    g = gold.read_with_files()
-    touched = [r[0] for r in g.where(F.col("date").isin(*lit_dates)).select("_batch").distinct().collect()]
-    kept = (gold._read_batches(gold.live(touched), gold.schema()).where(~F.col("date").isin(*lit_dates))
-            if touched else None)
-    out = fresh if kept is None else kept.unionByName(fresh)
-    return gold.replace_batches(out, touched, "REBUILD", params={"dates": len(dates)})
+    # only files that hold rows of these dates (whole directories, if Gold is
+    # partitioned by date) are replaced
+    g = gold.read_with_files().where(F.col("date").isin(*lit_dates))
+    keep, touched = gold.split_live(gold.commit_info()["batches"], gold.files_where(g))
+    kept = gold._read_batches(touched, gold.schema()).where(~F.col("date").isin(*lit_dates))
+    return gold.replace_entries(kept.unionByName(fresh), keep, "REBUILD", params={"dates": len(dates)})

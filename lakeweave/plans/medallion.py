@@ -67,11 +67,6 @@ def build_silver(bronze: DataFrame, schema=PAYLOAD_SCHEMA) -> DataFrame:
                           for c in SILVER_COLUMNS])
 
 
-def split_silver(bronze: DataFrame, schema=PAYLOAD_SCHEMA) -> tuple[DataFrame, DataFrame]:
-    """M2: ``(silver, quarantine)``."""
-    return build_silver(bronze, schema), quarantine(bronze, schema)
-
-
 def daily_metrics(silver: DataFrame, exact: bool = True) -> DataFrame:
     """Gold aggregates before pricing.
 
@@ -100,11 +95,11 @@ def build_gold(silver: DataFrame, prices: DataFrame, exact: bool = True, how: st
                digits: int | None = 6) -> DataFrame:
     """M3: Gold per (date, model), priced after aggregation.
 
-    ``prices`` is a literal table of a few rows; it is broadcast (its size is
-    the number of priced models, independent of the data). ``how='left'``
+    A short price table is broadcast by Spark's own size check; a long one is
+    joined by shuffle. ``how='left'``
     keeps unpriced models with NULL cost; ``how='inner'`` drops them.
     """
-    g = daily_metrics(silver, exact).join(F.broadcast(prices), "model", how)
+    g = daily_metrics(silver, exact).join(prices, "model", how)
     out = g.withColumn("cost_usd", cost_usd(F.col("total_prompt_tokens"), F.col("total_completion_tokens"),
                                             F.col("c_in"), F.col("c_out")))
     cols = []
@@ -148,7 +143,7 @@ def dedup_yield(bronze: DataFrame, silver: DataFrame) -> DataFrame:
 
 def request_cost(silver: DataFrame, prices: DataFrame, how: str = "inner", digits: int = 6) -> DataFrame:
     """M6: per-request cost rounded to ``digits``."""
-    j = silver.join(F.broadcast(prices), "model", how)
+    j = silver.join(prices, "model", how)
     return j.select("request_id", "date", "model", "prompt_tokens", "completion_tokens",
                     F.round(cost_usd(F.col("prompt_tokens"), F.col("completion_tokens"),
                                      F.col("c_in"), F.col("c_out")), digits).alias("cost_usd"))
@@ -156,7 +151,7 @@ def request_cost(silver: DataFrame, prices: DataFrame, how: str = "inner", digit
 
 def tenant_daily_cost(silver: DataFrame, prices: DataFrame, digits: int = 6) -> DataFrame:
     """M7: cost and calls per (date, tenant); tenants are ``user_id``s."""
-    j = silver.join(F.broadcast(prices), "model", "left")
+    j = silver.join(prices, "model", "left")
     c = cost_usd(F.col("prompt_tokens"), F.col("completion_tokens"), F.col("c_in"), F.col("c_out"))
     return (j.groupBy("date", F.col("user_id").alias("tenant_id"))
              .agg(F.count(F.lit(1)).alias("calls"),

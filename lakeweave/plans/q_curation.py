@@ -97,3 +97,26 @@ def q_embeddings(spark, sf):
     t.overwrite(e)
     t.overwrite(C.normalize_embeddings(t.read(0)))
     return t.as_of(0)
+
+
+@register("curation_audit_rows", """SELECT 'analyst' AS who, 0 AS version, count(*) AS n_rows FROM customer
+UNION ALL SELECT 'auditor', 1, count(*) FROM customer""")
+def q_audit_rows(spark, sf):
+    """What the audit table says of two reads, with the rows each version holds."""
+    t = customer_versions(spark, sf)
+    audit = VersionedTable(spark, shared_dir(spark, "audit_rows"))
+    for who, v in (("analyst", 0), ("auditor", 1)):
+        C.audited_read(t, who, audit, version=v)
+    sizes = [t.as_of(v).agg(F.lit(v).alias("version"), F.count(F.lit(1)).alias("n_rows")) for v in (0, 1)]
+    return audit.read().join(sizes[0].unionByName(sizes[1]), "version").select("who", "version", "n_rows")
+
+
+@register("curation_embeddings_v1", """SELECT vec_id, label, list_transform(embedding, lambda x:
+  CAST(round(1000 * CAST(x AS DOUBLE) / sqrt(list_sum(list_transform(embedding, lambda y: CAST(y AS DOUBLE) * CAST(y AS DOUBLE))))) AS INTEGER)) AS embedding
+FROM embeddings""")
+def q_embeddings_v1(spark, sf):
+    """The re-computed vectors of version 1, in thousandths."""
+    t = VersionedTable(spark, shared_dir(spark, "embeddings_v1"))
+    t.overwrite(table(spark, sf, "embeddings"))
+    t.overwrite(C.normalize_embeddings(t.read(0)))
+    return t.as_of(1).select("vec_id", "label", F.transform("embedding", lambda x: F.round(1000 * x.cast("double")).cast("int")).alias("embedding"))

@@ -161,7 +161,7 @@ def q_user_pruning_report(spark, sf):
             .unionByName(L.pruning_report(t, p).withColumn("version", F.lit(1))))
 
 
-APPENDS = 60
+APPENDS = 30
 
 
 @register("layout_many_appends", "SELECT * FROM customer")

@@ -228,3 +228,25 @@ def q_any_per_key(spark, sf):
     from lakeweave.operators.dedup import any_per_key
     valid = M.classify(_bronze(spark, sf)).where(F.col("reason").isNull()).select("request_id", "ts", "raw_json")
     return any_per_key(valid, "request_id").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("distinct_rows", "SELECT DISTINCT o_custkey, o_orderstatus, o_orderpriority FROM orders")
+def q_distinct_rows(spark, sf):
+    """Distinct rows of a projection."""
+    from lakeweave.operators.dedup import distinct_rows
+    return distinct_rows(table(spark, sf, "orders"), ["o_custkey", "o_orderstatus", "o_orderpriority"])
+
+
+@register("orders_by_price", """SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders""")
+def q_orders_by_price(spark, sf):
+    """O1: all orders in a total order, with their ranks."""
+    from lakeweave.operators.ranking import ranked
+    return ranked(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), [F.col("o_totalprice").desc(), F.col("o_orderkey")])
+
+
+@register("bronze_peek_in_bronze", "SELECT least(5, count(*)) AS n_rows FROM events")
+def q_peek_in_bronze(spark, sf):
+    """The peeked rows are rows of Bronze."""
+    b = _bronze(spark, sf)
+    p = M.peek(b, 5).select(F.xxhash64("request_id", "ts", "raw_json").alias("h"))
+    return p.join(b.select(F.xxhash64("request_id", "ts", "raw_json").alias("h")), "h", "left_semi").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -14,6 +14,8 @@ from lakeweave.session import shared_dir
 from lakeweave.sources.tables import VersionedTable
 
 KNOWN_PAYLOAD_KEYS = ["model", "usage", "latency_ms", "status"]
+# Declared for the gate: an id that the key pattern would hold.
+GATE_HARMLESS = ["user_id"]
 
 
 @register("quality_expectations", f"""WITH {SQL_BRONZE.strip()}
@@ -88,12 +90,11 @@ def q_retention_payload(spark, sf):
         F.concat(F.lit("req-"), F.col("event_id").cast("string")).alias("request_id"))
     as_of = ev.agg(F.max("ts")).collect()[0][0]
     # An NTZ literal from its ISO text: no process or session time zone involved.
-    out = R.expire_payload(b, "ts", as_of.isoformat(sep=" "), 7, ["raw_json"], holds, "request_id")
     # JSON text is formatted differently by each engine: compare presence and
-    # a field of the original payload instead of the text.
-    return out.join(b.select("request_id", "ts", F.get_json_object("raw_json", "$.status").alias("status")),
-                    ["request_id", "ts"]).select("request_id", "ts", F.col("raw_json").isNotNull().alias("has_payload"),
-                                                 "status")
+    # a field read before expiry instead of the text.
+    b = b.withColumn("status", F.get_json_object("raw_json", "$.status"))
+    out = R.expire_payload(b, "ts", as_of.isoformat(sep=" "), 7, ["raw_json"], holds, "request_id")
+    return out.select("request_id", "ts", F.col("raw_json").isNotNull().alias("has_payload"), "status")
 
 
 @register("retention_rows", """SELECT event_id, ts, user_id, event_type, value, props FROM events
@@ -127,3 +128,26 @@ def q_incremental(spark, sf):
     s.append(silver_all.where(late))
     rebuild_gold(g, s, 0, 1, prices)
     return g.read()
+
+
+@register("quality_duplicate_alert", f"""WITH {SQL_BRONZE.strip()},
+r AS (SELECT count(*) AS rows, count(DISTINCT request_id) AS distinct_keys,
+             round(1.0 - count(DISTINCT request_id) / greatest(count(*), 1), 6) AS duplicate_rate FROM bronze)
+SELECT *, duplicate_rate > 0.05 * 1.5 AS alert FROM r""")
+def q_duplicate_alert(spark, sf):
+    """Q4: the duplicate rate of Bronze against a baseline of 5 % and half as much again."""
+    return Q.duplicate_alert(_bronze(spark, sf), "request_id", 0.05, 0.5)
+
+
+@register("quality_gated_landing", f"""WITH {SQL_BRONZE.strip()}
+SELECT request_id, ts, 'landed' AS state, NULL AS reason FROM bronze
+UNION ALL SELECT 'req-' || CAST(event_id AS VARCHAR), ts, 'held', 'new keys: contact_email' FROM events""")
+def q_gated_landing(spark, sf):
+    """Q3: a load with a new key that looks personal is held whole; Bronze lands."""
+    land, held = (VersionedTable(spark, shared_dir(spark, n)) for n in ("gate_land", "gate_held"))
+    Q.gated_landing(_bronze(spark, sf), "raw_json", KNOWN_PAYLOAD_KEYS + GATE_HARMLESS, land, held)
+    risky = table(spark, sf, "events").select(F.concat(F.lit("req-"), F.col("event_id").cast("string")).alias("request_id"), "ts",
+                                              F.to_json(F.struct(F.lit("m").alias("model"), F.lit("x").alias("contact_email"))).alias("raw_json"))
+    Q.gated_landing(risky, "raw_json", KNOWN_PAYLOAD_KEYS + GATE_HARMLESS, land, held)
+    return (land.read().select("request_id", "ts", F.lit("landed").alias("state"), F.lit(None).cast("string").alias("reason"))
+            .unionByName(held.read().select("request_id", "ts", F.lit("held").alias("state"), "reason")))
