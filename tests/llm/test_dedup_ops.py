@@ -136,6 +136,7 @@ def test_line_dedup_equals_brute_force(spark):
             norm = lines.normalised(i)
             assert norm.split() == "".join(c if c.isalnum() else " " for c in line.lower()).translate(str.maketrans("123456789", "0" * 9)).split()
             fit = len(norm.split()) >= 4 and len(norm.replace(" ", "")) >= 15
+            assert lines.chars[i] == len(norm)
             if fit:
                 seen[norm] = int(lines.sim[i]) & (1 << 64) - 1
             places.append((d, line, norm if fit else None))
@@ -168,6 +169,13 @@ def test_line_dedup_edges(spark):
     assert line_dedup.report(docs(spark).limit(0)).collect() == []
 
 
+def test_lengths_that_may_be_linked_share_a_class(spark):
+    n = list(range(1, 700))
+    rows = spark.createDataFrame([(i,) for i in n], "n long").select("n", line_dedup.classes(F.col("n")).alias("c")).collect()
+    c = {r.n: set(r.c) for r in rows}
+    assert all(c[a] & c[b] for a in n for b in range(max(1, a - a * 20 // 100), a))
+
+
 def test_simhash_of_runs_of_any_length():
     rng = np.random.default_rng(1)
     words = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
