@@ -46,3 +46,24 @@ def test_expire_rows_new_version(spark, fresh):
     t.overwrite(spark.createDataFrame([(1, now - dt.timedelta(days=40)), (2, now)], "id long, ts timestamp_ntz"))
     R.expire_rows(t, "ts", F.lit(now), 30)
     assert [r["id"] for r in t.read().collect()] == [2] and t.read(0).count() == 2
+
+
+def test_a_load_with_a_personal_key_is_held_whole(spark, fresh):
+    land, held = fresh("land"), fresh("held")
+    good = spark.createDataFrame([("r1", '{"model": "m"}'), ("r2", None)], "id string, raw string")
+    bad = spark.createDataFrame([("r3", '{"model": "m"}'), ("r4", '{"model": "m", "home_address": 1}')], "id string, raw string")
+    assert Q.gated_landing(good, "raw", ["model"], land, held) and not held.exists()
+    assert not Q.gated_landing(bad, "raw", ["model"], land, held)
+    assert land.read().count() == 2 and {r["reason"] for r in held.read().collect()} == {"new keys: home_address"} and held.read().count() == 2
+
+
+def test_duplicate_alert_against_a_baseline(spark):
+    df = spark.createDataFrame([(i % 8,) for i in range(10)], "k long")
+    assert [Q.duplicate_alert(df, "k", base).first()["alert"] for base in (0.1, 0.2)] == [True, False]
+
+
+def test_ranks_of_a_total_order(spark):
+    from lakeweave.operators.ranking import ranked
+    rows = [(i * 7919 % 500, i) for i in range(500)] + [(3, 1000 + i) for i in range(50)]
+    got = {r["i"]: r["rank"] for r in ranked(spark.createDataFrame(rows, "v long, i long").repartition(7), [F.col("v"), F.col("i")]).collect()}
+    assert [got[i] for _, i in sorted(rows)] == list(range(1, 551))
