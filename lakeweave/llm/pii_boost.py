@@ -4,11 +4,13 @@ Base spans follow fixed patterns with checks (octets, Luhn, digit counts) and
 always stay. High-recall generators propose further, overlapping candidates:
 bracketed or spaced addresses, loose number groups, numbers without a prefix.
 Gradient-boosted trees score each candidate by format and context features
-(lengths, groups, separators, the characters around it); they are trained here
-on the candidates of a bounded draw of documents, a candidate being positive
-where the checked patterns confirm it. An isotonic fit on held-out candidates
-turns scores into probabilities, and each kind's threshold is the least
-probability at which the held-out candidates reach the wanted precision. Kinds
+(lengths, groups, separators, the characters around it). They are trained here
+on a bounded draw of the documents that hold candidates. Positives are base
+spans rewritten in place into loose forms (``loosened``) that no base pattern
+matches; negatives are candidates clear of base spans, and those that miss the
+ends of a rewritten one. An isotonic fit on held-out documents turns scores
+into probabilities, and each kind's threshold is the least probability at which
+its held-out candidates reach the wanted precision. Kinds
 with too few held-out examples add nothing.
 
 Defined cases: NULL and empty texts have no spans; offsets are code points, end
@@ -22,12 +24,13 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakeweave.llm.common import as_text, byte_view, ship, slices, table
+from lakeweave.llm.common import as_text, byte_view, cut, ship, slices, table
 
 KINDS = ("email", "ip", "card", "phone")
 #: Documents drawn for training, and candidates kept of them.
@@ -100,6 +103,42 @@ def candidates(text: str) -> list[Span]:
     return sorted({(KINDS.index(k), m.start(), m.end()) for k, p in _LOOSE for m in p.finditer(text)})
 
 
+def loosened(text: str, span: Span) -> list[str]:
+    """Loose forms of a base span that its pattern does not match."""
+    kind, a, b = span
+    s = text[a:b]
+    if kind == 0:
+        local, _, domain = s.rpartition("@")
+        return [f"{local}{at}{domain.replace('.', dot)}" for at, dot in (("(at)", "."), (" (at) ", " (dot) "), ("[at]", "[dot]"), (" [at] ", "."), (" @ ", "."))]
+    if kind == 1:
+        return [s.replace(".", dot) for dot in ("[.]", "(.)", " . ")]
+    if kind == 2:
+        d = _digits(s)
+        return [".".join(d[i:i + 4] for i in range(0, len(d), 4)), ".".join((d[:4], d[4:10], d[10:]))]
+    d = re.sub(r"[ ().-]+", " ", s[1:]).strip()
+    return [s[1:], "00" + s[1:], d.replace(" ", "/"), "00 " + d, d.replace(" ", "")]
+
+
+def examples(text: str) -> Iterator[tuple[Span, bool, list[float]]]:
+    """Training candidates of a text: span, label and features."""
+    base = base_spans(text)
+    for c in candidates(text):
+        if not overlaps(c, base):
+            yield c, False, described(text, c)
+    reach = 4 * AROUND  # context that features and neighbouring groups can see
+    for kind, a, b in base:
+        lo, hi = max(0, a - reach), b + reach
+        for form in dict.fromkeys(loosened(text, (kind, a, b))):
+            near = text[lo:a] + form + text[b:hi]
+            span = (kind, a - lo, a - lo + len(form))
+            others = base_spans(near)
+            if overlaps(span, others):
+                continue
+            for c in candidates(near):
+                if overlaps(c, [span]) and not overlaps(c, others):
+                    yield (c[0], c[1] + lo, c[2] + lo), c == span, described(near, c)
+
+
 def _side(c: str) -> int:
     return 0 if not c else 1 if c.isspace() else 2 if c.isalpha() else 3 if c.isdigit() else 4
 
@@ -136,7 +175,7 @@ class BoostedTrees:
             tree = self._grow(bins, y - p, p * (1 - p), np.flatnonzero(fit), DEPTH)
             self.trees.append(tree)
             raw += RATE * self._walk(tree, bins)
-        self._calibrate(raw[held], y[held], x[held, 0])
+        self._calibrate(raw[held], y[held], x[held, 0], set(x[y > 0, 0].astype(int).tolist()))
 
     def binned(self, x: np.ndarray) -> np.ndarray:
         return np.stack([np.searchsorted(e, c, "right") for e, c in zip(self.edges, x.T)], 1)
@@ -164,7 +203,7 @@ class BoostedTrees:
         f, at, low, high = tree
         return np.where(bins[:, f] <= at, self._walk(low, bins), self._walk(high, bins))
 
-    def _calibrate(self, raw, y, kind):
+    def _calibrate(self, raw, y, kind, known):
         """Pool adjacent violators, then each kind's least sure probability."""
         order = np.argsort(raw, kind="stable")
         blocks: list[list[float]] = []
@@ -177,7 +216,7 @@ class BoostedTrees:
             return
         self.steps = (np.array([b[2] for b in blocks]), np.array([b[0] / b[1] for b in blocks]))
         p = self._probability(raw)
-        for k in range(len(KINDS)):
+        for k in known:
             mine = kind == k
             if y[mine].sum() < ENOUGH:
                 continue
@@ -236,23 +275,43 @@ def hinted(column) -> Iterator[tuple[int, str]]:
             yield row, texts[row].as_py()
 
 
+def drawn_ids(docs: DataFrame, drawn: int) -> DataFrame:
+    """(doc_id) of at most ``drawn`` documents: an equal share from those with
+    a base span of each kind, and from those with any other candidate."""
+    def mask(batches):
+        for b in batches:
+            ids, out = b.column(0), []
+            for row, text in hinted(b.column(1)):
+                base = base_spans(text)
+                held = sum(1 << k for k in {s[0] for s in base}) | (any(not overlaps(c, base) for c in candidates(text)) << len(KINDS))
+                if held:
+                    out.append((ids[row].as_py(), held))
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["doc_id", "held"])
+
+    found = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text").mapInArrow(mask, "doc_id bigint, held bigint")
+    found = cut(found, "candidate-docs")
+    parts = [found.where(F.col("held").bitwiseAND(F.lit(1 << k)) != 0).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(drawn // (len(KINDS) + 1))
+             for k in range(len(KINDS) + 1)]
+    return reduce(DataFrame.unionByName, parts).distinct()
+
+
 def train(docs: DataFrame, drawn: int = DRAWN, most: int = CANDIDATES) -> BoostedTrees:
-    """Fit on the candidates of ``drawn`` documents, ``most`` of them at most."""
-    ids = docs.where(F.col("doc_id").isNotNull()).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(drawn)
+    """Fit on the examples of ``drawn`` documents, ``most`` of them at most."""
+    ship(docs.sparkSession)
 
     def propose(batches):
         for b in batches:
             ids, rows = b.column(0), []
             for row, text in hinted(b.column(1)):
-                sure = set(base_spans(text))
-                rows += [(ids[row].as_py(), *c, c in sure, described(text, c)) for c in candidates(text)]
+                rows += [(ids[row].as_py(), *c, y, x) for c, y, x in examples(text)]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(
                 (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.float64())))], names=["id", "kind", "a", "b", "y", "x"])
 
-    picked = docs.select("doc_id", "text").join(F.broadcast(ids.distinct()), "doc_id", "left_semi")
+    picked = docs.select("doc_id", "text").join(F.broadcast(drawn_ids(docs, drawn)), "doc_id", "left_semi")
+    order = ("id", "a", "b", "kind", "y", "x")
     rows = (picked.mapInArrow(propose, "id bigint, kind bigint, a bigint, b bigint, y boolean, x array<double>")
-            .orderBy(F.xxhash64("id", "a", "b", "kind"), "id", "a", "b", "kind").limit(most).collect())
-    x = np.array([r.x for r in rows], float).reshape(len(rows), -1)
+            .orderBy(F.xxhash64(*order), *order).limit(most).collect())
+    x = np.array([r.x for r in rows], float).reshape(len(rows), -1 if rows else 0)
     held = np.array([(r.id * 2654435761 >> 7) % 3 == 0 for r in rows], bool)
     return BoostedTrees(x, np.array([r.y for r in rows], float), held)
 
