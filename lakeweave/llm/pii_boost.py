@@ -10,8 +10,8 @@ spans rewritten in place into loose forms (``loosened``) that no base pattern
 matches; negatives are candidates clear of base spans, and those that miss the
 ends of a rewritten one. An isotonic fit on held-out documents turns scores
 into probabilities, and each kind's threshold is the least probability at which
-its held-out candidates reach the wanted precision. Kinds
-with too few held-out examples add nothing.
+its held-out candidates reach the wanted precision, or those of all kinds where
+a kind has few of them. A kind without any base span adds nothing.
 
 Defined cases: NULL and empty texts have no spans; offsets are code points, end
 exclusive; repeated rows and NULL doc_ids each keep their row; an empty table
@@ -37,7 +37,7 @@ KINDS = ("email", "ip", "card", "phone")
 DRAWN, CANDIDATES = 4000, 20_000
 TREES, DEPTH, BINS, RATE = 40, 3, 32, 0.3
 PRECISION = 0.95
-#: Held-out positives that a kind needs for a threshold.
+#: Held-out positives that a kind needs for a threshold of its own.
 ENOUGH = 20
 #: Characters of context on either side.
 AROUND = 24
@@ -204,7 +204,8 @@ class BoostedTrees:
         return np.where(bins[:, f] <= at, self._walk(low, bins), self._walk(high, bins))
 
     def _calibrate(self, raw, y, kind, known):
-        """Pool adjacent violators, then each kind's least sure probability."""
+        """Pool adjacent violators, then the least sure probability of each
+        kind, and that of all kinds for a ``known`` kind with few positives."""
         order = np.argsort(raw, kind="stable")
         blocks: list[list[float]] = []
         for s, t in zip(raw[order], y[order]):
@@ -219,7 +220,7 @@ class BoostedTrees:
         for k in known:
             mine = kind == k
             if y[mine].sum() < ENOUGH:
-                continue
+                mine = np.ones(len(y), bool)
             for cutoff in np.unique(p[mine]):
                 if y[mine & (p >= cutoff)].mean() >= PRECISION:
                     self.cutoffs[k] = max(float(cutoff), 1e-9)

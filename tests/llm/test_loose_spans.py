@@ -18,8 +18,8 @@ def personal(rng):
 def test_a_trained_model_adds_obfuscated_spans_only(spark):
     rng = random.Random(31)
     said = lambda: " ".join(words(rng, 5)).translate(str.maketrans("", "", "0123456789"))
-    # one document in eight holds a span of one kind: 50 of each
-    rows = [(i, f"{said()} {personal(rng)[i // 8 % 4] if i % 8 == 0 else rng.randrange(10**8, 10**9)} {said()} {rng.randrange(1900, 2100)} {said()}", "en", "s", 0) for i in range(1600)]
+    # one document in eight holds a span of one kind: 12 of each, too few for a threshold of its own
+    rows = [(i, f"{said()} {personal(rng)[i // 8 % 4] if i % 8 == 0 else rng.randrange(10**8, 10**9)} {said()} {rng.randrange(1900, 2100)} {said()}", "en", "s", 0) for i in range(384)]
     model = pii_boost.train(docs(spark, rows))
     assert np.isfinite(model.cutoffs[:2]).all()
     for form, kind in (("jane.roe (at) mail (dot) com", 0), ("jane[at]mail[dot]com", 0), ("10[.]20[.]30[.]40", 1), ("10(.)20(.)30(.)40", 1)):
@@ -28,3 +28,11 @@ def test_a_trained_model_adds_obfuscated_spans_only(spark):
         assert base == [] and [(k, text[a:b]) for k, a, b in added] == [(kind, form)]
     plain = [pii_boost.all_spans(f"{said()} {rng.randrange(10**8, 10**9)} {said()} {rng.randrange(1900, 2100)}", model)[1] for _ in range(200)]
     assert sum(map(bool, plain)) <= 10
+
+
+def test_a_thin_kind_takes_the_pooled_threshold():
+    rng = np.random.default_rng(3)
+    x = np.column_stack([np.repeat([0, 2], [900, 24]), rng.normal(size=924)]).astype(float)
+    y = (x[:, 1] > 0).astype(float)
+    model = pii_boost.BoostedTrees(x, y, np.arange(924) % 3 == 0)
+    assert np.isfinite(model.cutoffs[[0, 2]]).all() and np.isinf(model.cutoffs[[1, 3]]).all()
