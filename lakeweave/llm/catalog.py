@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("decontaminate", "token_counts", "topk", "links", "mixing", "quality", "pii_boost", "near_dups", "line_dedup", "suffix_dedup")
+MODULES = ("decontaminate", "token_counts", "topk", "links", "mixing", "quality", "pii_boost", "near_dups", "line_dedup", "suffix_dedup", "filter_audit", "merkle", "bpe")
 
 
 def load() -> tuple[dict, dict]:
