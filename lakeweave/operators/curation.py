@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lakeweave.session import checkpoint_root
+from lakeweave.operators.simjoin import similar_groups
 from lakeweave.sources.tables import VersionedTable
 
 # ---------------------------------------------------------------- N1 ---------
@@ -28,95 +28,16 @@ def shingle_hashes(w: Column, n: int = 5) -> Column:
     return F.array_distinct(F.transform(grams, lambda g: F.xxhash64(g)))
 
 
-def minhash_signatures(df: DataFrame, id_col: str, hashes: Column, num_perm: int, seed: int = 7) -> DataFrame:
-    """MinHash signatures ``(id, sig)``: for each of ``num_perm`` seeded hash
-    functions, the minimum over a document's shingle hashes.
-
-    Shingle hashes are exploded and reduced by one grouped aggregate of
-    ``num_perm`` ``min(xxhash64(h, seed_i))`` columns: plain expressions, so
-    the whole step runs in generated code and combines map-side.
-    """
-    ex = df.select(F.col(id_col).alias("id"), F.explode(hashes).alias("h"))
-    mins = [F.min(F.xxhash64(F.col("h"), F.lit(seed + i))).alias(f"m{i}") for i in range(num_perm)]
-    return ex.groupBy("id").agg(*mins).select("id", F.array(*[F.col(f"m{i}") for i in range(num_perm)]).alias("sig"))
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """Connected components of an edge list ``(src, dst)``; returns ``(node,
-    component)`` with the least node id as the label.
-
-    Each round takes the least label among a node's neighbours, then follows
-    labels to the labels of those nodes (pointer jumping), so the number of
-    rounds grows with the logarithm of a path's length. It ends when no label
-    changes. Lineage is cut with ``checkpoint()`` every round."""
-    spark = edges.sparkSession
-    checkpoint_root(spark)
-    und = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    und = und.where(F.col("src") != F.col("dst")).distinct().checkpoint()
-    labels = und.groupBy(F.col("src").alias("node")).agg(F.least(F.first("src"), F.min("dst")).alias("label")).checkpoint()
-    while True:
-        # a node, and the node its label names, learn the least label around it
-        near = und.join(labels.withColumnRenamed("node", "src"), "src").groupBy(F.col("dst").alias("node")).agg(F.min("label").alias("m"))
-        low = labels.join(near, "node").select("node", "label", F.least("label", "m").alias("m"))
-        hooked = (low.select("node", "m").unionByName(low.select(F.col("label").alias("node"), "m"))
-                  .groupBy("node").agg(F.min("m").alias("label")))
-        hooked = labels.select("node").join(hooked, "node")
-        to = hooked.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        new = hooked.join(to, "label").select("node", F.least("label", "next").alias("label")).checkpoint()
-        changed = new.alias("n").join(labels.alias("o"), "node").where(F.col("n.label") != F.col("o.label")).limit(1)
-        labels = new
-        if not changed.collect():
-            return labels.select("node", F.col("label").alias("component"))
-
-
-def near_dups(df: DataFrame, id_col: str, text_col: str, bands: int = 16, rows: int = 6,
-              ngram: int = 5, threshold: float = 0.8) -> DataFrame:
-    """MinHash-LSH near-duplicate groups over whole texts.
-
-    Signature of ``bands * rows`` minhashes (96 by default: with the id that
-    keeps the signature aggregate within whole-stage codegen's default field
-    limit of 100); each band hashes to a bucket.
-    Documents sharing a bucket are linked to the bucket's least id (a star,
-    never all pairs); those that turn out unlike it are linked again by the
-    buckets of two bands. Linked documents form components. Returns
-    ``(id, component, is_duplicate)`` for documents in a group of two or
-    more; the component's least id is the one kept. A bucket holding a third
-    of all documents is aggregated map-side; its member/least-id join is a
-    skewed join that AQE splits.
-    """
-    w = df.select(F.col(id_col), words(F.col(text_col)).alias("_w"))
-    checkpoint_root(df.sparkSession)
-    # Signatures feed the band buckets and both sides of the verification:
-    # computed once, written to the checkpoint folder (lineage cut).
-    sig = minhash_signatures(w, id_col, shingle_hashes(F.col("_w"), ngram), bands * rows).checkpoint()
-    band_rows = sig.select("id", F.posexplode(F.transform(
-        F.sequence(F.lit(0), F.lit(bands - 1)),
-        lambda b: F.xxhash64(F.slice(F.col("sig"), b * rows + 1, rows)))).alias("band", "bucket"))
-    # Verify each link: share of equal signature positions >= threshold.
-    k = bands * rows
-    s1 = sig.select(F.col("id").alias("src"), F.col("sig").alias("s1"))
-    s2 = sig.select(F.col("id").alias("dst"), F.col("sig").alias("s2"))
-    agree = F.size(F.filter(F.arrays_zip(F.col("s1").alias("a"), F.col("s2").alias("b")),
-                            lambda x: x["a"] == x["b"])) / F.lit(float(k))
-
-    def star(members: DataFrame) -> DataFrame:
-        heads = members.groupBy("bucket").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n"))
-        cand = (members.join(heads.where(F.col("n") > 1), "bucket").where(F.col("id") != F.col("head"))
-                .select(F.col("id").alias("src"), F.col("head").alias("dst")).distinct())
-        return cand.join(s1, "src").join(s2, "dst").select("src", "dst", (agree >= F.lit(threshold)).alias("ok")).checkpoint()
-
-    first = star(band_rows.select(F.xxhash64("band", "bucket").alias("bucket"), "id"))
-    # Where a bucket's least id is not like a member, other members may be:
-    # these documents are linked again by the buckets of each two bands, which
-    # documents below the threshold rarely share.
-    again = first.where(~F.col("ok"))
-    again = again.select(F.col("src").alias("id")).unionByName(again.select(F.col("dst").alias("id"))).distinct()
-    per = band_rows.join(again, "id").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("band", "bucket"))).alias("b"))
-    two = F.flatten(F.transform(F.col("b"), lambda x: F.transform(F.filter(F.col("b"), lambda y: y["band"] > x["band"]), lambda y: F.xxhash64(x, y))))
-    second = star(per.select("id", F.explode(two).alias("bucket")))
-    comp = components(first.unionByName(second).where("ok").select("src", "dst"))
-    return comp.select(F.col("node").alias(id_col), "component",
-                       (F.col("node") != F.col("component")).alias("is_duplicate"))
+def near_dups(df: DataFrame, id_col: str, text_col: str, ngram: int = 5, percent: int = 80) -> DataFrame:
+    """Groups of documents whose sets of word ``ngram``-grams have a Jaccard
+    similarity of ``percent`` per cent or more, by an exact prefix-filter join
+    over whole texts (see ``simjoin``). Returns ``(id, component,
+    is_duplicate)`` for documents in a group of two or more; the component's
+    least id is the one kept. Texts without words are like nothing."""
+    w = df.select(F.col(id_col).alias("id"), words(F.col(text_col)).alias("_w"))
+    items = F.when(F.size("_w") > 0, shingle_hashes(F.col("_w"), ngram))
+    groups = similar_groups(w.select("id", items.alias("items")), percent)
+    return groups.select(F.col("id").alias(id_col), "component", (F.col("id") != F.col("component")).alias("is_duplicate"))
 
 
 def exact_dups(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -44,12 +44,51 @@ def new_keys(df: DataFrame, col: str, known: Sequence[str]) -> DataFrame:
             .withColumn("pii_suspect", F.col("key").rlike(PII_KEY_PATTERN)))
 
 
+def _nesting(v: Column) -> Column:
+    """How deep a variant's objects and arrays are nested (0: a scalar)."""
+    marks = F.regexp_replace(F.regexp_replace(F.schema_of_variant(v), "`[^`]*`", ""), "[^<>]", "")
+    empty = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(a, c):
+        now = a["now"] + F.when(c == "<", 1).when(c == ">", -1).otherwise(0)
+        return F.struct(now.alias("now"), F.greatest(a["most"], now).alias("most"))
+    return F.aggregate(F.split(marks, ""), empty, step, lambda a: a["most"])
+
+
+def key_paths(df: DataFrame, col: str) -> DataFrame:
+    """Q3: one row ``path`` per scalar (or empty object or array) of each row's
+    JSON: ``usage.input``, ``tools[].name``; keys other than letters, digits,
+    ``_`` and ``-`` are quoted. One pass finds how deep the JSON goes, another
+    opens that many levels of it as variants, each scalar once. JSON that
+    variants refuse (repeated keys) gives its top-level keys; NULL and
+    malformed texts have none."""
+    rows = df.select(F.try_parse_json(F.col(col)).alias("value"), F.col(col).alias("raw"))
+    depth = rows.agg(F.max(_nesting(F.col("value")))).first()[0] or 0
+    flat = rows.select("value", F.explode_outer(F.when(F.col("value").isNull(), F.json_object_keys("raw"))).alias("path"))
+    tvf = df.sparkSession.tvf
+    for _ in range(depth):
+        each = flat.select(F.col("value").alias("parent"), "path").lateralJoin(tvf.variant_explode_outer(F.col("parent").outer()))
+        key = F.when(F.col("key").rlike("^[A-Za-z0-9_-]+$"), F.col("key")).otherwise(F.concat(F.lit("'"), F.col("key"), F.lit("'")))
+        # no position: a scalar, an empty object or array, or no variant at all
+        path = (F.when(F.col("pos").isNull(), F.col("path")).when(F.col("key").isNull(), F.concat(F.coalesce("path", F.lit("")), F.lit("[]")))
+                .otherwise(F.concat_ws(".", "path", key)))
+        flat = each.select("value", path.alias("path"))
+    return flat.where(F.col("path").isNotNull()).select("path")
+
+
+def new_paths(df: DataFrame, col: str, known: Sequence[str]) -> DataFrame:
+    """Q3: paths of JSON scalars at any depth that are not in ``known``, with
+    how many there are; a path with a key that looks personal is a suspect."""
+    return (key_paths(df, col).groupBy("path").agg(F.count(F.lit(1)).alias("n_values"))
+            .where(~F.col("path").isin(*known)).withColumn("pii_suspect", F.col("path").rlike(PII_KEY_PATTERN)))
+
+
 def gated_landing(df: DataFrame, col: str, known: Sequence[str], table, held) -> bool:
-    """Q3: land a load, unless its JSON holds a new key that looks personal:
-    then the whole load goes to ``held`` with the reason and ``table`` gets
-    nothing. Returns whether it landed."""
-    suspects = [r["key"] for r in new_keys(df, col, known).where("pii_suspect").select("key").limit(20).collect()]
-    to, rows = (table, df) if not suspects else (held, df.withColumn("reason", F.lit("new keys: " + ", ".join(sorted(suspects)))))
+    """Q3: land a load, unless its JSON holds a new key, at any depth, that looks
+    personal: then the whole load goes to ``held`` with the reason and ``table``
+    gets nothing. Returns whether it landed."""
+    suspects = [r["path"] for r in new_paths(df, col, known).where("pii_suspect").select("path").orderBy("path").limit(20).collect()]
+    to, rows = (table, df) if not suspects else (held, df.withColumn("reason", F.lit("new keys: " + ", ".join(suspects))))
     to.append(rows) if to.exists() else to.overwrite(rows)
     return not suspects
 

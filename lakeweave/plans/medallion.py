@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from lakeweave.functions import sketches
 from lakeweave.functions.payload import PAYLOAD_SCHEMA, parse_payload, reject_reason
 from lakeweave.functions.pricing import cost_usd
 from lakeweave.operators.dedup import first_per_key
@@ -87,6 +88,32 @@ def daily_metrics(silver: DataFrame, exact: bool = True) -> DataFrame:
              "total_prompt_tokens", "total_completion_tokens", "error_rate"))
 
 
+def hourly_latencies(silver: DataFrame) -> DataFrame:
+    """A latency sketch for each date, hour and model."""
+    return silver.groupBy("date", F.hour("ts").alias("hour"), "model").agg(sketches.sketch("latency_ms").alias("latencies"))
+
+
+def daily_latencies(hourly: DataFrame) -> DataFrame:
+    """The sketches of the hours merged to days, and their quantiles. No
+    hour's rows are read again."""
+    day = hourly.groupBy("date", "model").agg(sketches.merged("latencies").alias("latencies"))
+    day = day.select("date", "model", "latencies", F.kll_sketch_get_n_bigint("latencies").alias("calls"), sketches.grid(F.col("latencies")).alias("_g"))
+    return day.select("date", "model", "calls", "latencies",
+                      *(sketches.quantile(F.col("_g"), F.col("calls"), q).alias(f"{p}_latency_ms") for p, q in (("p50", 0.5), ("p95", 0.95))))
+
+
+def rank_errors(silver: DataFrame, daily: DataFrame) -> DataFrame:
+    """How far the daily quantiles are, in rank, from the exact ones: 0 if
+    the quantile lies between the shares of calls below it and up to it."""
+    est = daily.select(F.col("date").alias("d"), F.col("model").alias("m"), F.col("p50_latency_ms").alias("p50"), F.col("p95_latency_ms").alias("p95"))
+    rows = silver.where(F.col("latency_ms").isNotNull()).join(est, (F.col("date") == F.col("d")) & (F.col("model") == F.col("m")))
+    share = lambda test: F.avg(F.when(test, 1.0).otherwise(0.0))
+    per = rows.groupBy("date", "model").agg(F.count(F.lit(1)).alias("calls"), *(share(F.col("latency_ms") < F.col(p)).alias(f"{p}_below") for p in ("p50", "p95")),
+                                            *(share(F.col("latency_ms") <= F.col(p)).alias(f"{p}_upto") for p in ("p50", "p95")))
+    off = lambda p, q: F.greatest(F.col(f"{p}_below") - q, q - F.col(f"{p}_upto"), F.lit(0.0)).alias(f"{p}_error")
+    return per.select("date", "model", "calls", off("p50", F.lit(0.5)), off("p95", F.lit(0.95)))
+
+
 GOLD_COLUMNS = ["date", "model", "p50_latency_ms", "p95_latency_ms", "total_prompt_tokens",
                 "total_completion_tokens", "error_rate", "cost_usd"]
 

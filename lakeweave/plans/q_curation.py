@@ -16,10 +16,18 @@ _TAGS_SQL = f"list_sort(list_filter([{_LICENSE_CASE}], lambda x: x IS NOT NULL))
 _ALLOWED_SQL = "[" + ", ".join(f"'{a}'" for a in C.PERMISSIVE) + "]"
 
 
-@register("curation_near_dups")
+@register("curation_near_dups", r"""WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(lower(regexp_replace(text, '[^\p{L}\p{N} \t\n\x0B\f\r]', ' ', 'g')), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w
+  FROM documents WHERE doc_id IS NOT NULL),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+e AS (SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+r(doc_id, reach) AS (SELECT a, b FROM e UNION SELECT e.a, r.reach FROM r JOIN e ON e.b = r.doc_id)
+SELECT doc_id, least(doc_id, min(reach)) AS component, doc_id > min(reach) AS is_duplicate FROM r GROUP BY doc_id""")
 def q_near_dups(spark, sf):
-    """MinHash-LSH near-duplicate groups (iterative components: no SQL oracle;
-    checked against brute force on a small fixture in the tests)."""
+    """Groups of documents by exact Jaccard similarity of word 5-grams."""
     return C.near_dups(table(spark, sf, "documents"), "doc_id", "text")
 
 

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lakeweave.functions import sketches
 from lakeweave.functions.pricing import DEFAULT_PRICES, price_table
 from lakeweave.plans import medallion as M
 from lakeweave.plans.catalog import register, table
+from lakeweave.session import shared_dir
 from lakeweave.sources.bronze import bronze_from_events
+from lakeweave.sources.tables import VersionedTable
 
 
 def _bronze(spark, sf):
@@ -170,6 +173,18 @@ def q_gold_approx(spark, sf):
     return M.build_gold(M.build_silver(_bronze(spark, sf)), price_table(spark), exact=False)
 
 
+@register("gold_sketch_quantiles", f"""WITH {SQL_BRONZE.strip()}
+SELECT date, model, count(latency_ms) AS calls, true AS p50_in_bound, true AS p95_in_bound FROM silver GROUP BY date, model""")
+def q_gold_sketches(spark, sf):
+    """Hourly latency sketches, kept as a table and merged to days; their
+    quantiles are within the sketch's rank error of the exact ones."""
+    silver = M.build_silver(_bronze(spark, sf))
+    hours = VersionedTable(spark, shared_dir(spark, "latency_hours"))
+    hours.overwrite(M.hourly_latencies(silver))
+    bad = M.rank_errors(silver, M.daily_latencies(hours.read()))
+    return bad.select("date", "model", "calls", *((F.col(f"{p}_error") <= sketches.RANK_ERROR).alias(f"{p}_in_bound") for p in ("p50", "p95")))
+
+
 @register("request_cost", f"""WITH {SQL_BRONZE.strip()},
 {_prices_sql(DEFAULT_PRICES)}
 SELECT s.request_id, s.date, s.model, s.prompt_tokens, s.completion_tokens,

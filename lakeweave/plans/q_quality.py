@@ -151,3 +151,40 @@ def q_gated_landing(spark, sf):
     Q.gated_landing(risky, "raw_json", KNOWN_PAYLOAD_KEYS + GATE_HARMLESS, land, held)
     return (land.read().select("request_id", "ts", F.lit("landed").alias("state"), F.lit(None).cast("string").alias("reason"))
             .unionByName(held.read().select("request_id", "ts", F.lit("held").alias("state"), "reason")))
+
+
+def _nested_load(spark, sf):
+    """A load whose usage object and tool list grew: one payload per event."""
+    ev = table(spark, sf, "events")
+    usage = F.struct(F.col("user_id").alias("input"), F.when(F.col("event_type") == "purchase", F.lit("a@b.example")).alias("email"))
+    tools = F.array(*(F.struct(kind.alias("kind"), F.lit(phone).cast("int").alias("home phone")) for kind, phone in ((F.col("event_type"), None), (F.lit("t"), 1))))
+    return ev.select(F.concat(F.lit("req-"), F.col("event_id").cast("string")).alias("request_id"), "ts",
+                     F.to_json(F.struct(F.lit("m").alias("model"), usage.alias("usage"), tools.alias("tools"))).alias("raw_json"))
+
+
+KNOWN_PATHS = ["model", "usage.input", "usage.output", "latency_ms", "status"]
+
+
+@register("quality_new_paths", f"""WITH {SQL_BRONZE.strip()},
+paths AS (SELECT replace(replace(t.fullkey, '$.', ''), '$', '') AS path FROM bronze, json_tree(raw_json) AS t
+          WHERE raw_json IS NOT NULL AND json_valid(raw_json) AND t.type NOT IN ('OBJECT', 'ARRAY')
+          UNION ALL SELECT unnest(['model', 'usage.input', 'tools[].kind', 'tools[].kind', 'tools[].''home phone''']) FROM events
+          UNION ALL SELECT 'usage.email' FROM events WHERE event_type = 'purchase')
+SELECT path, count(*) AS n_values, regexp_matches(path, '{Q.PII_KEY_PATTERN}') AS pii_suspect
+FROM paths WHERE path NOT IN ({", ".join(f"'{k}'" for k in KNOWN_PATHS)}) GROUP BY path""")
+def q_new_paths(spark, sf):
+    """Q3: undeclared key paths of any depth, in Bronze and a load that drifted."""
+    load = _bronze(spark, sf).select("raw_json").unionByName(_nested_load(spark, sf).select("raw_json"))
+    return Q.new_paths(load, "raw_json", KNOWN_PATHS)
+
+
+@register("quality_gated_nested", f"""WITH {SQL_BRONZE.strip()}
+SELECT request_id, ts, 'landed' AS state, NULL AS reason FROM bronze
+UNION ALL SELECT 'req-' || CAST(event_id AS VARCHAR), ts, 'held', 'new keys: tools[].''home phone'', usage.email' FROM events""")
+def q_gated_nested(spark, sf):
+    """Q3: a load with personal keys below the top level is held whole; Bronze lands."""
+    land, held = (VersionedTable(spark, shared_dir(spark, n)) for n in ("nested_land", "nested_held"))
+    for load in (_bronze(spark, sf), _nested_load(spark, sf)):
+        Q.gated_landing(load, "raw_json", KNOWN_PATHS + GATE_HARMLESS, land, held)
+    return (land.read().select("request_id", "ts", F.lit("landed").alias("state"), F.lit(None).cast("string").alias("reason"))
+            .unionByName(held.read().select("request_id", "ts", F.lit("held").alias("state"), "reason")))

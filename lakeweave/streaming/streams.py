@@ -16,10 +16,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from lakeweave.functions import sketches
 from lakeweave.functions.pricing import cost_usd, price_maps
 from lakeweave.operators.layout import compact
 from lakeweave.plans.medallion import SILVER_ORDER, build_silver, quarantine as build_quarantine
+from lakeweave.session import checkpoint_root
 from lakeweave.sources.tables import VersionedTable
+from lakeweave.streaming import key_filters
 
 BRONZE_SCHEMA = T.StructType([
     T.StructField("request_id", T.StringType()),
@@ -34,7 +37,6 @@ def write_time_ordered_files(df: DataFrame, path: str, n_chunks: int, ts: str =
     oldest first (the file source orders files by modification time), like a
     landing zone filled over time. Chunk bounds come from ``approxQuantile``;
     read it back with ``maxFilesPerTrigger = files_per_chunk``."""
-    from lakeweave.session import checkpoint_root
     checkpoint_root(df.sparkSession)
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
     # Computed once and cut from its lineage (reliable checkpoint in the
@@ -124,20 +126,33 @@ def idempotent(table: VersionedTable, write: Callable[[DataFrame, dict], None]):
     return run
 
 
-def silver_sink(silver: VersionedTable, late_days: int | None = None):
+def silver_sink(silver: VersionedTable, late_days: int | None = None, filters: bool = True):
     """ST1 sink: each micro-batch is parsed, validated and deduplicated, then
     merged into Silver keeping per request_id the row that the batch build
     would keep (earliest ``ts``, ties by the other columns). A repeat may come
-    at any distance, so all of Silver is searched (its request_id column).
-    Where the source bounds how far apart repeats are, ``late_days`` limits
-    the search to the dates around the batch's."""
+    at any distance. With ``filters``, each write leaves Bloom filters of its
+    request_ids by date, and only dates that may hold one of the batch's are
+    searched; without, or where an older write left none, all of Silver is (its
+    request_id column). Where the source bounds how far apart repeats are,
+    ``late_days`` limits the search to the dates around the batch's."""
     def write(batch: DataFrame, params: dict) -> None:
         s = build_silver(batch)
+        if filters:
+            # read for the filters, the dates and the merge
+            checkpoint_root(s.sparkSession)
+            s = s.checkpoint()
+        dates = key_filters.may_hold(silver, s, "request_id") if filters and silver.exists() else None
+        if filters:
+            params = {**params, "keyFilter": key_filters.write(silver, s, "date", "request_id")}
         if not silver.exists():
             silver.overwrite(s, partition_by=["date"], params=params)
             return
         scope = None
-        if late_days is not None:
+        if dates is not None:
+            params["datesSearched"] = len(dates)
+            # rows without a date are in no filter
+            scope = F.col("date").isin([F.lit(d) for d in dates]) | F.col("date").isNull() if dates else F.col("date").isNull()
+        elif late_days is not None:
             lo, hi = s.agg(F.min("date"), F.max("date")).collect()[0]
             if lo is not None:
                 scope = f"date BETWEEN date_sub(DATE'{lo}', {late_days}) AND date_add(DATE'{hi}', {late_days})"
@@ -164,11 +179,13 @@ def stream_silver(bronze: DataFrame, silver: VersionedTable, checkpoint: str, tr
 
 
 def window_metrics(stream: DataFrame, duration: str = "5 minutes", delay: str = "10 minutes",
-                   prices: dict | None = None, digits: int = 6) -> DataFrame:
+                   prices: dict | None = None, digits: int = 6, exact: bool = False) -> DataFrame:
     """ST2: tumbling-window metrics per model (calls, errors, tokens, p50/p95
     latency, cost) over a Silver-shaped stream, with a watermark. Run it in
     update mode into :func:`upsert_sink`: every trigger emits the windows it
-    changed, the sink keeps the latest value per window."""
+    changed, the sink keeps the latest value per window. The state of a window
+    holds a sketch of its latencies, of bounded size and exact for short windows
+    (see ``sketches``); ``exact`` keeps a count of every latency instead."""
     c_in, c_out = price_maps(prices)
     s = _event_time(stream).withWatermark("_et", delay)
     agg = s.groupBy(F.window("_et", duration).alias("w"), "model").agg(
@@ -176,12 +193,16 @@ def window_metrics(stream: DataFrame, duration: str = "5 minutes", delay: str =
         F.sum(F.when(F.col("status") != "ok", 1).otherwise(0)).cast("long").alias("errors"),
         F.sum("prompt_tokens").alias("prompt_tokens"),
         F.sum("completion_tokens").alias("completion_tokens"),
-        F.percentile("latency_ms", F.array(F.lit(0.5), F.lit(0.95))).alias("_q"))
+        (F.percentile("latency_ms", F.array(F.lit(0.5), F.lit(0.95))) if exact else sketches.sketch("latency_ms")).alias("_q"))
+    p50, p95 = F.col("_q")[0], F.col("_q")[1]
+    if not exact:
+        agg = agg.withColumn("_n", F.kll_sketch_get_n_bigint("_q")).withColumn("_q", sketches.grid(F.col("_q")))
+        p50, p95 = (sketches.quantile(F.col("_q"), F.col("_n"), q) for q in (0.5, 0.95))
     return agg.select(
         instant_to_ntz(F.col("w.start")).alias("window_start"), "model", "calls", "errors",
         "prompt_tokens", "completion_tokens",
-        F.round(F.col("_q")[0], digits).alias("p50_latency_ms"),
-        F.round(F.col("_q")[1], digits).alias("p95_latency_ms"),
+        F.round(p50, digits).alias("p50_latency_ms"),
+        F.round(p95, digits).alias("p95_latency_ms"),
         F.round(cost_usd(F.col("prompt_tokens"), F.col("completion_tokens"),
                          c_in[F.col("model")], c_out[F.col("model")]), digits).alias("cost_usd"))
 
