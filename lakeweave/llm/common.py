@@ -62,6 +62,13 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def free(name: str, taken: set[str]) -> str:
+    """``name``, with underscores before it until none of ``taken`` (lower-case) is like it."""
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def as_text(column) -> pa.Array:
     """An Arrow text column with nulls as empty texts, in one chunk."""
     if isinstance(column, pa.ChunkedArray):
