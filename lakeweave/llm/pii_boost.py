@@ -3,12 +3,15 @@
 Base spans follow fixed patterns with checks (octets, Luhn, digit counts) and
 always stay. High-recall generators propose further, overlapping candidates:
 bracketed or spaced addresses, loose number groups, numbers without a prefix.
-Gradient-boosted trees score each candidate by format and context features
-(lengths, groups, separators, the characters around it). They are trained here
-on a bounded draw of the documents that hold candidates. Positives are base
-spans rewritten in place into loose forms (``loosened``) that no base pattern
-matches; negatives are candidates clear of base spans, and those that miss the
-ends of a rewritten one. An isotonic fit on held-out documents turns scores
+Gradient-boosted trees score each candidate by format, check and context
+features (lengths, groups, separators, Luhn and octet results, the characters
+around it). They are trained here on a bounded draw of the documents that hold
+candidates. Positives are base spans rewritten in place into loose forms
+(``loosened``) that no base pattern matches and that keep a mark of their kind;
+negatives are candidates clear of base spans, those that miss the ends of a
+rewritten one, and those in ordinary numbers (dates, prices, ranges, article
+numbers, ids: ``ordinary``) put in the place of a base span, so that the same
+contexts speak for both. An isotonic fit on held-out documents turns scores
 into probabilities, and each kind's threshold is the least probability at which
 its held-out candidates reach the wanted precision, or those of all kinds where
 a kind has few of them. A kind without any base span adds nothing.
@@ -22,7 +25,9 @@ columns are ignored by the report and kept by ``spans``.
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import zlib
 from collections.abc import Iterator
 from functools import reduce
 
@@ -41,6 +46,8 @@ PRECISION = 0.95
 ENOUGH = 20
 #: Characters of context on either side.
 AROUND = 24
+#: Ordinary numbers put in the place of each base span, as negatives.
+ORDINARY = 6
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -49,6 +56,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
+#: The generators.
 _LOOSE = (
     ("email", re.compile(r"[A-Za-z0-9_%+-]{1,64}(?:\.[A-Za-z0-9_%+-]{1,64}){0,4} ?(?:@|\(at\)|\[at\]|\(@\)|\[@\]) ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]{1,63}){1,4}", re.I)),
     ("ip", re.compile(r"(?<![0-9])[0-9]{1,3}(?: ?(?:\.|\[\.\]|\(\.\)) ?[0-9]{1,3}){3}(?![0-9])")),
@@ -116,7 +124,57 @@ def loosened(text: str, span: Span) -> list[str]:
         d = _digits(s)
         return [".".join(d[i:i + 4] for i in range(0, len(d), 4)), ".".join((d[:4], d[4:10], d[10:]))]
     d = re.sub(r"[ ().-]+", " ", s[1:]).strip()
-    return [s[1:], "00" + s[1:], d.replace(" ", "/"), "00 " + d, d.replace(" ", "")]
+    # a number without any mark of a phone number is no example of one
+    return ["00" + s[1:], "00 " + d, *([s[1:]] if "(" in s else []), *([d.replace(" ", "/")] if " " in d else [])]
+
+
+def _check13(digits: str) -> str:
+    """The check digit of a 13-digit article or book number."""
+    return str(-sum(int(c) * (1 + 2 * (i % 2)) for i, c in enumerate(digits)) % 10)
+
+
+def ordinary(rng: random.Random) -> str:
+    """A number, date or price as texts hold them, which is nobody's data."""
+    n = lambda a, b=None: str(rng.randrange(10 ** (a - 1), 10 ** (b or a)))
+    y, m, d = rng.randrange(1900, 2100), rng.randrange(1, 13), rng.randrange(1, 29)
+    hms = f"{rng.randrange(24):02}{rng.randrange(60):02}{rng.randrange(60):02}"
+    book = f"97{rng.choice('89')}{rng.randrange(10)}{n(8)}"
+    book += _check13(book)
+    page = rng.randrange(1, 900)
+    kind = rng.randrange(16)
+    if kind == 0:
+        return f"{y}-{m:02}-{d:02}"
+    if kind == 1:
+        return f"{d:02}{rng.choice('./-')}{m:02}{rng.choice('./-')}{y}"
+    if kind == 2:
+        return f"{y}-{m:02}-{d:02}{rng.choice(' T')}{hms[:2]}:{hms[2:4]}:{hms[4:]}"
+    if kind == 3:
+        return f"{y}{m:02}{d:02}" + rng.choice(("", hms, hms + n(3)))
+    if kind == 4:
+        return rng.choice((f"{book[:3]}-{book[3]}-{book[4:6]}-{book[6:12]}-{book[12]}", book, f"{book[:3]} {book[3]} {book[4:8]} {book[8:12]} {book[12]}"))
+    if kind == 5:
+        return n(1, 3) + "." + n(3, 15)
+    if kind == 6:
+        return rng.choice(" .").join([n(1, 3), *(f"{rng.randrange(1000):03}" for _ in range(rng.randrange(1, 5)))])
+    if kind == 7:
+        return " ".join(f"{page + 20 * i}-{page + 20 * i + rng.randrange(1, 15)}" for i in range(rng.randrange(1, 4)))
+    if kind == 8:
+        return " ".join(n(4) for _ in range(rng.randrange(2, 5)))
+    if kind == 9:
+        return " ".join(n(1, 4) for _ in range(rng.randrange(2, 7)))
+    if kind == 10:
+        return f"{y}-{y + rng.randrange(1, 30)}"
+    if kind == 11:
+        return f"{rng.choice(('apples', 'seats', 'room'))} @ {n(1, 2)}.{n(2)}"
+    if kind == 12:  # a card's form, but not its check digit
+        c = n(15)
+        c += next(x for x in "0123456789" if not luhn(c + x))
+        return ".".join(c[i:i + 4] for i in range(0, 16, 4))
+    if kind == 13:
+        return ".".join(n(1, 2) for _ in range(rng.choice((3, 5)))) + rng.choice(("", "-" + n(3, 5)))
+    if kind == 14:
+        return "-".join((n(3, 4), n(3, 5), n(2, 5)))
+    return n(8, 16)
 
 
 def examples(text: str) -> Iterator[tuple[Span, bool, list[float]]]:
@@ -137,6 +195,14 @@ def examples(text: str) -> Iterator[tuple[Span, bool, list[float]]]:
             for c in candidates(near):
                 if overlaps(c, [span]) and not overlaps(c, others):
                     yield (c[0], c[1] + lo, c[2] + lo), c == span, described(near, c)
+        rng = random.Random(zlib.crc32(text[lo:hi].encode("utf-8", "replace")) + a)
+        for _ in range(ORDINARY):
+            form = ordinary(rng)
+            near = text[lo:a] + form + text[b:hi]
+            span, others = (kind, a - lo, a - lo + len(form)), base_spans(near)
+            for c in candidates(near):
+                if overlaps(c, [span]) and not overlaps(c, others):
+                    yield (c[0], c[1] + lo, c[2] + lo), False, described(near, c)
 
 
 def _side(c: str) -> int:
@@ -144,16 +210,22 @@ def _side(c: str) -> int:
 
 
 def described(text: str, span: Span) -> list[float]:
-    """Format and context features; no check of a base pattern is among them."""
+    """Format, check and context features."""
     kind, a, b = span
     s = text[a:b]
     groups = [len(g) for g in re.findall(r"[0-9]+", s)] or [0]
     marks = re.sub(r"[A-Za-z0-9]", "", s)
     left, right = text[max(0, a - AROUND):a], text[b:b + AROUND]
     near = left + right
+    d = _digits(s)
+    parts = re.findall(r"[0-9]+", s)
+    year = next((float(1900 <= int(g) < 2100) for g in (parts[:1] + parts[-1:] + [d[:4]]) if len(g) == 4 and 1900 <= int(g) < 2100), 0.0)
+    checks = [float(13 <= len(d) <= 19 and luhn(d)), float(len(parts) == 4 and all(int(g) <= 255 for g in parts)), float(9 <= len(d) <= 15),
+              float(len(d) == 13 and d[:2] == "97" and _check13(d[:12]) == d[12]), year, float(len(parts) > 1 and all(len(g) == 3 for g in parts[1:])),
+              float(s[:2] == "00"), float(len(set(map(len, parts))) == 1), float(sum(c in "([" for c in s)), float(re.split(r"[^A-Za-z0-9]+", s)[-1].isalpha())]
     return [kind, len(s), sum(groups), len(groups), max(groups), min(groups), groups[-1], len(marks), len(set(marks)), marks.count(" "), marks.count("."),
             marks.count("-"), marks.count("("), marks.count("@"), float(s[0] == "+"), sum(c.isalpha() for c in s), _side(left[-1:]), _side(right[:1]),
-            sum(c.isdigit() for c in near), sum(c.isupper() for c in near), sum(not c.isalnum() and not c.isspace() for c in near), float("=" in left[-4:])]
+            sum(c.isdigit() for c in near), sum(c.isupper() for c in near), sum(not c.isalnum() and not c.isspace() for c in near), float("=" in left[-4:]), *checks]
 
 
 class BoostedTrees:

@@ -36,3 +36,20 @@ def test_a_thin_kind_takes_the_pooled_threshold():
     y = (x[:, 1] > 0).astype(float)
     model = pii_boost.BoostedTrees(x, y, np.arange(924) % 3 == 0)
     assert np.isfinite(model.cutoffs[[0, 2]]).all() and np.isinf(model.cutoffs[[1, 3]]).all()
+
+
+def test_ordinary_numbers_stay(spark):
+    """Numbers that are nobody's, in the contexts that personal data is in."""
+    rng = random.Random(41)
+    said = lambda: " ".join(words(rng, 5)).translate(str.maketrans("", "", "0123456789"))
+    rows = [(i, f"{said()} {personal(rng)[i % 4]} {said()}", "en", "s", 0) for i in range(600)]
+    model = pii_boost.train(docs(spark, rows))
+    assert np.isfinite(model.cutoffs).all()
+    plain = ["2024-01-15", "12.05.2023", "ISBN 978-3-16-148410-0", "order 20240115123456", "pages 120-125 130-140", "1234567890", "3.14159265358", "1 200 300 400",
+             "1000 2000 3000", "2024-01-15 10:30:00", "31/12/1999", "4006381333931", "1998-2003", "seats @ 12.50", "12 345 678", "v 1.20.300"]
+    marked = {form: sum(bool(pii_boost.all_spans(f"{said()} {form} {said()}", model)[1]) for _ in range(40)) for form in plain}
+    assert sum(marked.values()) <= 0.05 * 40 * len(plain), marked
+    loose = {"jane.roe (at) mail (dot) com": 0, "jane[at]mail[dot]com": 0, "10[.]20[.]30[.]40": 1, "4111.1111.1111.1111": 2, "0049 (301) 234-5678": 3}
+    for form, kind in loose.items():
+        got = [pii_boost.all_spans(f"{said()} {form} {said()}", model)[1] for _ in range(40)]
+        assert sum(len(g) == 1 and g[0][0] == kind for g in got) >= 36, form
