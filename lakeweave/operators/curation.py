@@ -19,13 +19,12 @@ def words(text: Column) -> Column:
 
 
 def shingle_hashes(w: Column, n: int = 5) -> Column:
-    """Distinct 64-bit hashes of the word ``n``-grams of a word array (texts
-    shorter than ``n`` words hash as one shingle). Pass a *column* of words,
-    not an expression: the lambda would re-evaluate it per n-gram."""
-    grams = F.when(F.size(w) < n, F.array(F.array_join(w, " "))).otherwise(
-        F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)),
-                    lambda i: F.array_join(F.slice(w, i, n), " ")))
-    return F.array_distinct(F.transform(grams, lambda g: F.xxhash64(g)))
+    """Distinct 64-bit hashes of the ``n``-grams of an array of word hashes
+    (texts shorter than ``n`` words hash as one shingle). Pass a *column*, not an
+    expression: the lambda would re-evaluate it per n-gram."""
+    grams = F.when(F.size(w) < n, F.array(F.xxhash64(w))).otherwise(
+        F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.xxhash64(F.slice(w, i, n))))
+    return F.array_distinct(grams)
 
 
 def near_dups(df: DataFrame, id_col: str, text_col: str, ngram: int = 5, percent: int = 80) -> DataFrame:
@@ -34,7 +33,7 @@ def near_dups(df: DataFrame, id_col: str, text_col: str, ngram: int = 5, percent
     over whole texts (see ``simjoin``). Returns ``(id, component,
     is_duplicate)`` for documents in a group of two or more; the component's
     least id is the one kept. Texts without words are like nothing."""
-    w = df.select(F.col(id_col).alias("id"), words(F.col(text_col)).alias("_w"))
+    w = df.select(F.col(id_col).alias("id"), F.transform(words(F.col(text_col)), lambda x: F.xxhash64(x)).alias("_w"))
     items = F.when(F.size("_w") > 0, shingle_hashes(F.col("_w"), ngram))
     groups = similar_groups(w.select("id", items.alias("items")), percent)
     return groups.select(F.col("id").alias(id_col), "component", (F.col("id") != F.col("component")).alias("is_duplicate"))
