@@ -2,19 +2,21 @@
 
 Only the first ``LENGTH`` bytes of suffixes matter, so suffixes are sorted by
 that prefix and equal prefixes are removed but for the first in the order of
-(doc_id, position). The steps are those of a difference-cover algorithm, with
+(doc_id, position). The steps follow a difference-cover algorithm, with
 a cover taken from the content (a string synchronising set) instead of fixed
 residues: of every window of ``LENGTH`` bytes, the position of its least
 ``GRAM``-gram, rightmost if several, is in the cover. Equal windows have that
 position in the same place, as fixed residues give for some shift, but there is
-one in about 40 positions instead of two in three.
+one in about 40 positions instead of two in three. Suffixes are not put in
+their lexical order and names are hashes, not ranks: as only prefixes of one
+length are compared, two levels of names and equality of bytes suffice.
 
 1. Sample: each cover position stands for the run of windows it is taken from,
    as a triple: the bytes before it, its gram, the bytes after it. The gram's
    hash is its first name, the hash of the whole triple its second.
 2. Sort the sampled triples by first name; where that is unique the windows are
    unique and drop out (most of the text).
-3. Recurse on names: equal second names are equal runs, of which all but the
+3. The second level of names: equal second names are equal runs, of which all but the
    first are removed whole, without looking at single windows.
 4. Merge the remaining suffixes: of first names that keep several second names,
    the first run of each is unrolled into its windows, these are sorted with
@@ -25,9 +27,9 @@ one in about 40 positions instead of two in three.
 Windows that repeat within one slice of a task are combined before the shuffle.
 
 Defined cases: NULL and empty texts, and texts shorter than ``LENGTH`` bytes,
-lose nothing; rows that share a doc_id are one document (equal windows in equal
-places of them are the same window); a NULL doc_id comes after all others; an
-empty table gives no rows; further columns are ignored.
+lose nothing; every row is a document: rows that share a doc_id follow each
+other in the order of their texts' digests, rows without one come after all others in that
+order; an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,6 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeweave.llm.common import U64, byte_view, cut, mix, ship, slices, table
+from lakeweave.llm.merkle import numbered
 
 LENGTH = 100
 GRAM = 20
@@ -248,15 +251,20 @@ def adjacent(key: np.ndarray, doc: np.ndarray, place: np.ndarray, content: list[
     window = lo[run] + shift
     offset = pos[run] - window
     name = mix(name ^ key[run].view(U64) ^ offset.astype(U64) * _K[5])
-    order = np.lexsort((window, doc[run], name))
-    n, d, w, at = name[order], doc[run][order], window[order], start[order]
-    same = np.concatenate(([False], n[1:] == n[:-1]))
     views = np.lib.stride_tricks.sliding_window_view(data, LENGTH)
-    twins = np.flatnonzero(same)
-    for i in range(0, len(twins), 1 << 16):
-        t = twins[i:i + (1 << 16)]
-        if not (views[at[t]] == views[at[t - 1]]).all():
-            raise RuntimeError("two windows share a 64-bit name")
+    while True:
+        order = np.lexsort((window, doc[run], name))
+        n, d, w, at = name[order], doc[run][order], window[order], start[order]
+        same = np.concatenate(([False], n[1:] == n[:-1]))
+        twins = np.flatnonzero(same)
+        unlike = [t[~(views[at[t]] == views[at[t - 1]]).all(axis=1)] for t in np.split(twins, range(1 << 16, len(twins), 1 << 16))]
+        shared = np.unique(n[np.concatenate(unlike)]) if unlike else n[:0]
+        if not len(shared):
+            break
+        for one in shared:  # unlike windows of one name: their bytes give them others
+            rows = np.flatnonzero(name == one)
+            _, which = np.unique(views[start[rows]], axis=0, return_inverse=True)
+            name[rows] = mix(one ^ mix(which.ravel().astype(U64) + U64(1)))
     lead = np.flatnonzero(~same)[np.cumsum(~same) - 1] if len(n) else at
     gone = (d != d[lead]) | (w != w[lead])
     return joined_spans(d[gone], w[gone], w[gone] + LENGTH)
@@ -301,11 +309,24 @@ def merged(windows: DataFrame) -> DataFrame:
             .select("key", "doc", "place", "content").mapInArrow(run, "doc bigint, a bigint, b bigint"))
 
 
+def keyed(docs: DataFrame, text_col: str) -> DataFrame:
+    """(doc, doc_id, text): a number of its own for each row, in the order of
+    doc_id. The doc_id serves where no two rows share one."""
+    texts = docs.select(F.coalesce("doc_id", F.lit(LAST)).cast("bigint").alias("doc"), "doc_id", F.col(text_col).alias("text"))
+    if not texts.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).collect():
+        return texts
+    # ids are shared: rows are numbered once and for all, in a written table
+    rows = cut(texts.withColumn("row", F.monotonically_increasing_id()), "numbered-texts")
+    order = rows.select(F.lit("").alias("all"), F.col("doc_id").isNull().alias("none"), "doc", F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"), "row")
+    place = cut(numbered(order, "all", ["none", "doc", "digest", "row"]).select("row", "pos"), "text-numbers")
+    return rows.join(place, "row").select(F.col("pos").alias("doc"), "doc_id", "text")
+
+
 def spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(doc, text, spans): each document with its repeated byte spans (a, b)."""
+    """(doc, doc_id, text, spans): each document with its repeated byte spans (a, b)."""
     ship(docs.sparkSession)
-    texts = docs.select(F.coalesce("doc_id", F.lit(LAST)).cast("bigint").alias("doc"), F.col(text_col).alias("text"))
-    rows = cut(repeated(samples(texts)), "repeated-names")
+    texts = keyed(docs, text_col)
+    rows = cut(repeated(samples(texts.select("doc", "text"))), "repeated-names")
     runs = rows.where("place >= 0")
     classes = cut(runs.groupBy("first", "second").agg(F.min(F.struct("doc", "place")).alias("f")).select("first", "second", "f.*"), "name-classes")
     crowd = classes.groupBy("first").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -318,12 +339,12 @@ def spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "doc", F.expr("shiftright(place, 16) - (shiftright(place, 8) & 255)").alias("a"), F.expr(f"shiftright(place, 16) - (place & 255) + {LENGTH}").alias("b"))
     near = rows.where("place < 0").select("doc", F.expr("-place - 1").alias("a"), F.col("second").alias("b"))
     # one shuffle of the texts serves both joins
-    windows = unrolled(texts.join(open_runs, "doc").select("doc", "text", "runs"))
+    windows = unrolled(texts.select("doc", "text").join(open_runs, "doc").select("doc", "text", "runs"))
     start = F.expr("shiftright(place, 16) - (place & 255)")
     windows = windows.select("*", F.octet_length("content").alias("content_size"), F.when(F.octet_length("content") == 8, F.col("content")).alias("content_name"), start.alias("start"))
     found = equal.unionByName(near).unionByName(merged(windows))
     per = found.groupBy("doc").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
-    return texts.join(per, "doc", "left").select("doc", "text", "spans")
+    return texts.join(per, "doc", "left").select("doc", "doc_id", "text", "spans")
 
 
 def report(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -352,7 +373,7 @@ def report(docs: DataFrame, text_col: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(offs)), pa.array(gone, pa.int64()), pa.array(many, pa.int64()), pa.array(digest, pa.string())],
                                              names=[x.split()[0] for x in schema.split(", ")])
 
-    rows = spans(docs, text_col).select(F.expr(f"nullif(doc, {LAST}L)").alias("doc_id"), "text", "spans")
+    rows = spans(docs, text_col).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "spans")
     return rows.mapInArrow(run, schema)
 
 

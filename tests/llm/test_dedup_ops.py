@@ -232,3 +232,27 @@ def test_repeated_bytes_edges(spark):
     assert got[1][0].n_removed == 0 and {r.n_removed for r in got[6]} == {got[6][0].n_bytes} and got[2][0].n_bytes == 0
     assert got[10][0].n_removed == 699 and got[10][0].n_spans == 1 and len(got[None]) == 1 and got[7][0].n_removed == 0
     assert suffix_dedup.report(docs(spark).limit(0)).collect() == []
+
+
+def test_rows_without_an_id_of_their_own_lose_only_what_repeats(spark):
+    rng = random.Random(8)
+    x, u1, u2 = ("".join(rng.choice("abcdefghij ") for _ in range(n)) for n in (300, 150, 150))
+    for again in (None, 2):
+        rows = [(1, x, "e", "s", 1), (again, x + u1, "e", "s", 1), (again, u2, "e", "s", 1), (again, None, "e", "s", 1)]
+        got = sorted((r.n_bytes, r.n_removed, r.n_spans) for r in suffix_dedup.report(docs(spark, rows).repartition(3)).collect() if r.doc_id == again)
+        assert got == [(0, 0, 0), (150, 0, 0), (450, 300, 1)]
+    # equal rows of one id: all but one lose their bytes
+    got = suffix_dedup.report(docs(spark, [(5, x, "e", "s", 1)] * 3 + [(None, x, "e", "s", 1)] * 2)).collect()
+    assert sorted(r.n_removed for r in got) == [0, 300, 300, 300, 300]
+
+
+def test_unlike_windows_of_one_name_are_told_apart(monkeypatch):
+    rng = random.Random(9)
+    runs = ["".join(rng.choice("ab") for _ in range(130)).encode() for _ in range(6)]
+    runs += [runs[0], runs[3][:110] + b"c" * 20]
+    key, doc = np.zeros(len(runs), np.int64), np.arange(len(runs))
+    place = suffix_dedup.packed(np.full(len(runs), 80), np.full(len(runs), 0), np.array([len(r) - 100 for r in runs]))
+    want = [x.tolist() for x in suffix_dedup.adjacent(key, doc, place, runs)]
+    few = suffix_dedup.names
+    monkeypatch.setattr(suffix_dedup, "names", lambda *a: few(*a) % suffix_dedup.U64(3))
+    assert [x.tolist() for x in suffix_dedup.adjacent(key, doc, place, runs)] == want == [[6, 7], [0, 0], [130, 110]]
