@@ -19,12 +19,13 @@ benchmark contaminates nothing; a document may carry any further columns.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakeweave.llm.common import LOWER, byte_view, cut, slices, table, word_runs
+from lakeweave.llm.common import LOWER, byte_view, cut, free, slices, table, word_runs
 
 WINDOW = 10
 BLOCK = 8
@@ -156,18 +157,30 @@ class Benchmark:
         return np.diff(first), np.cumsum(edge[:-1]) > 0, first, items
 
 
-def scan(docs: DataFrame, items: list[tuple[str, str]], text_col: str, window: int) -> DataFrame:
-    """``docs`` with ``_hits`` (packed flags of its words) and ``_items``
-    (ids of items found) brought up to date for these items."""
+_READY: dict[str, Benchmark] = {}
+
+
+def ready(key: str, items: list[tuple[str, str]], window: int) -> Benchmark:
+    """The searchers of a broadcast, built once in each worker process."""
+    if key not in _READY:
+        _READY.clear()
+        _READY[key] = Benchmark(items, window)
+    return _READY[key]
+
+
+def scan(docs: DataFrame, items: list[tuple[str, str]], text_col: str, window: int, names: list[str]) -> DataFrame:
+    """``docs`` with the columns ``names``: number of words, packed flags of
+    hit words and ids of items found, brought up to date for these items."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(items)
-    again = "_hits" in docs.columns
+    shared = spark.sparkContext.broadcast((uuid.uuid4().hex, items))
+    words, hit, found_name = names
+    again = hit in docs.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     if not again:
-        schema += ", `_n_words` bigint, `_hits` binary, `_items` array<string>"
+        schema += f", `{words}` bigint, `{hit}` binary, `{found_name}` array<string>"
 
     def run(batches):
-        bench = Benchmark(shared.value, window)
+        bench = ready(*shared.value, window)
         for b in batches:
             texts = b.column(b.schema.get_field_index(text_col))
             data, offs = byte_view(texts)
@@ -180,25 +193,28 @@ def scan(docs: DataFrame, items: list[tuple[str, str]], text_col: str, window: i
                     packed.append(np.packbits(flags[first[k]:first[k + 1]]).tobytes() if some[k] else b"")
                     found.append(sorted(items_of.get(k, ())))
             if again:
-                before = b.column(b.schema.get_field_index("_hits")).to_pylist()
-                listed = b.column(b.schema.get_field_index("_items")).to_pylist()
+                before = b.column(b.schema.get_field_index(hit)).to_pylist()
+                listed = b.column(b.schema.get_field_index(found_name)).to_pylist()
                 packed = [(int.from_bytes(x) | int.from_bytes(y)).to_bytes(max(len(x), len(y))) if x and y else x or y
                           for x, y in zip(before, packed)]
                 found = [sorted({*x, *y}) for x, y in zip(listed, found)]
-                cols = [b.column(i) for i, name in enumerate(b.schema.names) if name not in ("_hits", "_items")]
+                cols = [b.column(i) for i, name in enumerate(b.schema.names) if name not in (hit, found_name)]
             else:
                 cols = [*b.columns, pa.array(counts, pa.int64())]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(packed, pa.binary()), pa.array(found, pa.list_(pa.string()))],
-                                             names=[*(n for n in b.schema.names if n not in ("_hits", "_items")),
-                                                    *([] if again else ["_n_words"]), "_hits", "_items"])
+                                             names=[*(n for n in b.schema.names if n not in (hit, found_name)),
+                                                    *([] if again else [words]), hit, found_name])
 
     return docs.mapInArrow(run, schema)
 
 
 def find(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW,
-         block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` with ``_n_words``, ``_hits`` (packed word flags; empty: none)
-    and ``_items`` (sorted ids of the items whose windows occur)."""
+         block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, list[str]]:
+    """``docs`` with three more columns, and their names: number of words,
+    packed word flags (empty: none hit) and the sorted ids of the items whose
+    windows occur."""
+    taken = {c.lower() for c in docs.columns}
+    names = [free(n, taken) for n in ("n_words", "hits", "items")]
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"),
                              F.coalesce(F.col("text"), F.lit("")).alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -206,15 +222,15 @@ def find(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window:
     out = docs
     for p in range(passes):
         part = items if passes == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(passes)) == p)
-        out = scan(out, [tuple(r) for r in part.toLocalIterator()], text_col, window)
+        out = scan(out, [tuple(r) for r in part.toLocalIterator()], text_col, window, names)
         if p < passes - 1:
             out = cut(out, "decontaminate")
-    return out
+    return out, names
 
 
 def report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """Per document: words, words hit, items found and their digest."""
-    found = find(docs.select("doc_id", "text"), benchmark, **options)
+    found, names = find(docs.select("doc_id", "text"), benchmark, **options)
     schema = "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean"
 
     def digest(batches):
@@ -226,12 +242,13 @@ def report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
                 pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items]),
                 pa.array([h > 0 for h in hits])], names=[x.split()[0] for x in schema.split(", ")])
 
-    return found.select("doc_id", "_n_words", "_hits", "_items").mapInArrow(digest, schema)
+    return found.select("doc_id", *names).mapInArrow(digest, schema)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents that hold a benchmark window."""
-    return find(docs, benchmark, **options).where(F.octet_length("_hits") == 0).drop("_n_words", "_hits", "_items")
+    found, names = find(docs, benchmark, **options)
+    return found.where(F.octet_length(names[1]) == 0).drop(*names)
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -114,7 +114,9 @@ def longer(nodes: DataFrame, docs: DataFrame, text_col: str, words: int) -> Data
 
     ids = small(cut(nodes, "contested-ids"), 200_000)
     return (docs.select(F.col("doc_id").alias("node"), text_col).join(ids, "node", "left_semi")
-            .mapInArrow(run, "node bigint, payload binary").dropDuplicates(["node"]))
+            .mapInArrow(run, "node bigint, payload binary")
+            # rows that share an id: any of their signatures, but always the same one
+            .groupBy("node").agg(F.min("payload").alias("payload")))
 
 
 def alike_for_sure(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -174,8 +176,8 @@ def groups(docs: DataFrame, text_col: str = "text", words: int = 4) -> DataFrame
 
 def keep_one(docs: DataFrame, text_col: str = "text", words: int = 5) -> DataFrame:
     """``docs`` with one document of each component, the smallest doc_id."""
-    gone = groups(docs, text_col, words).where(~F.col("kept")).select(F.col("doc_id").alias("_n_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("_n_gone"), "left_anti")
+    gone = groups(docs, text_col, words).where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
 
 
 def op2_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:

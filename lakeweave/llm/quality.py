@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakeweave.llm.common import SPACE, byte_view, run_hashes, ship, slices, table, word_runs
+from lakeweave.llm.common import SPACE, byte_view, free, run_hashes, ship, slices, table, word_runs
 
 #: Bound on the labelled rows that are fitted on and broadcast (half for each label).
 NEIGHBOURS = 4096
@@ -135,7 +135,9 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = NEIGHBOURS, dims: int =
                                                   pa.array([s.tobytes() for s in shares], pa.binary())], names=["doc_id", "label", "g", "s"])
 
     drawn = docs.select("doc_id", "text").join(F.broadcast(neighbours(labels, most)), "doc_id").select("doc_id", "label", "text")
-    rows = drawn.mapInArrow(count, "doc_id bigint, label int, g binary, s binary").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
+    rows = drawn.mapInArrow(count, "doc_id bigint, label int, g binary, s binary")
+    # of rows that share an id, always the same one
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("label", "g", "s")).alias("r")).select("doc_id", "r.*").orderBy("doc_id").collect()
     grams = np.frombuffer(b"".join(r.g for r in rows), np.uint16).reshape(len(rows), _N**3)
     shares = np.frombuffer(b"".join(r.s for r in rows), np.float32).reshape(len(rows), -1 if rows else 6)
     return LatentVoter(grams, shares, np.array([r.label for r in rows], np.int32), dims, k)
@@ -166,7 +168,8 @@ def score(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents predicted good, with the columns they came with."""
-    return voted(docs, labels, "_q_score", **options).where(F.col("_q_score") >= 0.5).drop("_q_score")
+    name = free("score", {c.lower() for c in docs.columns})
+    return voted(docs, labels, name, **options).where(F.col(name) >= 0.5).drop(name)
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
