@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lakeweave.operators.simjoin import similar_groups
+from lakeweave.operators.simjoin import similar_groups, small
+from lakeweave.session import checkpoint_root
 from lakeweave.sources.tables import VersionedTable
 
 # ---------------------------------------------------------------- N1 ---------
@@ -131,6 +132,46 @@ def scd2(changes: DataFrame, key: str, ts: str, tiebreak: str, bucket: str = "mo
                                         F.lit(False).alias("is_current")))
 
 
+def splice_scd2(table: VersionedTable, changes: DataFrame, key: str, ts: str, tiebreak: str) -> int:
+    """Put a batch of changes, of any age, into a stored type-2 history.
+
+    A change closes the row before it and ends where the next row of its key
+    begins, so only the two neighbours of each new row are touched. Stored rows of other
+    keys are not read past their key column, and of the batch's keys only the
+    neighbours are rewritten: the merge updates the closed rows and inserts the
+    new ones. A change that the history holds already (same key, time and
+    tiebreak) replaces it."""
+    placed = F.col(key).isNotNull() & F.col(ts).isNotNull()
+    own = [c for c in changes.columns]
+    if not table.exists():
+        return table.overwrite(scd2(changes, key, ts, tiebreak))
+    checkpoint_root(changes.sparkSession)
+    new = changes.where(placed).dropDuplicates([key, ts, tiebreak]).checkpoint()
+    loose = changes.where(~placed)
+    keys = small(new.select(key).distinct())
+    old = table.read().where(placed).join(keys, key, "left_semi")
+    ids = [key, ts, tiebreak]
+    # the batch's rows among the places of its keys' stored rows
+    both = (old.select(*ids, F.lit(True).alias("_old")).join(new.select(*ids), ids, "left_anti")
+            .unionByName(new.select(*ids, F.lit(False).alias("_old"))))
+    b = F.date_trunc("month", F.col(ts))
+    both = both.withColumn("_b", b)
+    inner = Window.partitionBy(key, "_b").orderBy(ts, tiebreak)
+    both = both.select("*", F.lead(ts).over(inner).alias("_next"), F.lead("_old").over(inner).alias("_next_old"))
+    per = both.groupBy(key, "_b").agg(F.min(F.struct(ts, tiebreak, "_old")).alias("_f"))
+    per = per.select(key, "_b", F.lead(F.struct(F.col(f"_f.{ts}").alias("t"), F.col("_f._old").alias("o"))).over(Window.partitionBy(key).orderBy("_b")).alias("_after"))
+    both = both.join(per, [key, "_b"]).select(*ids, "_old", F.coalesce("_next", "_after.t").alias("valid_to"), F.coalesce("_next_old", "_after.o").alias("_next_old"))
+    # stored rows change only where a new row follows them
+    spans = both.where(~F.col("_old") | (F.col("_next_old") == F.lit(False))).checkpoint()
+    end = lambda df: df.select(*own, F.col(ts).alias("valid_from"), "valid_to", F.col("valid_to").isNull().alias("is_current"))
+    closed = end(old.select(*own).join(spans.where("_old").select(*ids, "valid_to"), ids))
+    added = end(new.join(spans.where(~F.col("_old")).select(*ids, "valid_to"), ids))
+    version = table.merge(closed.unionByName(added), ids)
+    if not loose.isEmpty():
+        version = table.append(loose.select(*own, F.col(ts).alias("valid_from"), F.lit(None).cast(changes.schema[ts].dataType).alias("valid_to"), F.lit(False).alias("is_current")))
+    return version
+
+
 # ---------------------------------------------------------------- N5 ---------
 
 # Age-tier limits in days (hot / warm / cold, older = archive).

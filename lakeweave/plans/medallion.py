@@ -126,7 +126,12 @@ def build_gold(silver: DataFrame, prices: DataFrame, exact: bool = True, how: st
     joined by shuffle. ``how='left'``
     keeps unpriced models with NULL cost; ``how='inner'`` drops them.
     """
-    g = daily_metrics(silver, exact).join(prices, "model", how)
+    return priced(daily_metrics(silver, exact), prices, how, digits)
+
+
+def priced(metrics: DataFrame, prices: DataFrame, how: str = "left", digits: int | None = 6) -> DataFrame:
+    """M3: daily metrics with their cost, in the columns of Gold."""
+    g = metrics.join(prices, "model", how)
     out = g.withColumn("cost_usd", cost_usd(F.col("total_prompt_tokens"), F.col("total_completion_tokens"),
                                             F.col("c_in"), F.col("c_out")))
     cols = []

@@ -76,6 +76,22 @@ def q_scd2(spark, sf):
     return C.scd2(table(spark, sf, "orders"), "o_custkey", "o_orderdate", "o_orderkey")
 
 
+@register("curation_scd2_spliced", """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+       o_orderdate AS valid_from,
+       lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS valid_to,
+       lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) IS NULL AS is_current
+FROM orders""")
+def q_scd2_spliced(spark, sf):
+    """The history built from two batches, the second of which holds the
+    older orders and some in between; equals the history built at once."""
+    o = table(spark, sf, "orders")
+    t = VersionedTable(spark, shared_dir(spark, "scd2_spliced"))
+    later = (F.col("o_orderdate") >= F.lit("1995-06-01").cast("date")) & ~F.col("o_orderpriority").startswith("3")
+    C.splice_scd2(t, o.where(later), "o_custkey", "o_orderdate", "o_orderkey")
+    C.splice_scd2(t, o.where(~later), "o_custkey", "o_orderdate", "o_orderkey")
+    return t.read()
+
+
 @register("curation_age_tier", """SELECT CASE WHEN a <= 7 THEN 'hot' WHEN a <= 90 THEN 'warm'
                  WHEN a <= 365 THEN 'cold' ELSE 'archive' END AS tier, count(*) AS n_rows
 FROM (SELECT date_diff('day', CAST(o_orderdate AS DATE), (SELECT CAST(max(o_orderdate) AS DATE) FROM orders)) AS a

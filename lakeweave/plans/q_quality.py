@@ -8,7 +8,7 @@ from lakeweave.functions.pricing import DEFAULT_PRICES, price_table
 from lakeweave.operators import quality as Q, retention as R
 from lakeweave.plans import medallion as M
 from lakeweave.plans.catalog import register, table
-from lakeweave.plans.incremental import rebuild_gold
+from lakeweave.plans.incremental import apply_delta, rebuild_gold, start_state
 from lakeweave.plans.q_medallion import SQL_BRONZE, _bronze, _gold_sql
 from lakeweave.session import shared_dir
 from lakeweave.sources.tables import VersionedTable
@@ -130,6 +130,26 @@ def q_incremental(spark, sf):
     return g.read()
 
 
+@register("gold_incremental_delta", _gold_sql(DEFAULT_PRICES).replace("FROM silver", "FROM silver WHERE user_id <> 'u_7' AND NOT (date = DATE '2024-01-10' AND model = 'm1')"))
+def q_incremental_delta(spark, sf):
+    """Gold kept by partial aggregates through late arrivals and two
+    deletions (a user's calls; all calls of a model on a date); equals a full rebuild."""
+    silver = VersionedTable(spark, shared_dir(spark, "silver_delta"))
+    split = F.lit(SPLIT_DATE).cast("date")
+    rows = VersionedTable(spark, shared_dir(spark, "silver_all"))
+    rows.overwrite(M.build_silver(_bronze(spark, sf)))
+    late = (F.col("date") >= split) | ((F.col("date") >= F.date_sub(split, 3)) & (F.hour("ts") >= 12))
+    silver.overwrite(rows.read().where(~late), partition_by=["date"])
+    state, gold = (VersionedTable(spark, shared_dir(spark, n)) for n in ("gold_partials", "gold_delta"))
+    prices = price_table(spark)
+    start_state(state, gold, silver, 0, prices)
+    silver.append(rows.read().where(late))
+    apply_delta(state, gold, silver, 0, 1, prices)
+    silver.delete_where("user_id = 'u_7' OR (date = DATE'2024-01-10' AND model = 'm1')")
+    apply_delta(state, gold, silver, 1, 2, prices)
+    return gold.read()
+
+
 @register("quality_duplicate_alert", f"""WITH {SQL_BRONZE.strip()},
 r AS (SELECT count(*) AS rows, count(DISTINCT request_id) AS distinct_keys,
              round(1.0 - count(DISTINCT request_id) / greatest(count(*), 1), 6) AS duplicate_rate FROM bronze)

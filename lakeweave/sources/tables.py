@@ -91,6 +91,18 @@ def conform(df: DataFrame, schema: T.StructType, schema_mode: str | None) -> tup
     return df.select(*casts), merged
 
 
+def row_digest(df: DataFrame, seed: int) -> Column:
+    """64 bits that tell a row's values apart, NULLs and their places included."""
+    parts = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            parts.append(F.to_json(F.struct(c), {"ignoreNullFields": "false"}))
+        else:
+            parts += [c, c.isNull()]
+    return F.xxhash64(F.lit(seed), *parts)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists, asked of the path's Hadoop file system."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -620,9 +632,15 @@ class VersionedTable:
                     df = df.withColumn(name, F.lit(None).cast((sb if name in sb.fieldNames() else sa)[name].dataType))
             return df.select(*cols)
 
-        # One pass: +1 for a row gained, -1 for a row lost, summed over equal rows.
+        # +1 for a row gained, -1 for a row lost, summed over equal rows. Two
+        # 64-bit digests stand for a row, so wide rows are not shuffled to be
+        # found unchanged; rows that differ are fetched by their digests.
         both = side(eb, sb).withColumn("_n", F.lit(1)).unionByName(side(ea, sa).withColumn("_n", F.lit(-1)))
-        net = both.groupBy(*cols).agg(F.sum("_n").alias("_n")).where("_n <> 0")
+        both = both.select("*", *(row_digest(both.drop("_n"), i).alias(f"_d{i}") for i in (1, 2)))
+        checkpoint_root(self.spark)
+        differ = both.groupBy("_d1", "_d2").agg(F.sum("_n").alias("_n")).where("_n <> 0").checkpoint()
+        found = both.drop("_n").join(differ, ["_d1", "_d2"]).dropDuplicates(["_d1", "_d2"])
+        net = found.drop("_d1", "_d2")
         kind = F.when(F.col("_n") > 0, "insert").otherwise("delete")
         if key is not None:
             keys = [key] if isinstance(key, str) else list(key)
