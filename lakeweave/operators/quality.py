@@ -107,6 +107,31 @@ def duplicate_alert(df: DataFrame, key: str | Sequence[str], baseline: float, to
         "alert", F.col("duplicate_rate") > F.lit(baseline * (1 + tolerance)))
 
 
+def key_sketches(df: DataFrame, date: str, key: str, log_size: int = 16) -> DataFrame:
+    """Q4: per date its rows and a theta sketch of its keys: a bounded stand-in
+    that later days are compared with, exact up to ``2 ** log_size`` keys."""
+    return df.groupBy(F.col(date).alias("date")).agg(F.count(F.lit(1)).alias("rows"), F.theta_sketch_agg(key, F.lit(log_size)).alias("keys"))
+
+
+def duplicate_trend(sketches: DataFrame, days: int = 7, tolerance: float = 0.5, digits: int = 6, log_size: int = 16) -> DataFrame:
+    """Q4: each date's duplicate rate, that of the ``days`` before it (the
+    stored baseline: NULL without any), how many of its keys these had
+    already, and whether the rate is over the baseline by ``tolerance``. Only
+    the sketches of :func:`key_sketches` are read, one row a date; each goes to
+    the days that it is a baseline of."""
+    rate = lambda keys, n: F.round(F.lit(1.0) - F.greatest(keys, F.lit(0)) / n, digits)
+    ahead = sketches.select(F.explode(F.sequence(F.lit(1), F.lit(days))).alias("ago"), "date", "rows", "keys")
+    before = (ahead.groupBy(F.date_add("date", F.col("ago")).alias("date"))
+              .agg(F.sum("rows").alias("past_rows"), F.theta_union_agg("keys", F.lit(log_size)).alias("past")))
+    day, past = F.theta_sketch_estimate("keys"), F.theta_sketch_estimate("past")
+    both = F.theta_sketch_estimate(F.theta_union("keys", "past", F.lit(log_size)))
+    out = sketches.join(before, "date", "left").select(
+        "date", "rows", day.alias("distinct_keys"), rate(day, F.col("rows")).alias("duplicate_rate"),
+        F.when(F.col("past").isNotNull(), rate(past, F.col("past_rows"))).alias("baseline"),
+        F.when(F.col("past").isNotNull(), day + past - both).otherwise(0).cast("bigint").alias("seen_before"))
+    return out.withColumn("alert", F.coalesce(F.col("duplicate_rate") > F.col("baseline") * F.lit(1 + tolerance), F.lit(False)))
+
+
 def cost_anomaly(gold: DataFrame, factor: float = 2.0, digits: int = 6) -> DataFrame:
     """Q5: per model and date, day-over-day growth of cost vs. token volume.
 

@@ -119,6 +119,18 @@ def q_partitioned_events(spark, sf):
     return events_partitioned(spark, sf).read().drop("bucket")
 
 
+@register("layout_hour_directories", """SELECT CAST(ts AS DATE) AS event_date, CAST(hour(ts) AS INTEGER) AS hour, count(*) AS n_rows,
+       count(DISTINCT user_id) AS n_users, true AS in_buckets FROM events WHERE hour(ts) BETWEEN 6 AND 11 GROUP BY ALL""")
+def q_hour_directories(spark, sf):
+    """Directories by date, hour and tenant bucket. A user is in one
+    bucket, so users are counted by directory and added up; the hours asked
+    for are whole directories."""
+    t = VersionedTable(spark, shared_dir(spark, "events_hourly"))
+    t.overwrite(L.layout_columns(table(spark, sf, "events"), "ts", "user_id", n_buckets=2), partition_by=["event_date", "hour", "bucket"])
+    per = t.read().where(F.col("hour").between(6, 11)).groupBy("event_date", "hour", "bucket").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("user_id").alias("u"))
+    return per.groupBy("event_date", "hour").agg(F.sum("n").alias("n_rows"), F.sum("u").alias("n_users"), F.max("bucket").between(0, 1).alias("in_buckets"))
+
+
 @register("layout_partition_pruned", """SELECT CAST(ts AS DATE) AS event_date, event_type, count(*) AS n_rows
 FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-15' GROUP BY 1, 2""")
 def q_partition_pruned(spark, sf):

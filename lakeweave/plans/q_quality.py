@@ -119,7 +119,7 @@ def q_incremental(spark, sf):
     """Gold rebuilt only for the dates a Silver append touched; equals a full rebuild."""
     silver_all = M.build_silver(_bronze(spark, sf))
     split = F.lit(SPLIT_DATE).cast("date")
-    late = (F.col("date") >= split) | ((F.col("date") >= F.date_sub(split, 3)) & (F.hour("ts") >= 12))
+    late = F.coalesce((F.col("date") >= split) | ((F.col("date") >= F.date_sub(split, 3)) & (F.hour("ts") >= 12)), F.lit(False))
     s = VersionedTable(spark, shared_dir(spark, "silver"))
     s.overwrite(silver_all.where(~late), partition_by=["date"])
     prices = price_table(spark)
@@ -138,7 +138,7 @@ def q_incremental_delta(spark, sf):
     split = F.lit(SPLIT_DATE).cast("date")
     rows = VersionedTable(spark, shared_dir(spark, "silver_all"))
     rows.overwrite(M.build_silver(_bronze(spark, sf)))
-    late = (F.col("date") >= split) | ((F.col("date") >= F.date_sub(split, 3)) & (F.hour("ts") >= 12))
+    late = F.coalesce((F.col("date") >= split) | ((F.col("date") >= F.date_sub(split, 3)) & (F.hour("ts") >= 12)), F.lit(False))
     silver.overwrite(rows.read().where(~late), partition_by=["date"])
     state, gold = (VersionedTable(spark, shared_dir(spark, n)) for n in ("gold_partials", "gold_delta"))
     prices = price_table(spark)
@@ -159,6 +159,24 @@ def q_duplicate_alert(spark, sf):
     return Q.duplicate_alert(_bronze(spark, sf), "request_id", 0.05, 0.5)
 
 
+@register("quality_duplicate_trend", f"""WITH {SQL_BRONZE.strip()},
+b AS (SELECT CAST(ts AS DATE) AS date, request_id FROM bronze UNION ALL SELECT CAST(ts AS DATE), 'u-' || CAST(user_id AS VARCHAR) FROM events),
+d AS (SELECT date, count(*) AS rows, count(DISTINCT request_id) AS keys FROM b GROUP BY date),
+p AS (SELECT d.date, count(*) AS past_rows, count(DISTINCT b.request_id) AS past FROM d JOIN b ON b.date >= d.date - 7 AND b.date < d.date GROUP BY d.date),
+s AS (SELECT t.date, count(DISTINCT t.request_id) AS seen FROM b t JOIN b o ON o.request_id = t.request_id AND o.date >= t.date - 7 AND o.date < t.date GROUP BY t.date),
+r AS (SELECT d.date, rows, keys AS distinct_keys, round(1.0 - keys / rows, 6) AS duplicate_rate, round(1.0 - past / past_rows, 6) AS baseline,
+             CAST(coalesce(seen, 0) AS BIGINT) AS seen_before FROM d LEFT JOIN p ON p.date = d.date LEFT JOIN s ON s.date = d.date)
+SELECT *, coalesce(duplicate_rate > baseline * 1.5, false) AS alert FROM r""")
+def q_duplicate_trend(spark, sf):
+    """Q4: each day's duplicate rate of request and user keys against the week
+    before, from one stored theta sketch a day."""
+    b = _bronze(spark, sf).select(F.to_date("ts").alias("day"), "request_id")
+    users = table(spark, sf, "events").select(F.to_date("ts").alias("day"), F.concat(F.lit("u-"), F.col("user_id").cast("string")).alias("request_id"))
+    days = VersionedTable(spark, shared_dir(spark, "key_sketches"))
+    days.overwrite(Q.key_sketches(b.unionByName(users), "day", "request_id"))
+    return Q.duplicate_trend(days.read())
+
+
 @register("quality_gated_landing", f"""WITH {SQL_BRONZE.strip()}
 SELECT request_id, ts, 'landed' AS state, NULL AS reason FROM bronze
 UNION ALL SELECT 'req-' || CAST(event_id AS VARCHAR), ts, 'held', 'new keys: contact_email' FROM events""")

@@ -113,15 +113,17 @@ def q_two_checkpoints(spark, sf):
     return out.read().select("request_id", "ts")
 
 
-@register("stream_dedup", f"WITH {SQL_BRONZE.strip()}\nSELECT DISTINCT request_id FROM bronze")
+@register("stream_dedup", f"""WITH {SQL_BRONZE.strip()}
+SELECT request_id, min(ts) AS ts, arg_min(raw_json IS NULL, ts) AS no_payload FROM bronze GROUP BY request_id""")
 def q_stream_dedup(spark, sf):
-    """ST3: stateful dedup on request_id within the watermark."""
+    """ST3: stateful dedup on request_id within the watermark. The landing's
+    files are in the order of time, so the row kept is a request's earliest."""
     src = S.bronze_stream(spark, _landing(spark, sf, "bronze"))
     out = VersionedTable(spark, shared_dir(spark, "stream_dedup"))
     q = (S.stream_dedup(src, "request_id", DELAY).writeStream.foreachBatch(S.append_sink(out))
          .option("checkpointLocation", shared_dir(spark, "ckpt_dedup")).trigger(availableNow=True).start())
     S.run_to_end(q)
-    return out.read().select("request_id")
+    return out.read().select("request_id", "ts", F.col("raw_json").isNull().alias("no_payload"))
 
 
 @register("stream_compacted", f"WITH {SQL_BRONZE.strip()}\nSELECT request_id, ts, raw_json IS NULL AS no_payload FROM bronze")
@@ -146,7 +148,7 @@ def q_late_latest(spark, sf):
     too); a key is updated only by a newer row."""
     o = table(spark, sf, "orders")
     t = VersionedTable(spark, shared_dir(spark, "latest_order"))
-    first = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
+    first = F.coalesce(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.lit(False))
     order = ["o_orderdate", "o_orderkey"]
     S.merge_latest(t, o.where(first), "o_custkey", order)
     S.merge_latest(t, o.where(~first), "o_custkey", order)

@@ -51,7 +51,10 @@ def write_time_ordered_files(df: DataFrame, path: str, n_chunks: int, ts: str =
             cond = cond & (F.col("_us") >= F.lit(lo))
         if hi is not None:
             cond = cond & (F.col("_us") < F.lit(hi))
-        keyed.where(cond).drop("_us").repartition(files_per_chunk).write.mode("append").parquet(path)
+        if lo is None:  # rows without a time land first
+            cond = cond | F.col("_us").isNull()
+        chunk = keyed.where(cond).repartition(files_per_chunk).sortWithinPartitions("_us")
+        chunk.drop("_us").write.mode("append").parquet(path)
 
 
 def bronze_stream(spark: SparkSession, path: str, files_per_trigger: int = 1,
