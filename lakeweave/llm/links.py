@@ -33,8 +33,8 @@ MAX_RULES = 500
 MASS = 10**15
 #: Per cent of a host's rank that moves on along its edges.
 DAMPING = 85
-#: Rounds between written cuts; the change in per mille of all mass at which rounds end.
-ROUNDS, SETTLED = 6, 10
+#: Rounds between written cuts; the change in millionths of all mass at which rounds end.
+ROUNDS, SETTLED = 6, 1
 
 
 def after_scheme(url: Column) -> Column:
@@ -88,7 +88,8 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: int = DAMPING) -> Dat
     """Personalised PageRank of trust along ``edges`` (src, dst) and of
     distrust against them, from ``seeds`` (host, t0, d0: units of MASS).
     Returns (host, t, d). Mass at hosts without edges stays there no longer
-    than a round. Ends when a round moves under ``SETTLED`` per mille."""
+    than a round. Ends when a round moves under
+    ``SETTLED`` millionths of all mass."""
     forth = edges.join(edges.groupBy("src").agg(F.count(F.lit(1)).alias("n")), "src").select("src", "dst", "n", F.lit(True).alias("trust"))
     back = edges.join(edges.groupBy("dst").agg(F.count(F.lit(1)).alias("n")), "dst").select(
         F.col("dst").alias("src"), F.col("src").alias("dst"), "n", F.lit(False).alias("trust"))
@@ -110,7 +111,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: int = DAMPING) -> Dat
         both = cut(rank.join(last.select("host", F.col("t").alias("t9"), F.col("d").alias("d9")), "host"), "host-rank")
         rank = both.select("host", "t", "d")
         moved = both.agg(F.sum(F.abs(F.col("t") - F.col("t9")) + F.abs(F.col("d") - F.col("d9")))).first()[0]
-        if moved * 1000 <= SETTLED * whole:
+        if moved * 1_000_000 <= SETTLED * whole:
             return rank
 
 

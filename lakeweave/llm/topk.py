@@ -112,10 +112,10 @@ def top_k(vectors: DataFrame, is_query: Callable, k: int = 20, scale: int = 64,
     """(query_id, rank, vec_id, score): the ``k`` best inner products of each
     query (the rows where ``is_query(vec_id)``) among all other vectors."""
     v = quantised(vectors, scale)
-    n, width = v.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
+    n, width, asked = v.agg(F.count(F.lit(1)), F.max(F.size("v")), F.count(F.when(is_query(F.col("vec_id")), 1))).first()
     width = max(1, width or 0)
     shards = max(1, -(-n // shard))
-    blocks = max(1, -(-n // (20 * block)))
+    blocks = max(1, -(-asked // block))
     deal = lambda many, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(many)).cast("int")
     each = lambda many: F.explode(F.sequence(F.lit(0), F.lit(many - 1)))
     left = v.select(deal(shards, 1).alias("s"), each(blocks).alias("b"), "vec_id", "v")

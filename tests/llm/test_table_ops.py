@@ -91,7 +91,7 @@ def test_propagation_equals_brute_force(spark):
             nd[a] += d[b] * 85 // (into[b] * 100)
         moved = sum(abs(nt[h] - t[h]) + abs(nd[h] - d[h]) for h in hosts)
         t, d, rounds = nt, nd, rounds + 1
-        if rounds % links.ROUNDS == 0 and moved * 1000 <= links.SETTLED * whole:
+        if rounds % links.ROUNDS == 0 and moved * 1_000_000 <= links.SETTLED * whole:
             break
     assert got == {h: (t[h], d[h]) for h in hosts}
 
