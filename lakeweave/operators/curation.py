@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lakeweave.operators.simjoin import similar_groups, small
+from lakeweave.operators.simjoin import components, similar_groups, small  # noqa: F401
 from lakeweave.session import checkpoint_root
 from lakeweave.sources.tables import VersionedTable
 
