@@ -21,7 +21,9 @@ _BUILT: dict = {}
 
 
 def lineitem_layout(spark, sf):
-    """v0: lineitem as 200 small files; v1: compacted; v2: z-ordered."""
+    """v0: lineitem as 200 small files; then compacted and z-ordered, each a
+    version of its own. Where no file is small there is nothing to compact and
+    no version of it: each step's result names the version it left."""
     key = (spark.sparkContext.applicationId, sf)
     if key in _BUILT:
         return _BUILT[key]
@@ -44,13 +46,15 @@ def q_small_files(spark, sf):
 @register("layout_compact_same_bag", "SELECT * FROM lineitem")
 def q_compact(spark, sf):
     """L2: compaction preserves the bag of rows."""
-    return lineitem_layout(spark, sf)[0].as_of(1)
+    t, compact, _, _ = lineitem_layout(spark, sf)
+    return t.as_of(compact["version"])
 
 
 @register("layout_zorder_same_bag", "SELECT * FROM lineitem")
 def q_zorder(spark, sf):
     """L3: clustering preserves the bag of rows."""
-    return lineitem_layout(spark, sf)[0].as_of(2)
+    t, _, z, _ = lineitem_layout(spark, sf)
+    return t.as_of(z["version"])
 
 
 @register("layout_pruned_read", """SELECT * FROM lineitem
@@ -63,10 +67,10 @@ def q_pruned_read(spark, sf):
 
 @register("layout_pruning_report")
 def q_pruning_report(spark, sf):
-    """Covering files before (v0) and after clustering (v2)."""
-    t, _, _, point = lineitem_layout(spark, sf)
+    """Covering files before (v0) and after clustering (its version)."""
+    t, _, z, point = lineitem_layout(spark, sf)
     before = L.pruning_report(t, point, version=0).withColumn("version", F.lit(0))
-    after = L.pruning_report(t, point, version=2).withColumn("version", F.lit(2))
+    after = L.pruning_report(t, point, version=z["version"]).withColumn("version", F.lit(z["version"]))
     return before.unionByName(after)
 
 

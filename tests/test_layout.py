@@ -101,3 +101,16 @@ def test_pruned_read_scans_no_data_for_its_file_list(spark, fresh):
     assert sorted(map(tuple, df.collect())) == [(17, 3), (17, 3)]
     assert len(df.inputFiles()) == 2 and "Aggregate" not in df._jdf.queryExecution().executedPlan().toString()
     assert L.pruned_read(t, {"a": -1}).count() == 0
+
+
+def test_scenario_without_small_files(spark, tmp_path, monkeypatch):
+    """Files that are no smaller than the target are not compacted, so there is no version of it."""
+    from lakeweave.plans import q_layout as Q
+    rows = spark.range(3000).select((F.col("id") % 750).alias("l_orderkey"), (F.col("id") * 7919 % 500).alias("l_partkey"), (F.col("id") % 11).alias("l_suppkey"),
+                                    F.when(F.col("id") % 2 == 0, "R").otherwise("N").alias("l_returnflag"))
+    rows.coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(Q, "TARGET_BYTES", 1024)
+    assert Q.lineitem_layout(spark, str(tmp_path))[1]["numFilesRemoved"] == 0
+    for q in (Q.q_small_files, Q.q_compact, Q.q_zorder):
+        assert _bag(q(spark, str(tmp_path))) == _bag(rows)
+    assert [r["version"] for r in Q.q_pruning_report(spark, str(tmp_path)).orderBy("version").collect()] == [0, 1]
