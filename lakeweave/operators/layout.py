@@ -18,6 +18,10 @@ from lakeweave.sources.tables import VersionedTable
 DEFAULT_TARGET_BYTES = 128 << 20
 #: Distinct values drawn to find the split points of a string column.
 STRING_SAMPLE = 20_000
+#: Tasks that write one file each, at most; with more files a task writes several
+#: and takes about ``TASK_BYTES``.
+MOST_TASKS = 200
+TASK_BYTES = 32 << 20
 
 
 def small_file_append(table: VersionedTable, df: DataFrame, n_files: int = 200) -> int:
@@ -101,14 +105,23 @@ def split_points(df: DataFrame, cols: Sequence[str], buckets: int, rel_error: fl
     return [found[c] for c in cols]
 
 
-def _bucket(x: Column, splits: list) -> Column:
-    """Index of ``x`` among sorted split points, as a balanced CASE tree."""
-    def go(lo: int, hi: int) -> Column:
-        if lo >= hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(x < F.lit(splits[mid - 1]), go(lo, mid - 1)).otherwise(go(mid, hi))
-    return F.when(x.isNull(), F.lit(0)).otherwise(go(0, len(splits)))
+def with_buckets(df: DataFrame, cols: Sequence[str], splits: Sequence[Sequence]) -> DataFrame:
+    """``df`` plus ``_zb0``, ``_zb1``, ...: how many of a column's sorted split
+    points are at or below its value (NULL: 0). A binary search over the points as one array, a
+    column a step, so the expression grows with the logarithm of their number."""
+    dtypes = dict(df.dtypes)
+    out = df.select("*", *[orderable(F.col(c), dtypes[c]).alias(f"_zk{i}") for i, c in enumerate(cols)],
+                    *[F.lit(0).alias(f"_zb{i}") for i in range(len(cols))])
+    arrays = [F.array(*[F.lit(v) for v in points]) for points in splits]
+    for step in (1 << k for k in reversed(range(max(len(points) for points in splits).bit_length()))):
+        moves = {}
+        for i, points in enumerate(splits):
+            if step <= len(points):
+                at = F.col(f"_zb{i}")
+                beyond = (at + step <= len(points)) & (F.col(f"_zk{i}") >= F.get(arrays[i], at + (step - 1)))
+                moves[f"_zb{i}"] = at + F.when(beyond, step).otherwise(0)
+        out = out.withColumns(moves)
+    return out.drop(*[f"_zk{i}" for i in range(len(cols))])
 
 
 def with_z_value(df: DataFrame, cols: Sequence[str], bits: int = 8, rel_error: float = 0.001,
@@ -122,10 +135,7 @@ def with_z_value(df: DataFrame, cols: Sequence[str], bits: int = 8, rel_error: f
     of repeating the bucket expression per bit (which would bloat generated
     code).
     """
-    dtypes = dict(df.dtypes)
-    splits = split_points(df, cols, 1 << bits, rel_error)
-    bcols = [_bucket(orderable(F.col(c), dtypes[c]), points).alias(f"_zb{i}") for i, (c, points) in enumerate(zip(cols, splits))]
-    staged = df.select("*", *bcols)
+    staged = with_buckets(df, cols, split_points(df, cols, 1 << bits, rel_error))
     n = len(cols)
     terms = [F.shiftleft(F.shiftright(F.col(f"_zb{j}"), b).bitwiseAND(F.lit(1)).cast("long"), b * n + j)
              for b in range(bits) for j in range(n)]
@@ -133,6 +143,13 @@ def with_z_value(df: DataFrame, cols: Sequence[str], bits: int = 8, rel_error: f
     return staged.withColumn(out, z).drop(*[f"_zb{j}" for j in range(n)])
 
 
+def rewrite_tasks(n_files: int, size: int) -> int:
+    """Tasks that write ``n_files`` files of ``size`` bytes in all: one a file up
+    to ``MOST_TASKS``, then as many, or what ``TASK_BYTES`` gives. The driver
+    hears from tasks, not from files, and range bounds are drawn per task."""
+    return n_files if n_files <= MOST_TASKS else min(n_files, max(MOST_TASKS, math.ceil(size / TASK_BYTES)))
+
+
 def zorder(table: VersionedTable, cols: Sequence[str], target_bytes: int = DEFAULT_TARGET_BYTES) -> dict:
     """Cluster the table by ``cols`` into files of about ``target_bytes``.
 
@@ -140,7 +157,8 @@ def zorder(table: VersionedTable, cols: Sequence[str], target_bytes: int = DEFAU
     columns: range-partition and sort on the z-value. The partition columns
     of the table come first, so a directory's files don't overlap in the
     clustering key either. The range partitioner samples the key, so file
-    counts are close to, not exactly, the target.
+    counts are close to, not exactly, the target. Of very many files a task
+    writes several, each a run of its sorted rows (see :func:`rewrite_tasks`).
     """
     cols = list(cols)
     per_batch = _files(table)
@@ -154,8 +172,10 @@ def zorder(table: VersionedTable, cols: Sequence[str], target_bytes: int = DEFAU
         bits = min(10, max(4, math.ceil(math.log2(n_out + 1) / len(cols)) + 3))
         df = with_z_value(df, cols, bits)
     by = [*pcols, cols[0] if len(cols) == 1 else "_z"]
-    out = df.repartitionByRange(n_out, *by).sortWithinPartitions(*by).drop("_z")
-    v = table.replace_batches(out, list(per_batch), "OPTIMIZE",
+    n_tasks = rewrite_tasks(n_out, size)
+    per_file = math.ceil(table.read().count() / n_out) if n_tasks < n_out else None
+    out = df.repartitionByRange(n_tasks, *by).sortWithinPartitions(*by).drop("_z")
+    v = table.replace_batches(out, list(per_batch), "OPTIMIZE", max_records_per_file=per_file,
                               params={"zOrderBy": ",".join(cols), "targetBytes": target_bytes},
                               extra_metrics={"numFilesRemoved": files_before,
                                              "totalConsideredFiles": files_before},

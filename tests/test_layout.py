@@ -114,3 +114,29 @@ def test_scenario_without_small_files(spark, tmp_path, monkeypatch):
     for q in (Q.q_small_files, Q.q_compact, Q.q_zorder):
         assert _bag(q(spark, str(tmp_path))) == _bag(rows)
     assert [r["version"] for r in Q.q_pruning_report(spark, str(tmp_path)).orderBy("version").collect()] == [0, 1]
+
+
+def test_tasks_write_several_files(spark, fresh, monkeypatch):
+    """More files than tasks: the files stay as many and hold ranges that do not overlap."""
+    assert [L.rewrite_tasks(n, n << 16) for n in (1, 200, 60_000, 600_000)] == [1, 200, 200, 1172]
+    monkeypatch.setattr(L, "MOST_TASKS", 4)
+    t = fresh("wide")
+    t.overwrite(spark.range(40_000).select((F.col("id") * 7919 % 40_000).alias("x"), F.sha2(F.col("id").cast("string"), 256).alias("h")).repartition(4))
+    size = t.detail().collect()[0]["sizeInBytes"]
+    z = L.zorder(t, ["x"], size // 40)
+    s = L.file_stats(t, ["x"]).orderBy("min_x").collect()
+    assert 40 <= z["numFilesAdded"] <= 50 and len(s) == z["numFilesAdded"]
+    assert all(a["max_x"] < b["min_x"] for a, b in zip(s, s[1:])) and sum(r["num_records"] for r in s) == 40_000
+    tasks = t.read_with_files().select(F.regexp_extract("_file", r"part-(\d+)", 1)).distinct().count()
+    assert tasks == 4
+
+
+def test_buckets_by_binary_search(spark):
+    """The bucket of a value is the number of split points at or below it."""
+    points = [float(x) for x in range(0, 900, 3)]
+    df = spark.createDataFrame([(float(x) / 2, f"k{x:04d}") for x in range(-9, 2000, 7)] + [(None, None), (float("nan"), "")], "a double, b string")
+    texts = [f"k{x:04d}" for x in range(0, 1500, 100)]
+    got = L.with_buckets(df, ["a", "b"], [points, texts]).collect()
+    count = lambda v, ps: 0 if v is None else len(ps) if v != v else sum(p <= v for p in ps)
+    assert [(r["_zb0"], r["_zb1"]) for r in got] == [(count(r["a"], points), count(r["b"], texts)) for r in got]
+    assert {(r["_zb0"], r["_zb1"]) for r in L.with_buckets(df, ["a", "b"], [[], []]).collect()} == {(0, 0)}
