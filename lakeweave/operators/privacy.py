@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lakeweave.functions.pii import (EMAIL_PATTERN, PHONE_PATTERN, PHONE_PATTERN_SAFE, leaks, matches,
                                      pass_struct, token_count)
+from lakeweave.session import checkpoint_root
 
 
 def pii_matches(df: DataFrame, col: str) -> DataFrame:
@@ -69,6 +70,9 @@ def land_bronze(df: DataFrame, table, redact_cols: Sequence[str] = (), key: byte
             raise ValueError("tokenizing columns needs a key")
         red = redact_columns(df, list(redact_cols), key, safe)
         if vault is not None:
+            # redacted once: the vault and the landing read it back
+            checkpoint_root(red.sparkSession)
+            red = red.checkpoint()
             rows = vault_rows(red)
             vault.merge(rows, "token", when_older="value") if vault.exists() else vault.overwrite(rows)
         df = red.drop("_pii")
