@@ -45,7 +45,9 @@ def built(rows: DataFrame, date: str, key: str) -> DataFrame:
     """(date, blocks, block, words): the filters of ``rows``' keys by date."""
     keys = rows.where(F.col(key).isNotNull() & F.col(date).isNotNull()).select(F.col(date).alias("date"), F.col(key).alias("key"))
     per = keys.groupBy("date").agg(F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.count(F.lit(1)) / PER_BLOCK, F.lit(1.0))))).cast("bigint").alias("blocks"))
-    one = keys.join(per, "date").select("date", "blocks", block_of(F.col("key"), F.col("blocks")).alias("block"), F.explode(bits_of(F.col("key"))).alias("bit"))
+    # dealt by block as keys: the bits, many a key, are made and put together where they end up
+    dealt = keys.join(per, "date").select("date", "blocks", block_of(F.col("key"), F.col("blocks")).alias("block"), "key").repartition("date", "blocks", "block")
+    one = dealt.select("date", "blocks", "block", F.explode(bits_of(F.col("key"))).alias("bit"))
     word = one.groupBy("date", "blocks", "block", (F.col("bit") / 64).cast("int").alias("at")).agg(
         F.bit_or(F.expr("shiftleft(1L, bit % 64)")).alias("word"))
     full = word.groupBy("date", "blocks", "block").agg(F.map_from_entries(F.collect_list(F.struct("at", "word"))).alias("m"))

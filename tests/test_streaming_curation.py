@@ -6,7 +6,7 @@ from lakeweave.operators import curation as C
 from lakeweave.plans import medallion as M
 from lakeweave.session import shared_dir
 from lakeweave.sources.bronze import bronze_from_events
-from lakeweave.streaming import streams as S
+from lakeweave.streaming import key_filters, streams as S
 from tests.conftest import SF
 
 
@@ -144,3 +144,22 @@ def test_event_time_ignores_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     assert r["x"] == dt.datetime(2024, 1, 15, 2, 30)
     assert r["us"] == int(dt.datetime(2024, 1, 15, 2, 30, tzinfo=dt.timezone.utc).timestamp() * 1_000_000)
+
+
+def test_key_filters_shuffle_keys_not_bits(spark):
+    """A key is dealt to its block as one row; its bits are made there, and no repeat, hot date or NULL is lost."""
+    rows = spark.range(4000).select(F.when(F.col("id") % 97 == 0, None).otherwise(F.col("id") % 3000).cast("string").alias("k"),
+                                    F.when(F.col("id") % 89 == 0, None).otherwise(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 2).cast("int"))).alias("d"))
+    f = key_filters.built(rows, "d", "k")
+    want = [(r["d"], r["k"], r["bits"]) for r in rows.where("k IS NOT NULL AND d IS NOT NULL").select("d", "k", key_filters.bits_of(F.col("k")).alias("bits")).collect()]
+    keyed = rows.where("k IS NOT NULL AND d IS NOT NULL").distinct()
+    held = keyed.join(f, keyed["d"] == f["date"]).where(key_filters.block_of(F.col("k"), F.col("blocks")) == F.col("block"))
+    held = held.where(F.forall(key_filters.bits_of(F.col("k")), lambda p: F.getbit(F.col("words")[(p / 64).cast("int")], p % 64) == 1))
+    assert held.count() == len({(d, k) for d, k, _ in want}) > 2900
+    bits = {}
+    for d, k, b in want:
+        bits.setdefault(d, set()).update((k, x) for x in b)
+    per = {r["date"]: r["n"] for r in f.groupBy("date").agg(F.sum(F.aggregate("words", F.lit(0).cast("bigint"), lambda a, w: a + F.bit_count(w))).alias("n")).collect()}
+    assert all(per[d] <= len(bits[d]) for d in bits)
+    plan = f._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(date" in plan and not any("hashpartitioning" in line and " at#" in line for line in plan.splitlines())
