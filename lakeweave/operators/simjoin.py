@@ -22,6 +22,8 @@ from lakeweave.session import checkpoint_root
 CELL = 512
 #: Rows of a table that is broadcast after being counted.
 BROADCAST = 200_000
+#: Ids of rows whose set another row holds too, of which more are joined by shuffle.
+COPIES = 1_000_000
 
 
 def small(df: DataFrame, rows: int = BROADCAST) -> DataFrame:
@@ -59,10 +61,12 @@ def components(edges: DataFrame) -> DataFrame:
 def prefixes(sets: DataFrame, percent: int) -> DataFrame:
     """(node, n, prefix): the items of each set's prefix that other sets hold
     too, for sets (node, n, items). Sets without such an item are left out."""
-    single = sets.select("node", "n", F.explode("items").alias("item"))
-    count = single.groupBy("item").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    shared = (single.join(count, "item").groupBy("node")
-              .agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("c", "item"))).alias("shared")))
+    # moved by item once, for the count and for the join with it
+    single = sets.select("node", F.explode("items").alias("item")).where(F.col("item").isNotNull()).repartition("item")
+    count = single.groupBy("item").agg(F.count(F.lit(1)).cast("int").alias("c"), F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+    shared = (single.join(count.select("item", "c"), "item").groupBy("node")
+              .agg(F.sort_array(F.collect_list(F.struct("c", "item"))).alias("shared"))
+              .join(sets.select("node", "n"), "node"))
     # items of its own come first in every set, then the shared ones
     size = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1
     own = F.col("n") - F.size("shared")
@@ -137,13 +141,17 @@ def similar_groups(rows: DataFrame, percent: int) -> DataFrame:
     are linked with nothing; sets that share an id are one document's."""
     checkpoint_root(rows.sparkSession)
     kept = rows.select("id", F.array_sort("items").alias("items"))
-    kept = kept.withColumn("key", F.concat(*(F.lpad(F.hex(F.xxhash64(F.lit(s), "items")), 16, "0") for s in (1, 2)))).checkpoint()
+    kept = kept.select("id", *(F.xxhash64(F.lit(s), "items").alias(f"key{s}") for s in (1, 2)), F.monotonically_increasing_id().alias("node"),
+                       F.size("items").alias("n"), "items").checkpoint()
     # past the checkpoint: a filter on the items would compute them once more
-    kept = kept.where(F.col("id").isNotNull() & (F.size("items") > 0))
-    equal = kept.groupBy("key").agg(F.first("items").alias("items"))
-    sets = equal.select("key", F.monotonically_increasing_id().alias("node"), F.size("items").alias("n"), "items").checkpoint()
-    of_id = kept.select("id", "key").join(sets.select("key", "node"), "key").select("id", "node").distinct().checkpoint()
-    links = linked_sets(sets.select("node", "n", "items"), percent).select(F.col("node").alias("src"), F.col("component").alias("dst"))
+    kept = kept.where(F.col("id").isNotNull() & (F.col("n") > 0))
+    # equal sets go by the least row: the items themselves are not moved for that
+    rows = kept.select("id", "key1", "key2", "node")
+    rows = rows.join(rows.groupBy("key1", "key2").agg(F.min("node").alias("least")), ["key1", "key2"]).select("id", "node", "least").checkpoint()
+    copies = small(rows.where("node <> least").select("node"), COPIES)
+    sets = kept.select("node", "n", "items").join(copies, "node", "left_anti")
+    of_id = rows.select("id", F.col("least").alias("node")).distinct().checkpoint()
+    links = linked_sets(sets, percent).select(F.col("node").alias("src"), F.col("component").alias("dst"))
     # the sets of one id hang together
     least = of_id.groupBy("id").agg(F.min("node").alias("dst"), F.count(F.lit(1)).alias("k")).where("k > 1")
     comp = components(links.unionByName(of_id.join(least, "id").select(F.col("node").alias("src"), "dst")))

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -153,3 +154,20 @@ def test_large_sketches_are_bounded_and_near(spark):
     assert size < 40_000 and abs(rank - 0.95) <= sketches.RANK_ERROR
     nothing = rows.limit(0).agg(sketches.sketch("v").alias("s")).select(F.kll_sketch_get_n_bigint("s").alias("n"), sketches.grid(F.col("s")).alias("g"))
     assert nothing.select(sketches.quantile(F.col("g"), F.col("n"), 0.5)).first()[0] is None
+
+
+def test_items_are_moved_once(spark):
+    """The count of an item and the join with it read one exchange."""
+    sets = spark.createDataFrame([(n, 6, [n, n + 1, n + 2, 1000 + n, 2000 + n, 3000 + n]) for n in range(40)], "node bigint, n int, items array<bigint>")
+    pre = simjoin.prefixes(sets.checkpoint(), 80)
+    by_item = re.findall(r"Exchange hashpartitioning\(item#\d+L, \d+\), (\w+)", pre._jdf.queryExecution().executedPlan().toString())
+    assert set(by_item) == {"REPARTITION_BY_COL"}
+    # three of six items are a set's own, and its prefix has two
+    assert not pre.collect()
+
+
+def test_copies_beyond_a_broadcast(spark, monkeypatch):
+    rows = spark.createDataFrame([(n, [n % 4 * 10 + k for k in range(6)] if n % 5 else None) for n in range(60)], "id bigint, items array<bigint>")
+    want = sorted(map(tuple, simjoin.similar_groups(rows, 80).collect()))
+    monkeypatch.setattr(simjoin, "COPIES", 3)
+    assert sorted(map(tuple, simjoin.similar_groups(rows, 80).collect())) == want and len(want) == 48
