@@ -21,6 +21,8 @@ each keep their row; an empty table gives no rows; input columns named
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -35,6 +37,9 @@ POWER = 8
 #: Weight of the shares beside the trigrams.
 SHARES = 1.0
 
+#: Bytes and texts whose features are computed at once in a task.
+PART_BYTES, PART_TEXTS = 1 << 18, 256
+
 _N = 12
 
 
@@ -50,6 +55,13 @@ def _classes() -> np.ndarray:
 CLASS = _classes()
 
 
+def parts(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Row ranges of bounded bytes and texts: trigram counts take memory by both."""
+    for i, j in slices(offsets, PART_BYTES):
+        for k in range(i, j, PART_TEXTS):
+            yield k, min(j, k + PART_TEXTS)
+
+
 def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(trigram counts, shares) of each text."""
     n = len(offsets) - 1
@@ -105,7 +117,8 @@ class LatentVoter:
     def score(self, grams: np.ndarray, shares: np.ndarray) -> np.ndarray:
         if not len(self.labels):
             return np.full(len(grams), 0.5)
-        near = self.latent(self.terms(grams, shares)) @ self.known.T
+        # in double precision and rounded: a text's score does not depend on those it is computed with
+        near = np.round(self.latent(self.terms(grams, shares).astype(np.float64)) @ self.known.T.astype(np.float64), 9)
         k = min(self.k, near.shape[1])
         best = np.argpartition(near, -k, axis=1)[:, -k:] if k < near.shape[1] else np.tile(np.arange(k), (len(near), 1))
         weight = np.maximum(np.take_along_axis(near, best, 1), 0).astype(np.float64) ** POWER
@@ -127,7 +140,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = NEIGHBOURS, dims: int =
     def count(batches):
         for b in batches:
             data, offs = byte_view(b.column(2))
-            for i, j in slices(offs):
+            for i, j in parts(offs):
                 grams, shares = features(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
                 grams = np.minimum(grams, 65535).astype(np.uint16)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(1).slice(i, j - i),
@@ -153,7 +166,7 @@ def voted(docs: DataFrame, labels: DataFrame, name: str, text_col: str = "text",
         voter = shared.value
         for b in batches:
             data, offs = byte_view(b.column(b.schema.get_field_index(text_col)))
-            scores = [voter.score(*features(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])) for i, j in slices(offs, 1 << 20)]
+            scores = [voter.score(*features(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])) for i, j in parts(offs)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.concatenate(scores) if scores else np.zeros(0))], names=[*b.schema.names, name])
 
     return docs.mapInArrow(vote, schema)

@@ -1,5 +1,6 @@
 """Every operator that keeps its input's columns, with names that its own could clash with."""
 
+import numpy as np
 import pytest
 from llm_rows import docs, edges
 from pyspark.sql import functions as F
@@ -51,3 +52,21 @@ def test_shared_ids_give_one_model(spark, labels):
     own = docs(spark, [*edges(), *((3, f"other text {i} " * 9, "en", "s", 1) for i in range(5))])
     a, b = (rows(quality.score(d.select("doc_id", "text"), labels).select("doc_id", "score")) for d in (own, own.orderBy(F.desc("text")).repartition(3)))
     assert [x[0] for x in a] == [x[0] for x in b] and [round(x[1], 9) for x in a] == [round(x[1], 9) for x in b]
+
+
+def test_features_are_taken_in_bounded_parts():
+    """Ten thousand short texts, and long ones: no part is over its texts or bytes."""
+    sizes = np.array([3] * 10_000 + [100_000] * 7 + [900_000, 0, 5])
+    offsets = np.concatenate(([0], np.cumsum(sizes)))
+    ranges = list(quality.parts(offsets))
+    assert [i for i, _ in ranges] == [0, *(j for _, j in ranges[:-1])] and ranges[-1][1] == len(sizes)
+    assert all(j - i <= quality.PART_TEXTS and (offsets[j] - offsets[i] <= quality.PART_BYTES or j == i + 1) for i, j in ranges)
+
+
+def test_a_score_does_not_depend_on_its_batch():
+    rng = np.random.default_rng(5)
+    data = rng.integers(32, 126, 40_000).astype(np.uint8)
+    grams, shares = quality.features(data, np.arange(0, 40_001, 400))
+    voter = quality.LatentVoter(grams, shares, rng.integers(0, 2, 100), 48, 15)
+    alone = np.concatenate([voter.score(grams[k:k + 1], shares[k:k + 1]) for k in range(100)])
+    assert np.abs(alone - voter.score(grams, shares)).max() < 1e-12
