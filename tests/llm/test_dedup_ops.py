@@ -101,6 +101,38 @@ def test_residual_cells_compare_across_components(spark, monkeypatch):
     assert {i: got.get(i, i) for i in range(60)} == {i: top(i) for i in range(60)}
 
 
+@pytest.mark.parametrize("confirms", [False, True])
+def test_cells_list_no_pair_twice_and_no_unlike_ones(spark, monkeypatch, confirms):
+    """A bucket of unlike near rows: each two are compared in one cell; if the cell confirms, only links that join leave it."""
+    monkeypatch.setattr(linking, "CELL", 8)
+    monkeypatch.setattr(linking, "TOGETHER", 16)
+    given, plain = [], linking.across
+
+    def watched(cells, close, *more):
+        out = plain(cells, close, *more).cache()
+        given.extend((*sorted((r.a, r.b)), *r[2:]) for r in out.collect())
+        return out
+    monkeypatch.setattr(linking, "across", watched)
+    n, part = 60, lambda i: i % 30 if i % 2 else i  # odd ones are linked in pairs, of all that are near
+    nodes = spark.createDataFrame([(i, bytes([part(i)]), str(part(i)) if i != 7 else None) for i in range(n)], "node bigint, payload binary, text string")
+    near = lambda a, b: np.zeros(len(a), int)
+
+    def sure(text, payload, i, j):
+        text = text.to_pylist()
+        return np.array([-1 if None in (text[x], text[y]) else int(text[x] == text[y]) for x, y in zip(i.tolist(), j.tolist())], int)
+    confirm = lambda p: p.where("least(a, b) % 2 = 1 and abs(a - b) = 30")
+    members = nodes.select(F.lit(1).alias("bucket"), "node")
+    got = linking.linked(nodes.select("node", "payload"), members, near, confirm, *((lambda ids: nodes.join(ids, "node"), near, sure) if confirms else ()))
+    assert {r.node: r.component for r in got.collect()} == {i: i % 30 for i in range(n) if i % 2}
+    pairs = [x[:2] for x in given]
+    assert len(pairs) == len(set(pairs))
+    if confirms:
+        known = [x for x in given if x[2]]
+        assert len(known) <= 15 and all(7 in x[:2] for x in given if not x[2])
+    else:
+        assert len(pairs) > 1000
+
+
 def line_rows():
     rng = random.Random(11)
     pool = [" ".join(words(rng, rng.randrange(2, 30))) for _ in range(30)]
