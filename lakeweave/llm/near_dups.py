@@ -31,6 +31,8 @@ AGREE = 82
 MORE, MORE_AGREE = 512, 369
 #: Shares of a union, in per cent, from which two documents are linked.
 SIMILAR = 80
+#: Bytes of text whose shingles are computed at once in a task, and shingles whose hash functions are.
+PART_BYTES, AT_ONCE = 1 << 18, 512
 
 _SEED = np.random.default_rng(8271)
 _A = _SEED.integers(1, 1 << 63, BANDS * ROWS + MORE, dtype=np.uint64) * U64(2) + U64(1)
@@ -61,11 +63,12 @@ def shingle_hashes(data: np.ndarray, offsets: np.ndarray, words: int):
 def signature(shingles: np.ndarray, which: slice = BANDED) -> np.ndarray:
     """Minima of the hash functions over the low 32 bits of the shingles."""
     x, a, b = shingles & U64(0xFFFFFFFF), _A[which, None], _B[which, None]
-    best = np.full(len(a), 0xFFFFFFFF, U64)
-    for i in range(0, len(x), 2048):
-        part = (a * x[None, i:i + 2048] + b) >> U64(32)
+    best = np.full(len(a), 0xFFFFFFFFFFFFFFFF, U64)
+    for i in range(0, len(x), AT_ONCE):
+        part = a * x[None, i:i + AT_ONCE]
+        part += b
         np.minimum(best, part.min(1), out=best)
-    return best
+    return best >> U64(32)  # the least number has the least upper half
 
 
 def signed(docs: DataFrame, text_col: str = "text", words: int = 4) -> DataFrame:
@@ -73,8 +76,8 @@ def signed(docs: DataFrame, text_col: str = "text", words: int = 4) -> DataFrame
     def run(batches):
         for b in batches:
             data, offs = byte_view(b.column(1))
-            rows: list[tuple] = []
-            for i, j in slices(offs):
+            for i, j in slices(offs, PART_BYTES):
+                rows: list[tuple] = []
                 h, first = shingle_hashes(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i], words)
                 for k in range(j - i):
                     u = np.unique(h[first[k]:first[k + 1]])
@@ -88,10 +91,9 @@ def signed(docs: DataFrame, text_col: str = "text", words: int = 4) -> DataFrame
                         key = mix(key ^ (band[:, r] + _C[r + 1]))
                     digest = (mix(u).sum(), mix(u ^ _C[2]).sum())
                     rows.append((len(u), *(int(np.int64(d)) for d in np.array(digest, U64).view(np.int64)), mix(s).astype(np.uint8).tobytes(), key.view(np.int64)))
-            cols = list(zip(*rows)) if rows else [[]] * 5
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(list(c), t) for c, t in zip(cols, kinds))],
-                                             names=["doc_id", "n_shingles", "d1", "d2", "payload", "buckets"])
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), *(pa.array(list(c), t) for c, t in zip(zip(*rows), kinds))],
+                                                 names=["doc_id", "n_shingles", "d1", "d2", "payload", "buckets"])
 
     return docs.select("doc_id", text_col).mapInArrow(run, "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, payload binary, buckets array<bigint>")
 
@@ -107,7 +109,7 @@ def longer(nodes: DataFrame, docs: DataFrame, text_col: str, words: int) -> Data
         for b in batches:
             data, offs = byte_view(b.column(1))
             out = []
-            for i, j in slices(offs):
+            for i, j in slices(offs, PART_BYTES):
                 h, first = shingle_hashes(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i], words)
                 out += [mix(signature(h[first[k]:first[k + 1]], LONGER)).astype(np.uint8).tobytes() for k in range(j - i)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["node", "payload"])

@@ -5,11 +5,12 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_rows import docs, plain, words
 from pyspark.sql import functions as F
 
-from lakeweave.llm import line_dedup, linking, near_dups, suffix_dedup
+from lakeweave.llm import common, line_dedup, linking, near_dups, suffix_dedup
 
 
 def found(pairs):
@@ -288,3 +289,25 @@ def test_unlike_windows_of_one_name_are_told_apart(monkeypatch):
     few = suffix_dedup.names
     monkeypatch.setattr(suffix_dedup, "names", lambda *a: few(*a) % suffix_dedup.U64(3))
     assert [x.tolist() for x in suffix_dedup.adjacent(key, doc, place, runs)] == want == [[6, 7], [0, 0], [130, 110]]
+
+
+def test_workers_get_bounded_batches(spark):
+    """A few hundred long texts are several record batches, in and out."""
+    own = docs(spark, [(i, f"{i} " + "word " * 20_000, "en", "s", 0) for i in range(120)]).coalesce(1)
+    common.ship(spark)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    assert max(r.n for r in own.select("text").mapInArrow(sizes, "n bigint").collect()) < 6 << 20
+
+
+def test_signatures_do_not_depend_on_their_parts(monkeypatch):
+    """The least upper half of a hash function's numbers, in parts of any size."""
+    x = np.random.default_rng(3).integers(0, 1 << 63, 5_000, dtype=np.uint64)
+    a, b = near_dups._A[:128, None], near_dups._B[:128, None]
+    want = ((a * (x & np.uint64(0xFFFFFFFF))[None] + b) >> np.uint64(32)).min(1)
+    for at_once in (7, 512, 10_000):
+        monkeypatch.setattr(near_dups, "AT_ONCE", at_once)
+        assert (near_dups.signature(x) == want).all()
