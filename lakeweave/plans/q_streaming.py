@@ -15,7 +15,7 @@ from lakeweave.session import shared_dir
 from lakeweave.sources.tables import VersionedTable
 from lakeweave.streaming import streams as S
 
-# Landing parameters: Bronze arrives in 6 time-ordered chunks, one file per
+# Landing parameters: Bronze arrives in 6 time-ordered chunks, one per
 # micro-batch; watermark delay 10 minutes (retries arrive within seconds).
 N_CHUNKS = 6
 DELAY = "10 minutes"
@@ -23,19 +23,19 @@ _BUILT: dict = {}
 
 
 def _landing(spark, sf, what: str):
+    """(path, files of a micro-batch)"""
     key = (spark.sparkContext.applicationId, sf, what)
     if key not in _BUILT:
         path = shared_dir(spark, f"landing_{what}")
         b = _bronze(spark, sf)
-        S.write_time_ordered_files(b if what == "bronze" else M.build_silver(b), path, N_CHUNKS)
-        _BUILT[key] = path
+        _BUILT[key] = path, S.write_time_ordered_files(b if what == "bronze" else M.build_silver(b), path, N_CHUNKS, key="request_id")
     return _BUILT[key]
 
 
 def _silver_via_stream(spark, sf):
     key = (spark.sparkContext.applicationId, sf, "stream_silver")
     if key not in _BUILT:
-        src = S.bronze_stream(spark, _landing(spark, sf, "bronze"))
+        src = S.bronze_stream(spark, *_landing(spark, sf, "bronze"))
         silver = VersionedTable(spark, shared_dir(spark, "stream_silver"))
         S.run_to_end(S.stream_silver(src, silver, shared_dir(spark, "ckpt_silver")))
         _BUILT[key] = silver
@@ -79,8 +79,9 @@ GROUP BY 1, 2, p.c_in, p.c_out""")
 def q_stream_window(spark, sf):
     """ST2: 5-minute tumbling windows with a watermark, update mode, upserted per trigger."""
     schema = M.build_silver(_bronze(spark, sf)).schema
-    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-           .parquet(_landing(spark, sf, "silver")).select(*M.SILVER_COLUMNS))
+    path, files = _landing(spark, sf, "silver")
+    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files)
+           .parquet(path).select(*M.SILVER_COLUMNS))
     out = VersionedTable(spark, shared_dir(spark, "stream_windows"))
     windows = S.window_metrics(src, "5 minutes", DELAY).withColumn("window_date", F.to_date("window_start"))
     q = (windows.writeStream.outputMode("update")
@@ -95,7 +96,7 @@ def q_stream_window(spark, sf):
 def q_quarantine_sink(spark, sf):
     """Rejected rows of the Bronze stream, landed in directories by reason."""
     out = VersionedTable(spark, shared_dir(spark, "stream_rejects"))
-    q = (S.bronze_stream(spark, _landing(spark, sf, "bronze")).writeStream.foreachBatch(S.quarantine_sink(out))
+    q = (S.bronze_stream(spark, *_landing(spark, sf, "bronze")).writeStream.foreachBatch(S.quarantine_sink(out))
          .option("checkpointLocation", shared_dir(spark, "ckpt_rejects")).trigger(availableNow=True).start())
     S.run_to_end(q)
     return out.read().select("request_id", "ts", "reason")
@@ -107,7 +108,7 @@ def q_two_checkpoints(spark, sf):
     its micro-batch ids start at 0 again."""
     out = VersionedTable(spark, shared_dir(spark, "stream_twice"))
     for n in range(2):
-        q = (S.bronze_stream(spark, _landing(spark, sf, "bronze")).writeStream.foreachBatch(S.append_sink(out))
+        q = (S.bronze_stream(spark, *_landing(spark, sf, "bronze")).writeStream.foreachBatch(S.append_sink(out))
              .option("checkpointLocation", shared_dir(spark, f"ckpt_twice{n}")).trigger(availableNow=True).start())
         S.run_to_end(q)
     return out.read().select("request_id", "ts")
@@ -118,7 +119,7 @@ SELECT request_id, min(ts) AS ts, arg_min(raw_json IS NULL, ts) AS no_payload FR
 def q_stream_dedup(spark, sf):
     """ST3: stateful dedup on request_id within the watermark. The landing's
     files are in the order of time, so the row kept is a request's earliest."""
-    src = S.bronze_stream(spark, _landing(spark, sf, "bronze"))
+    src = S.bronze_stream(spark, *_landing(spark, sf, "bronze"))
     out = VersionedTable(spark, shared_dir(spark, "stream_dedup"))
     q = (S.stream_dedup(src, "request_id", DELAY).writeStream.foreachBatch(S.append_sink(out))
          .option("checkpointLocation", shared_dir(spark, "ckpt_dedup")).trigger(availableNow=True).start())
@@ -129,7 +130,7 @@ def q_stream_dedup(spark, sf):
 @register("stream_compacted", f"WITH {SQL_BRONZE.strip()}\nSELECT request_id, ts, raw_json IS NULL AS no_payload FROM bronze")
 def q_stream_compacted(spark, sf):
     """ST5: micro-batches appended, then compacted every 3 batches; rows preserved."""
-    src = S.bronze_stream(spark, _landing(spark, sf, "bronze"))
+    src = S.bronze_stream(spark, *_landing(spark, sf, "bronze"))
     out = VersionedTable(spark, shared_dir(spark, "stream_raw"))
     q = (src.writeStream.foreachBatch(S.append_sink(out, compact_every=3))
          .option("checkpointLocation", shared_dir(spark, "ckpt_raw")).trigger(availableNow=True).start())

@@ -37,14 +37,14 @@ def _payload(model: Column, user: Column, k: Column, latency: Column, status: Co
 
 def bronze_from_events(events: DataFrame) -> DataFrame:
     """Bronze rows derived from ``events`` (one scan, one generator, no union)."""
-    eid = F.col("event_id")
-    rid = F.concat(F.lit("req-"), eid.cast("string"))
-    model = F.concat(F.lit("m"), (F.col("user_id") % N_MODELS).cast("string"))
-    user = F.concat(F.lit("u_"), F.col("user_id").cast("string"))
-    k = F.get_json_object("props", "$.k").try_cast("int")
-    latency = F.floor(F.col("value") * 10).cast("int")
-    status = F.when(F.col("event_type") == "error", F.lit("error")).otherwise(F.lit("ok"))
-    ts = F.col("ts")
+    # taken out of the event once, not in every record that uses it
+    events = events.select(
+        F.col("event_id").alias("eid"), F.concat(F.lit("req-"), F.col("event_id").cast("string")).alias("rid"), "ts",
+        F.concat(F.lit("m"), (F.col("user_id") % N_MODELS).cast("string")).alias("model"),
+        F.concat(F.lit("u_"), F.col("user_id").cast("string")).alias("user"),
+        F.get_json_object("props", "$.k").try_cast("int").alias("k"), F.floor(F.col("value") * 10).cast("int").alias("latency"),
+        F.when(F.col("event_type") == "error", F.lit("error")).otherwise(F.lit("ok")).alias("status"))
+    eid, rid, ts, model, user, k, latency, status = (F.col(c) for c in events.columns)
 
     call = F.struct(rid.alias("request_id"), ts.alias("ts"),
                     _payload(model, user, k, latency, status).alias("raw_json"))

@@ -20,7 +20,7 @@ from lakeweave.functions import sketches
 from lakeweave.functions.pricing import cost_usd, price_maps
 from lakeweave.operators.layout import compact
 from lakeweave.plans.medallion import SILVER_ORDER, build_silver, quarantine as build_quarantine
-from lakeweave.session import checkpoint_root
+from lakeweave.session import checkpoint_root, shared_dir
 from lakeweave.sources.tables import VersionedTable
 from lakeweave.streaming import key_filters
 
@@ -30,21 +30,34 @@ BRONZE_SCHEMA = T.StructType([
     T.StructField("raw_json", T.StringType()),
 ])
 
+#: Rows of a landed file, about, and different keys that it holds at least, about.
+ROWS_PER_FILE, KEYS_PER_FILE = 250_000, 100
 
-def write_time_ordered_files(df: DataFrame, path: str, n_chunks: int, ts: str = "ts",
-                             files_per_chunk: int = 1) -> None:
+
+def write_time_ordered_files(df: DataFrame, path: str, n_chunks: int, ts: str = "ts", key: str | None = None,
+                             rows_per_file: int = ROWS_PER_FILE) -> int:
     """Land ``df`` as ``n_chunks`` appends covering consecutive time ranges,
     oldest first (the file source orders files by modification time), like a
-    landing zone filled over time. Chunk bounds come from ``approxQuantile``;
-    read it back with ``maxFilesPerTrigger = files_per_chunk``."""
-    checkpoint_root(df.sparkSession)
+    landing zone filled over time. Chunk bounds come from ``approxQuantile``.
+    With ``key`` a chunk of over ``rows_per_file`` rows is several files, each
+    written by a task, with all of a key's rows of the chunk in one. Returns
+    the files of a chunk: read it back with that ``maxFilesPerTrigger``."""
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    # Computed once and cut from its lineage (reliable checkpoint in the
-    # shared folder): the quantile pass and every chunk read it back.
-    keyed = df.withColumn("_us", micros).checkpoint()
+    # Computed once and written to the shared folder: the quantile pass and
+    # every chunk read back the columns and row groups that they need.
+    rows = shared_dir(df.sparkSession, "landing_rows")
+    df.withColumn("_us", micros).write.parquet(rows)
+    keyed = df.sparkSession.read.parquet(rows)
     # A relative error keeps the quantile summary bounded; chunks are about even.
-    bounds = keyed.approxQuantile("_us", [i / n_chunks for i in range(1, n_chunks)], 0.001)
-    edges = [None] + sorted(set(bounds)) + [None]
+    bounds = sorted({int(b) for b in keyed.approxQuantile("_us", [i / n_chunks for i in range(1, n_chunks)], 0.001)})
+    edges = [None, *bounds, None]
+    files = 1
+    if key:
+        at = reduce(lambda a, b: a + b, [F.when(F.col("_us") >= b, 1).otherwise(0) for b in bounds], F.lit(0))
+        per = keyed.groupBy(at.alias("at")).agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(key).alias("keys"))
+        most, least = per.agg(F.max("n"), F.min("keys")).first()
+        # many keys to a file: none of a chunk's files stays empty and so unwritten
+        files = max(1, min(-(-(most or 0) // rows_per_file), (least or 0) // KEYS_PER_FILE))
     for lo, hi in zip(edges[:-1], edges[1:]):
         cond = F.lit(True)
         if lo is not None:
@@ -53,8 +66,10 @@ def write_time_ordered_files(df: DataFrame, path: str, n_chunks: int, ts: str =
             cond = cond & (F.col("_us") < F.lit(hi))
         if lo is None:  # rows without a time land first
             cond = cond | F.col("_us").isNull()
-        chunk = keyed.where(cond).repartition(files_per_chunk).sortWithinPartitions("_us")
+        chunk = keyed.where(cond)
+        chunk = (chunk.repartition(files, key) if files > 1 else chunk.repartition(1)).sortWithinPartitions("_us")
         chunk.drop("_us").write.mode("append").parquet(path)
+    return files
 
 
 def bronze_stream(spark: SparkSession, path: str, files_per_trigger: int = 1,

@@ -35,6 +35,34 @@ def test_a_second_checkpoint_loses_no_row(spark, fresh):
         assert out.read().count() == (n + 1) * b.count()
 
 
+def test_large_chunks_land_in_files_by_key(spark, fresh):
+    """Each file of a chunk holds its keys' rows of that chunk, and a micro-batch takes a chunk."""
+    b = bronze_from_events(spark.read.parquet(f"{SF}/events.parquet"))
+    land, out = shared_dir(spark, "land_keys"), fresh("by_key")
+    files = S.write_time_ordered_files(b, land, 3, key="request_id", rows_per_file=150)
+    rows = spark.read.parquet(land).select("request_id", "ts", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_modification_time").alias("at"))
+    named = [r.f for r in rows.groupBy("f").agg(F.min("at").alias("at")).orderBy("at").collect()]
+    assert files > 1 and len(named) == 3 * files
+    chunk = {f: i // files for i, f in enumerate(named)}
+    seen, held = {}, [[], [], []]
+    for r in rows.collect():
+        seen.setdefault((r.request_id, chunk[r.f]), set()).add(r.f)
+        held[chunk[r.f]].append(r.ts)
+    assert all(len(v) == 1 for v in seen.values())
+    assert max(held[0]) < min(held[1]) and max(held[1]) < min(held[2])
+    S.run_to_end(S.bronze_stream(spark, land, files).writeStream.foreachBatch(S.append_sink(out))
+                 .option("checkpointLocation", shared_dir(spark, "ck_keys")).trigger(availableNow=True).start())
+    assert len(out.commits()) == 3 and sorted(out.read().select(*b.columns).collect(), key=str) == sorted(b.collect(), key=str)
+
+
+def test_a_single_key_lands_one_file_a_chunk(spark):
+    """Files of a chunk that no key falls to would not be written: a chunk is one file then."""
+    b = bronze_from_events(spark.read.parquet(f"{SF}/events.parquet")).withColumn("request_id", F.lit("r"))
+    land = shared_dir(spark, "land_one")
+    assert S.write_time_ordered_files(b, land, 3, key="request_id", rows_per_file=50) == 1
+    assert spark.read.parquet(land).select("_metadata.file_path").distinct().count() == 3
+
+
 def _bronze(spark, rows):
     body = '{"model": "m1", "user_id": "u", "usage": {"input": 1, "output": 1}, "latency_ms": %d, "status": "ok"}'
     return spark.createDataFrame([(r, ts, body % n) for r, ts, n in rows], "request_id string, ts timestamp_ntz, raw_json string")
