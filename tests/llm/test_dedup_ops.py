@@ -134,6 +134,34 @@ def test_cells_list_no_pair_twice_and_no_unlike_ones(spark, monkeypatch, confirm
         assert len(pairs) > 1000
 
 
+def test_forests_of_all_cells_grow_together():
+    """Prim's edges for each cell, in as many steps as the largest has members."""
+    rng = np.random.default_rng(5)
+    size = rng.integers(1, 25, 300)
+    cell = np.repeat(np.arange(300) * 7, size)
+    data = rng.integers(0, 60, (len(cell), 1)).astype(np.uint8)
+    calls = []
+
+    def near(a, b):
+        calls.append(len(a))
+        apart = np.abs(a[:, 0].astype(int) - b[:, 0].astype(int))
+        return np.where(apart <= 4, 4 - apart, -1)
+    got = sorted(zip(*(x.tolist() for x in linking.forest(cell, data, near))))
+    assert len(calls) == size.max() - 1
+    want = []
+    for at, n in zip(np.cumsum(size) - size, size):
+        mine, best, parent, inside, v = data[at:at + n], [-1] * n, [0] * n, set(), 0
+        for _ in range(n - 1):
+            inside.add(v)
+            for k, w in enumerate(near(np.repeat(mine[v:v + 1], n, 0), mine).tolist()):
+                if k not in inside and w > best[k]:
+                    best[k], parent[k] = w, v
+            v = max((k for k in range(n) if k not in inside), key=lambda k: (best[k], -k))
+            if best[v] >= 0:
+                want.append((int(at) + parent[v], int(at) + v))
+    assert got == sorted(want) and linking.forest(cell[:0], data[:0], near)[0].tolist() == []
+
+
 def line_rows():
     rng = random.Random(11)
     pool = [" ".join(words(rng, rng.randrange(2, 30))) for _ in range(30)]
